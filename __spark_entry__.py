@@ -69,7 +69,8 @@ PRICED_ITEMS = """
 def _source(spark: SparkSession, sf_dir: str) -> str:
     """Schema whose tables are the folder's Parquet files."""
     schema = "src_" + hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-    register_parquet(spark, schema, sf_dir, TABLES, f"{shared_folder(spark)}/haulage/{schema}")
+    if not spark.catalog.tableExists(f"{schema}.{TABLES[-1]}"):
+        register_parquet(spark, schema, sf_dir, TABLES, f"{shared_folder(spark)}/haulage/{schema}")
     return schema
 
 

@@ -106,11 +106,12 @@ def stage_encode(value: Column, dtype: T.DataType, delimiter: str) -> Column:
 
 def stage_decode(field: Column, dtype: T.DataType, delimiter: str) -> Column:
     """The value of a staged field; text that does not fit the type gives NULL."""
-    text = F.when(field != NULL_MARK, field)
+    text = F.nullif(field, F.lit(NULL_MARK))
     if isinstance(dtype, T.StringType):
+        decoded = text
         for raw, escaped in reversed(stage_escapes(delimiter)):
-            text = F.replace(text, F.lit(escaped), F.lit(raw))
-        return text
+            decoded = F.replace(decoded, F.lit(escaped), F.lit(raw))
+        return F.when(text.contains("\\"), decoded).otherwise(text)
     if isinstance(dtype, T.BinaryType):
         return F.unhex(text)
     return text.try_cast(dtype)

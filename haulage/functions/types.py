@@ -198,12 +198,17 @@ def canonical_type(dtype: T.DataType) -> str:
     return dtype.simpleString()
 
 
+def declared_type(field: T.StructField) -> T.DataType:
+    """The type a column was declared with; Spark reads char and varchar as plain strings."""
+    match = re.fullmatch(r"(var)?char\((\d+)\)", field.metadata.get(DECLARED_TYPE, ""))
+    if not match:
+        return field.dataType
+    return (T.VarcharType if match.group(1) else T.CharType)(int(match.group(2)))
+
+
 def declared_length(field: T.StructField) -> int:
     """Declared length of a string column, -1 when it has none."""
-    if isinstance(field.dataType, (T.CharType, T.VarcharType)):
-        return field.dataType.length
-    match = re.fullmatch(r"(?:var)?char\((\d+)\)", field.metadata.get(DECLARED_TYPE, ""))
-    return int(match.group(1)) if match else -1
+    return getattr(declared_type(field), "length", -1)
 
 
 def describe(schema: T.StructType) -> list[ColumnInfo]:

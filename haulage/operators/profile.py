@@ -10,6 +10,10 @@ from ..functions.types import describe
 from .extract import HighWater, KeyRanges, marker_text
 
 
+# The largest width a range can have.
+WIDEST = 2**63 - 1
+
+
 def _key_field(df: DataFrame, key: str) -> T.StructField:
     if key not in df.columns:
         raise KeyError(f"no column {key!r}")
@@ -40,10 +44,13 @@ def key_min_max_batch(df: DataFrame, key: str, batch_rows: int) -> DataFrame:
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         # whole numbers stay whole: the ceiling of an exact quotient
         spread = "(cast(max_value as decimal(20,0)) - cast(min_value as decimal(20,0)))"
-        width = F.expr(f"({spread} * {batch_rows} + rows - 1) div nullif(rows, 0)")
+        dividend = f"({spread} * {batch_rows} + rows - 1)"
+        width = F.expr(f"CASE WHEN {dividend} < rows * {WIDEST}BD THEN {dividend} div rows"
+                       f" ELSE {WIDEST} END")
     elif isinstance(dtype, (T.DecimalType, T.FloatType, T.DoubleType)):
         spread = "(cast(max_value as double) - cast(min_value as double))"
-        width = F.expr(f"cast(ceil({spread} / nullif(rows / {float(batch_rows)}D, 0)) as bigint)")
+        width = F.expr(f"cast(least(ceil({spread} / (rows / {float(batch_rows)}D)), {WIDEST})"
+                       " as bigint)")
     else:
         raise TypeError(f"key {key!r} is not numeric: {dtype.simpleString()}")
     size = F.when(F.col("min_value").isNotNull(), F.greatest(width, F.lit(1)).cast("bigint"))

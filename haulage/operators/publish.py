@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from ..functions.names import quoted, text_literal
-from ..functions.types import DECLARED_TYPE, ColumnInfo, spark_schema
+from ..functions.types import ColumnInfo, declared_type, spark_schema
 from ..sources.delimited import DELIMITER, read_delimited
 from ..sources.endpoint import Endpoint
 
@@ -43,10 +43,7 @@ def create_table_from_columns(
 
 def _ddl(columns: T.StructType) -> str:
     """Names and types only: keys, defaults and nullability are not carried over."""
-    return ", ".join(
-        f"{quoted(f.name)} {f.metadata.get(DECLARED_TYPE) or f.dataType.simpleString()}"
-        for f in columns
-    )
+    return T.StructType([T.StructField(f.name, declared_type(f)) for f in columns]).toDDL()
 
 
 @dataclass(frozen=True)

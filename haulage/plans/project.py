@@ -104,18 +104,28 @@ class ProjectResult:
         return "Completed with warnings" if self.count(WARN) else "Completed successfully"
 
 
+def _started_log(spark: SparkSession, project: Project, started_at: datetime) -> RunLog | None:
+    """The project's log with its START record; a log that cannot be written is done without."""
+    if project.log_endpoint is None:
+        return None
+    log = RunLog(spark, project.log_endpoint, project.log_schema, project.log_table)
+    try:
+        log.create()
+        log.log(project=project.name, project_started_at=started_at, started_at=started_at,
+                status=START)
+    except Exception:
+        logger.exception("project %s runs without its log", project.name)
+        return None
+    return log
+
+
 def run_project(spark: SparkSession, project: Project) -> ProjectResult:
     """Run every load, ``parallel_loads`` at a time; a failing one does not stop the others.
 
     The threads only submit Spark jobs; all of them share the session's executors.
     """
     started_at = datetime.now()
-    log = None
-    if project.log_endpoint is not None:
-        log = RunLog(spark, project.log_endpoint, project.log_schema, project.log_table)
-        log.create()
-        log.log(project=project.name, project_started_at=started_at, started_at=started_at,
-                status=START)
+    log = _started_log(spark, project, started_at)
 
     @inheritable_thread_target(spark)
     def run(load: LoadSpec) -> LoadResult:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from ..functions.names import quoted
@@ -43,20 +43,36 @@ def export_delimited(
 
 
 def _parsed(
-    spark: SparkSession, path: str, schema: T.StructType, delimiter: str
-) -> tuple[DataFrame, Column, list[Column]]:
-    """Lines split into ``parts``, the test for an unusable line, and the typed values."""
-    lines = spark.read.text(path)
-    split = lines.select("value", F.split("value", re.escape(delimiter), -1).alias("parts"))
-    unusable = F.size("parts") != len(schema)
-    values = []
-    for position, field in enumerate(schema):
-        part = F.get(F.col("parts"), F.lit(position))
-        value = stage_decode(part, field.dataType, delimiter)
-        if not isinstance(field.dataType, T.StringType):
-            unusable = unusable | ((part != NULL_MARK) & value.isNull())
-        values.append(value.alias(field.name))
-    return split, unusable, values
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    delimiter: str,
+    counts: Observation | None,
+) -> DataFrame:
+    """Every line as ``__staged_line``, whether it is ``__staged_unusable``, and its typed values.
+
+    Splitting, converting and judging a line are steps of their own, and counting the
+    lines comes last: a filter on top then cannot be pushed below and redo them all.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value").alias("__staged_line"), F.split("value", re.escape(delimiter), -1).alias("__staged_parts")
+    )
+    fields = {f.name: F.get("__staged_parts", F.lit(i)) for i, f in enumerate(schema)}
+    typed = lines.select("*", *(
+        stage_decode(fields[f.name], f.dataType, delimiter).alias(f.name) for f in schema
+    ))
+    unusable = F.size("__staged_parts") != len(schema)
+    for f in schema:
+        if not isinstance(f.dataType, T.StringType):
+            unusable |= (fields[f.name] != NULL_MARK) & F.col(quoted(f.name)).isNull()
+    judged = typed.select(
+        "__staged_line", unusable.alias("__staged_unusable"), *(quoted(f.name) for f in schema)
+    )
+    return judged.observe(
+        counts or "staged_lines",
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("__staged_unusable").alias("rejected"),
+    )
 
 
 def read_delimited(
@@ -73,22 +89,17 @@ def read_delimited(
     fails the read, or is left out with ``skip_bad_rows``. ``counts`` then receives
     ``rows`` (all lines) and ``rejected`` in the same pass.
     """
-    split, unusable, values = _parsed(spark, path, schema, delimiter)
-    if counts is not None:
-        split = split.observe(
-            counts, F.count(F.lit(1)).alias("rows"), F.count_if(unusable).alias("rejected")
-        )
-    if skip_bad_rows:
-        usable = ~unusable
-    else:
-        message = F.concat(F.lit("unusable staged line: "), F.col("value"))
-        usable = F.when(unusable, F.raise_error(message).cast("boolean")).otherwise(True)
-    return split.where(usable).select(*values)
+    judged = _parsed(spark, path, schema, delimiter, counts)
+    usable = ~F.col("__staged_unusable")
+    if not skip_bad_rows:
+        message = F.concat(F.lit("unusable staged line: "), F.col("__staged_line"))
+        usable = usable | F.raise_error(message).cast("boolean")
+    return judged.where(usable).select(*(quoted(f.name) for f in schema))
 
 
 def rejected_lines(
     spark: SparkSession, path: str, schema: T.StructType, delimiter: str = DELIMITER
 ) -> DataFrame:
     """The staged lines that ``skip_bad_rows`` leaves out, as text."""
-    split, unusable, _ = _parsed(spark, path, schema, delimiter)
-    return split.where(unusable).select(F.col("value").alias("line"))
+    judged = _parsed(spark, path, schema, delimiter, None)
+    return judged.where("__staged_unusable").select(F.col("__staged_line").alias("line"))
