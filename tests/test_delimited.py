@@ -1,0 +1,111 @@
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import Observation, types as T
+
+from conftest import PEOPLE, ROWS, values
+from haulage.operators.publish import create_table, import_delimited
+from haulage.scratch import fresh_schema
+from haulage.sources.delimited import export_delimited, read_delimited, rejected_lines
+
+NASTY = ["", " ", "\\N", "\\", "\\n", "\\x7C", "a|b", "a\nb", "a\r\nb", "\r", "\n", "\x00", "\"q\"",
+         "'", "\t", "\\x5C", "\\\\N", "é\u2028\x85", None, "|", "||"]
+TEXTS = st.lists(st.one_of(
+    st.none(), st.text(st.characters(exclude_categories=("Cs",))),
+    st.text(alphabet="\\nrxN05C7|\n\r\x00 ")), min_size=1, max_size=200)
+
+
+@pytest.mark.parametrize("columns", [1, 2])
+@pytest.mark.parametrize("delimiter", ["|", ";", "\t"])
+def test_any_text_comes_back(spark, folder, columns, delimiter):
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(columns)])
+    rows = [(text,) * columns for text in NASTY]
+    df = spark.createDataFrame(rows, schema)
+    assert export_delimited(df, folder, delimiter) == len(rows)
+    assert values(read_delimited(spark, folder, schema, delimiter)) == sorted(rows, key=repr)
+    # a record never spans lines, so files can be split anywhere
+    assert spark.read.text(folder).count() == len(rows)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=TEXTS)
+def test_random_text_comes_back(spark, texts):
+    path = fresh_schema(spark, "files")[1] + "/stage"
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    export_delimited(df, path)
+    assert values(read_delimited(spark, path, df.schema)) == values(df)
+
+
+def test_every_type_comes_back(spark, folder):
+    df = spark.sql("""
+        SELECT 1 AS i, 2L AS l, 0.1D + 0.2D AS d, cast(1e-3 AS float) AS f, true AS b,
+               cast(-1.50 AS decimal(10,2)) AS m, date '2020-02-29' AS day,
+               timestamp_ntz '2024-03-10 02:30:00.123456' AS at,
+               timestamp '2024-11-03 05:30:00.000001 UTC' AS moment,
+               interval '1 02:03:04.5' day to second AS span, cast('a\\0b' AS binary) AS raw, 's' AS s
+        UNION ALL SELECT NULL, NULL, double('NaN'), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        export_delimited(df, folder)
+        back = read_delimited(spark, folder, df.schema)
+        assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+SCHEMA = "a bigint, b string, c date"
+LINES = ["1|x|2020-01-01", "2|\\N|\\N", "bad|x|2020-01-01", "4|x", "5|x|2020-01-01|more",
+         "6||2020-13-01", "", "8|\\x7C|2020-01-02"]
+GOOD = [(1, "x", "2020-01-01"), (2, None, None), (8, "|", "2020-01-02")]
+
+
+@pytest.fixture
+def staged(spark, folder):
+    spark.createDataFrame([(line,) for line in LINES], "value string").write.text(folder)
+    return folder
+
+
+def test_bad_rows_fail_the_read(spark, staged):
+    with pytest.raises(Exception, match="unusable staged line"):
+        read_delimited(spark, staged, T.StructType.fromDDL(SCHEMA)).collect()
+
+
+def test_bad_rows_can_be_skipped_and_are_counted(spark, staged):
+    counts = Observation()
+    schema = T.StructType.fromDDL(SCHEMA)
+    rows = read_delimited(spark, staged, schema, skip_bad_rows=True, counts=counts)
+    assert values(rows.selectExpr("a", "b", "cast(c AS string)")) == GOOD
+    assert counts.get == {"rows": 8, "rejected": 5}
+    assert values(rejected_lines(spark, staged, schema)) == sorted(
+        [(line,) for line in LINES if line[:2] not in ("1|", "2|", "8|")], key=repr)
+
+
+def test_reading_fewer_columns_still_judges_whole_lines(spark, staged):
+    rows = read_delimited(spark, staged, T.StructType.fromDDL(SCHEMA), skip_bad_rows=True)
+    assert values(rows, "b") == [("x",), ("|",), (None,)]
+
+
+def test_import_loads_every_file_and_counts(spark, lake, schema, folder, make):
+    people = make("people", ROWS)
+    export_delimited(people.repartition(3), folder, max_records_per_file=1)
+    create_table(spark, lake, schema, "copy", PEOPLE)
+    assert import_delimited(spark, folder, lake, schema, "copy").rows == 5
+    assert values(spark.table(f"{schema}.copy")) == ROWS
+
+
+def test_import_reports_what_it_left_out(spark, lake, schema, staged):
+    create_table(spark, lake, schema, "t", T.StructType.fromDDL(SCHEMA))
+    done = import_delimited(spark, staged, lake, schema, "t", skip_bad_rows=True)
+    assert (done.rows, done.rejected) == (3, 5)
+    assert spark.table(f"{schema}.t").count() == 3
+
+
+def test_a_failed_import_leaves_the_table_as_it_was(spark, lake, schema, staged):
+    create_table(spark, lake, schema, "t", T.StructType.fromDDL(SCHEMA))
+    with pytest.raises(Exception):
+        import_delimited(spark, staged, lake, schema, "t")
+    assert spark.table(f"{schema}.t").count() == 0
+
+
+def test_lines_are_split_once(spark, staged):
+    rows = read_delimited(spark, staged, T.StructType.fromDDL(SCHEMA), skip_bad_rows=True)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("split(") == 1

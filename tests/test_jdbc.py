@@ -1,0 +1,42 @@
+"""JDBC options only: no database is started for tests."""
+
+import pytest
+
+from haulage import Endpoint
+from haulage.sources import jdbc
+
+LOGIN = {"host": "h", "database": "d", "user": "u", "password": "p"}
+
+
+@pytest.mark.parametrize("kind, extra, expected", [
+    ("postgres", {}, "jdbc:postgresql://h:5432/d"),
+    ("postgres", {"port": 5433}, "jdbc:postgresql://h:5433/d"),
+    ("sqlserver", {}, "jdbc:sqlserver://h:1433;databaseName=d"),
+    ("sqlserver", {"trusted_connection": True},
+     "jdbc:sqlserver://h:1433;databaseName=d;integratedSecurity=true"),
+    ("oracle", {}, "jdbc:oracle:thin:@//h:1521/d"),
+    ("snowflake", {"account": "a", "warehouse": "w"},
+     "jdbc:snowflake://a.snowflakecomputing.com/?db=d&warehouse=w"),
+    ("postgres", {"url": "jdbc:other:x"}, "jdbc:other:x"),
+])
+def test_addresses(kind, extra, expected):
+    assert jdbc.url(kind, {**LOGIN, **extra}) == expected
+
+
+def test_login_is_left_out_for_trusted_connections():
+    assert jdbc.options("sqlserver", LOGIN)["user"] == "u"
+    assert "user" not in jdbc.options("sqlserver", {**LOGIN, "trusted_connection": True})
+
+
+def test_the_catalog_is_registered_with_pushdown(spark):
+    endpoint = Endpoint(name="warehouse_pg", kind="postgres", credentials=LOGIN)
+    endpoint.use(spark)
+    prefix = "spark.sql.catalog.warehouse_pg"
+    assert spark.conf.get(prefix).endswith("JDBCTableCatalog")
+    assert spark.conf.get(f"{prefix}.url") == "jdbc:postgresql://h:5432/d"
+    for what in ("Predicate", "Aggregate", "Limit"):
+        assert spark.conf.get(f"{prefix}.pushDown{what}") == "true"
+
+
+def test_credentials_are_not_shown():
+    assert "secret" not in repr(Endpoint(credentials={"password": "secret"}))

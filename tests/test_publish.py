@@ -1,0 +1,145 @@
+import dataclasses
+
+import pytest
+from pyspark.sql import types as T
+
+from conftest import PEOPLE, ROWS, values
+from haulage import Endpoint, ReadOnlyEndpoint, RunLog, load_full_query
+from haulage.functions.types import ColumnInfo
+from haulage.operators import publish
+from haulage.operators.publish import (
+    aligned,
+    append_and_drop,
+    create_table,
+    create_table_from_columns,
+    get_marker,
+    import_delimited,
+    set_marker,
+    swap_table,
+    truncate_table,
+)
+
+
+def exists(spark, schema, table) -> bool:
+    return spark.catalog.tableExists(f"{schema}.{table}")
+
+
+def test_create_replaces_and_makes_the_schema(spark, lake, schema, make):
+    make("t", ROWS)
+    create_table_from_columns(spark, lake, schema, "t", [ColumnInfo(1, "id_col", "int"),
+                                                         ColumnInfo(2, "name_col", "str", 64)])
+    assert spark.table(f"{schema}.t").count() == 0
+    assert spark.table(f"{schema}.t").columns == ["id_col", "name_col"]
+
+
+def test_created_columns_keep_their_types(spark, lake, schema):
+    columns = T.StructType([
+        T.StructField("a b`c", T.VarcharType(7)), T.StructField("n", T.ArrayType(T.StructType(
+            [T.StructField("x y", T.DecimalType(9, 3), False)]))),
+        T.StructField("span", T.DayTimeIntervalType()), T.StructField("m", T.MapType(T.StringType(), T.LongType())),
+    ])
+    create_table(spark, lake, schema, "t", columns)
+    first = spark.table(f"{schema}.t").schema
+    create_table(spark, lake, schema, "again", first)
+    assert spark.table(f"{schema}.again").schema == first
+    assert first["a b`c"].metadata == {"__CHAR_VARCHAR_TYPE_STRING": "varchar(7)"}
+
+
+def test_swap(spark, lake, schema, make):
+    make("t", ROWS[:1])
+    make("t_tmp", ROWS[:3])
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == ROWS[:3]
+    assert not exists(spark, schema, "t_tmp") and not exists(spark, schema, "t_delete")
+
+
+def test_swap_without_a_target_renames(spark, lake, schema, make):
+    make("t_tmp", ROWS[:3])
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == ROWS[:3] and not exists(spark, schema, "t_tmp")
+
+
+def test_swap_recovers_from_one_that_was_cut_short(spark, lake, schema, make):
+    make("t_delete", ROWS[:1])  # the target had been retired when the driver was lost
+    make("t_tmp", ROWS[:3])
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == ROWS[:3] and not exists(spark, schema, "t_delete")
+    make("t_delete", ROWS[:1])  # or it had been published but not cleaned up
+    make("t_tmp", ROWS[:2])
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == ROWS[:2] and not exists(spark, schema, "t_delete")
+
+
+def test_a_failed_swap_puts_the_old_table_back(spark, lake, schema, make):
+    make("t", ROWS[:1])
+    with pytest.raises(Exception):
+        swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == ROWS[:1] and not exists(spark, schema, "t_delete")
+
+
+def test_append(spark, lake, schema, make):
+    make("t", ROWS[:3])
+    make("t_tmp", ROWS[3:])
+    assert append_and_drop(spark, lake, schema, "t", "t_tmp") == 2
+    assert values(spark.table(f"{schema}.t")) == ROWS and not exists(spark, schema, "t_tmp")
+
+
+def test_append_needs_the_same_names(spark, lake, schema, make):
+    make("t", ROWS[:3])
+    other = T.StructType([T.StructField("id_col", T.LongType()), T.StructField("x", T.StringType()),
+                          T.StructField("datetime_col", T.TimestampNTZType())])
+    make("t_tmp", ROWS[3:], other)
+    with pytest.raises(ValueError):
+        append_and_drop(spark, lake, schema, "t", "t_tmp")
+    assert spark.table(f"{schema}.t").count() == 3 and exists(spark, schema, "t_tmp")
+    assert aligned(spark.table(f"{schema}.t"), ["datetime_col", "id_col", "name_col"]).columns == [
+        "datetime_col", "id_col", "name_col"]
+
+
+def test_over_long_text_is_refused_by_the_table(spark, make):
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        make("t", [(1, "x" * 65, None)])
+
+
+def test_truncate(spark, lake, schema, make):
+    make("t", ROWS)
+    truncate_table(spark, lake, schema, "t")
+    assert spark.table(f"{schema}.t").count() == 0
+    assert spark.table(f"{schema}.t").columns == PEOPLE.names
+
+
+def test_markers(spark, lake, schema, make):
+    make("t", ROWS)
+    assert get_marker(spark, lake, schema, "t", "name_col") is None
+    set_marker(spark, lake, schema, "t", "name_col", "O'Brien \\ x")
+    assert get_marker(spark, lake, schema, "t", "name_col") == "O'Brien \\ x"
+    assert get_marker(spark, lake, schema, "t", "id_col") is None
+
+
+def test_a_read_only_endpoint_refuses_every_write(spark, lake, schema, make, folder):
+    make("t", ROWS)
+    make("t_tmp", ROWS)
+    locked = Endpoint(name="locked", read_only=True)
+    writes = [
+        lambda: create_table(spark, locked, schema, "t", PEOPLE),
+        lambda: create_table_from_columns(spark, locked, schema, "t", []),
+        lambda: swap_table(spark, locked, schema, "t", "t_tmp"),
+        lambda: append_and_drop(spark, locked, schema, "t", "t_tmp"),
+        lambda: truncate_table(spark, locked, schema, "t"),
+        lambda: import_delimited(spark, folder, locked, schema, "t"),
+        lambda: RunLog(spark, locked, schema).create(),
+        lambda: RunLog(spark, locked, schema).append(spark.table(f"{schema}.t")),
+    ]
+    for write in writes:
+        with pytest.raises(ReadOnlyEndpoint):
+            write()
+    result = load_full_query(spark, lake, "SELECT 1 AS x", locked, schema, "t")
+    assert result.status == "ERROR" and "ReadOnlyEndpoint" in result.message
+    assert values(spark.table(f"{schema}.t")) == ROWS
+
+
+def test_written_rows_are_counted_once_after_a_shuffle(spark, lake, schema, make):
+    make("t", [])
+    rows = make("s", ROWS).repartition(3).hint("rebalance")
+    assert publish.insert(rows, lake.table_name(schema, "t")).rows == 5
+    assert dataclasses.asdict(publish.Written(3)) == {"rows": 3, "largest": None}

@@ -1,0 +1,138 @@
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from conftest import values
+from haulage.functions.types import (
+    ColumnInfo,
+    UnsupportedType,
+    canonical_from_oracle,
+    canonical_from_postgres,
+    canonical_type,
+    cast_for_target,
+    cast_from_oracle,
+    create_table_ddl,
+    describe,
+    spark_schema,
+    target_type,
+)
+
+ID = [ColumnInfo(1, "id_col", "integer", None, 32, 0)]
+MIXED = [
+    ColumnInfo(1, "a", "str", 64),
+    ColumnInfo(2, "b", "str", -1),
+    ColumnInfo(3, "c", "str", 4001),
+    ColumnInfo(4, "d", "decimal.Decimal", None, 12, 2),
+    ColumnInfo(5, "e", "bool"),
+    ColumnInfo(6, "f", "datetime.datetime"),
+]
+
+
+def test_unknown_names_pass_through():
+    assert create_table_ddl("test", "test1", ID, "postgres") == \
+        "CREATE TABLE test.test1(\nid_col integer)"
+    assert create_table_ddl("test", "test1", ID, "sqlserver") == \
+        "CREATE TABLE test.test1(\n[id_col] integer)"
+    assert create_table_ddl("test", "test1", ID, "snowflake") == \
+        'CREATE TRANSIENT TABLE test.test1(\n"id_col" integer)'
+
+
+@pytest.mark.parametrize("dialect, expected", [
+    ("postgres", ["varchar(64)", "text", "varchar(4001)", "numeric(12,2)", "bool", "timestamp"]),
+    ("sqlserver", ["nvarchar(64)", "nvarchar(MAX)", "nvarchar(MAX)", "numeric(12,2)", "bit",
+                   "datetime2"]),
+    ("snowflake", ["VARCHAR(64)", "VARCHAR", "VARCHAR(4001)", "NUMBER(12,2)", "BOOLEAN",
+                   "TIMESTAMP_NTZ"]),
+])
+def test_lengths_and_precisions(dialect, expected):
+    lines = create_table_ddl("s", "t", MIXED, dialect).split("\n")[1:]
+    assert [line.rstrip(", )").split(" ", 1)[1].rstrip(")") for line in lines] == \
+        [e.rstrip(")") for e in expected]
+
+
+def test_type_names():
+    assert [target_type(t, "postgres") for t in ("int", "float", "UUID.uuid", "timedelta")] == \
+        ["int", "real", "uuid", "interval"]
+    assert [target_type(t, "sqlserver") for t in ("int", "float", "UUID.uuid", "timedelta")] == \
+        ["bigint", "float", "UNIQUEIDENTIFIER", "time"]
+    assert [target_type(t, "snowflake") for t in ("int", "float", "UUID.uuid", "timedelta")] == \
+        ["BIGINT", "REAL", "TEXT", "TIME"]
+    with pytest.raises(UnsupportedType):
+        target_type("int", "oracle")
+
+
+def test_names_from_the_sources():
+    assert [canonical_from_postgres(n) for n in (
+        "int8", "bpchar", "text", "numeric", "timestamp", "interval", "uuid", "money")] == [
+        "int", "str", "str", "decimal.Decimal", "datetime.datetime", "timedelta", "UUID.uuid", "money"]
+    assert [canonical_from_oracle(*n) for n in (
+        ("NUMBER", 0), ("NUMBER", -127), ("NUMBER", 2), ("CLOB",), ("BLOB",), ("TIMESTAMP",))] == [
+        "int", "float", "decimal.Decimal", "str", "bytes", "datetime.datetime"]
+
+
+def test_schemas_and_descriptors_agree(spark):
+    schema = spark_schema([
+        ColumnInfo(1, "s", "str", 64), ColumnInfo(2, "t", "str", -1), ColumnInfo(3, "i", "int"),
+        ColumnInfo(4, "d", "decimal.Decimal", None, 12, 2), ColumnInfo(5, "b", "bool"),
+        ColumnInfo(6, "day", "datetime.date"), ColumnInfo(7, "at", "datetime.datetime"),
+        ColumnInfo(8, "f", "float"), ColumnInfo(9, "raw", "bytes"), ColumnInfo(10, "u", "UUID.uuid"),
+        ColumnInfo(11, "span", "timedelta"),
+    ])
+    assert [f.dataType for f in schema] == [
+        T.VarcharType(64), T.StringType(), T.LongType(), T.DecimalType(12, 2), T.BooleanType(),
+        T.DateType(), T.TimestampNTZType(), T.DoubleType(), T.BinaryType(), T.StringType(),
+        T.DayTimeIntervalType(),
+    ]
+    assert describe(schema)[0] == ColumnInfo(1, "s", "str", 64)
+    assert describe(schema)[3] == ColumnInfo(4, "d", "decimal.Decimal", None, 12, 2)
+    assert canonical_type(T.TimeType()) == "datetime.time"
+
+
+def test_names_that_are_no_type_raise(spark):
+    with pytest.raises(UnsupportedType):
+        spark_schema([ColumnInfo(1, "x", "cx.Cursor")])
+    assert spark_schema([ColumnInfo(1, "x", "integer")])[0].dataType == T.IntegerType()
+
+
+def sample(spark):
+    return spark.sql("""
+        SELECT 5L AS n, 7 AS i, true AS b, 1.5D AS f, timestamp_ntz '2024-01-02 03:04:05' AS at,
+               interval '1 02:03:04.5' day to second AS span,
+               -interval '0 00:00:01' day to second AS back, 'x' AS s, cast(NULL AS boolean) AS nothing
+    """)
+
+
+def test_casts_for_sqlserver(spark):
+    row = cast_for_target(sample(spark), "sqlserver")
+    assert dict(row.dtypes) == {
+        "n": "bigint", "i": "bigint", "b": "int", "f": "double", "at": "timestamp_ntz",
+        "span": "string", "back": "string", "s": "string", "nothing": "int"}
+    found = row.first()
+    assert (found.b, found.span, found.back, found.nothing) == (1, "26:03:04.500000", "-00:00:01.000000", None)
+
+
+def test_casts_for_postgres_narrow_only_when_told(spark):
+    assert dict(cast_for_target(sample(spark), "postgres").dtypes)["n"] == "bigint"
+    narrow = dict(cast_for_target(sample(spark), "postgres", widen=False).dtypes)
+    assert (narrow["n"], narrow["f"], narrow["b"]) == ("int", "float", "boolean")
+
+
+def test_casts_for_spark_change_nothing(spark):
+    df = sample(spark)
+    assert cast_for_target(df, "spark").collect() == df.collect()
+
+
+def test_nested_columns_have_no_counterpart(spark):
+    with pytest.raises(UnsupportedType):
+        cast_for_target(spark.sql("SELECT array(1) AS x"), "postgres")
+
+
+def test_whole_oracle_numbers_become_integers(spark):
+    df = spark.sql("SELECT cast(5 AS decimal(18,0)) AS a, cast(5 AS decimal(19,0)) AS b,"
+                   " cast(5 AS decimal(10,2)) AS c")
+    assert [t for _, t in cast_from_oracle(df).dtypes] == ["bigint", "decimal(19,0)", "decimal(10,2)"]
+
+
+def test_casting_keeps_declared_lengths(spark, schema):
+    spark.sql(f"CREATE TABLE {schema}.v (a VARCHAR(9)) USING parquet")
+    assert describe(cast_for_target(spark.table(f"{schema}.v"), "postgres").schema)[0].length == 9
+    assert values(spark.table(f"{schema}.v").agg(F.count("*"))) == [(0,)]
