@@ -118,7 +118,12 @@ def truncate_table(spark: SparkSession, target: Endpoint, schema: str, table: st
     """Empty a table and keep its columns."""
     target.require_writable()
     target.use(spark)
-    spark.sql(f"TRUNCATE TABLE {target.table_name(schema, table)}")
+    name = target.table_name(schema, table)
+    if target.is_jdbc:
+        # Spark's JDBC tables are emptied by an overwrite only
+        spark.sql(f"INSERT OVERWRITE {name} SELECT * FROM {name} WHERE false")
+    else:
+        spark.sql(f"TRUNCATE TABLE {name}")
 
 
 @dataclass(frozen=True)

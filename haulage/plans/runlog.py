@@ -153,8 +153,13 @@ class RunLog:
 
     def log(self, **fields) -> None:
         """Append one record, stamped with the current time."""
-        row = tuple({"log_time": datetime.now(), **fields}.get(f.name) for f in LOG_SCHEMA)
-        self.append(self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1))
+        record = {"log_time": datetime.now(), **fields}
+        # constants only: no Python worker is started, and times stay as they are given
+        texts = {name: None if value is None else str(value) for name, value in record.items()}
+        row = self.spark.range(0, 1, 1, 1)
+        self.append(row.select(*(
+            F.lit(texts.get(f.name)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA
+        )))
 
     def read(self) -> DataFrame:
         self.endpoint.use(self.spark)

@@ -83,15 +83,13 @@ def _source_rows(
     Spark splits a catalog table by its files, so ranges change nothing about how it is
     read. A database is read with one query per range.
     """
-    rows = source.read_table(spark, schema, table)
-    options = dict(high_water=mark, where=source.table_where_clause)
-    ranges = None
+    rows, ranges = source.read_rows(spark, schema, table), None
     if parallelization_key:
-        ranges = key_ranges(extract(rows, [parallelization_key], **options),
-                            parallelization_key, source.batch_rows)
+        keys = extract(rows, [parallelization_key], mark)
+        ranges = key_ranges(keys, parallelization_key, source.batch_rows)
         if source.is_jdbc and ranges.count:
-            rows = source.read_batches(spark, schema, table, ranges.predicates())
-    return extract(rows, columns, limit=source.limit_rows, **options), ranges
+            rows = source.read_rows(spark, schema, table, ranges.predicates())
+    return extract(rows, columns, mark, limit=source.limit_rows), ranges
 
 
 def _for_target(df: DataFrame, source: Endpoint, target: Endpoint) -> DataFrame:

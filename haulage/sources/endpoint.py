@@ -102,11 +102,20 @@ class Endpoint:
             return jdbc.read_query(spark, self.kind, self.credentials, query)
         return spark.sql(query)
 
-    def read_batches(
-        self, spark: SparkSession, schema: str, table: str, predicates: list[str]
+    def read_rows(
+        self, spark: SparkSession, schema: str, table: str, predicates: list[str] | None = None
     ) -> DataFrame:
-        """A database table as one partition per predicate, ``parallel_loads`` at a time."""
-        batches = jdbc.read_partitions(
-            spark, self.kind, self.credentials, f"{schema}.{table}", predicates
-        )
-        return batches.coalesce(self.parallel_loads)
+        """The rows of a table that pass the connection's own filter.
+
+        A database gets the filter as it stands, in its own dialect. With ``predicates``
+        it is asked one query for each, at most ``parallel_loads`` at a time.
+        """
+        where = self.table_where_clause
+        if not self.is_jdbc:
+            rows = self.read_table(spark, schema, table)
+            return rows.where(where) if where else rows
+        if not where and not predicates:
+            return self.read_table(spark, schema, table)
+        name = f"{schema}.{table}"
+        rows = jdbc.read_table(spark, self.kind, self.credentials, name, where, predicates)
+        return rows.coalesce(self.parallel_loads) if predicates else rows

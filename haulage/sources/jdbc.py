@@ -51,7 +51,7 @@ def options(kind: str, credentials: Mapping) -> dict[str, str]:
     }
     if not credentials.get("trusted_connection"):
         chosen.update({k: str(credentials[k]) for k in ("user", "password") if k in credentials})
-    return chosen
+    return {**chosen, **credentials.get("jdbc_options", {})}
 
 
 def register_catalog(spark: SparkSession, name: str, kind: str, credentials: Mapping) -> None:
@@ -72,9 +72,23 @@ def read_query(spark: SparkSession, kind: str, credentials: Mapping, query: str)
     return spark.read.format("jdbc").options(**options(kind, credentials)).option("query", query).load()
 
 
-def read_partitions(
-    spark: SparkSession, kind: str, credentials: Mapping, table: str, predicates: list[str]
+def table_query(table: str, where: str | None) -> str:
+    """What to read of a table: all of it, or the rows a predicate of the database selects."""
+    return f"(SELECT * FROM {table} WHERE {where}) q" if where else table
+
+
+def read_table(
+    spark: SparkSession,
+    kind: str,
+    credentials: Mapping,
+    table: str,
+    where: str | None = None,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
+    """A table, or one partition for each predicate. Columns and filters are pushed down."""
     properties = options(kind, credentials)
     address = properties.pop("url")
-    return spark.read.jdbc(address, table, predicates=predicates, properties=properties)
+    source = table_query(table, where)
+    if predicates:
+        return spark.read.jdbc(address, source, predicates=predicates, properties=properties)
+    return spark.read.jdbc(address, source, properties=properties)

@@ -40,3 +40,15 @@ def test_the_catalog_is_registered_with_pushdown(spark):
 
 def test_credentials_are_not_shown():
     assert "secret" not in repr(Endpoint(credentials={"password": "secret"}))
+
+
+def test_the_filter_of_a_connection_stays_in_the_database():
+    assert jdbc.table_query("s.t", None) == "s.t"
+    assert jdbc.table_query("s.t", "day > sysdate - 1") == \
+        "(SELECT * FROM s.t WHERE day > sysdate - 1) q"
+
+
+def test_further_options_are_passed_on():
+    extra = {"jdbc_options": {"sessionInitStatement": "SET x", "fetchsize": "9"}}
+    found = jdbc.options("postgres", {**LOGIN, **extra})
+    assert found["sessionInitStatement"] == "SET x" and found["fetchsize"] == "9"
