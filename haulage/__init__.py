@@ -5,6 +5,7 @@ from .plans.project import ProjectResult, run_load, run_project
 from .plans.runlog import RunLog
 from .plans.strategies import (
     LoadResult,
+    load_delimited,
     load_full_query,
     load_full_table,
     load_incremental,
@@ -19,6 +20,7 @@ __all__ = [
     "ProjectResult",
     "ReadOnlyEndpoint",
     "RunLog",
+    "load_delimited",
     "load_full_query",
     "load_full_table",
     "load_incremental",

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from .config import Project
 from .plans.project import run_project
-from .plans.strategies import ERROR
+from .status import ERROR
 
 
 def main(arguments: list[str] | None = None) -> int:

@@ -15,7 +15,14 @@ ESCAPES = [("\\", "\\x5C"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\x00")]
 
 def strip_nul(value: Column) -> Column:
     """Remove NUL characters, which most databases refuse in text."""
-    return F.translate(value, "\x00", "")
+    return F.replace(value, F.lit("\x00"), F.lit(""))
+
+
+def on_one_line(value: Column) -> Column:
+    """Carriage returns and line feeds as spaces."""
+    for line_end in "\r\n":
+        value = F.replace(value, F.lit(line_end), F.lit(" "))
+    return value
 
 
 def _timestamp_parts(value: Column) -> tuple[Column, Column]:

@@ -14,28 +14,25 @@ from .extract import HighWater, KeyRanges, marker_text
 WIDEST = 2**63 - 1
 
 
-def _key_field(df: DataFrame, key: str) -> T.StructField:
-    if key not in df.columns:
-        raise KeyError(f"no column {key!r}")
-    return df.schema[key]
+def _key_type(df: DataFrame, key: str) -> T.DataType:
+    """Type of a key column; fails when there is none of that name."""
+    return df.select(quoted(key)).schema[0].dataType
 
 
 def key_max(df: DataFrame, key: str) -> DataFrame:
     """Largest key as text; NULL for an empty table."""
-    _key_field(df, key)
     return df.agg(F.max(quoted(key)).cast("string").alias("max_value"))
 
 
 def key_min_max(df: DataFrame, key: str) -> DataFrame:
     """Smallest and largest key."""
-    _key_field(df, key)
     return df.agg(F.min(quoted(key)).alias("min_value"), F.max(quoted(key)).alias("max_value"))
 
 
 def key_min_max_batch(df: DataFrame, key: str, batch_rows: int) -> DataFrame:
     """Smallest and largest key, and the key width that holds about ``batch_rows`` rows:
     ``ceil((max - min) / (rows / batch_rows))``, and never less than 1."""
-    dtype = _key_field(df, key).dataType
+    dtype = _key_type(df, key)
     bounds = df.agg(
         F.min(quoted(key)).alias("min_value"),
         F.max(quoted(key)).alias("max_value"),
@@ -76,7 +73,7 @@ def high_water(df: DataFrame, key: str, hint: str | None = None) -> HighWater |
     there are none (rows were removed since), all rows decide. Either way the answer
     is the true maximum.
     """
-    dtype = _key_field(df, key).dataType
+    dtype = _key_type(df, key)
     largest = marker_text(F.max(quoted(key)), dtype).alias("text")
     text = None
     if hint is not None:

@@ -65,8 +65,8 @@ def insert(df: DataFrame, name: str, largest: Column | None = None) -> Written:
 
 
 def aligned(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The frame in the target's column order; the names must agree."""
-    if sorted(df.columns) != sorted(columns):
+    """The frame in the target's column order; the names must agree, but for their case."""
+    if sorted(name.lower() for name in df.columns) != sorted(name.lower() for name in columns):
         raise ValueError(f"columns differ: {df.columns} and {columns}")
     return df.select(*(quoted(name) for name in columns))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import quoted
-from ..functions.text import WHITESPACE, plain_text
+from ..functions.text import WHITESPACE, on_one_line, plain_text
 from ..sources.delimited import DELIMITER
 
 
@@ -17,4 +17,4 @@ def normalise_text_rows(df: DataFrame, delimiter: str = DELIMITER) -> DataFrame:
         F.coalesce(F.btrim(plain_text(F.col(quoted(f.name)), f.dataType), F.lit(WHITESPACE)), F.lit(""))
         for f in df.schema
     ]
-    return df.select(F.translate(F.concat_ws(delimiter, *values), "\r\n", "  ").alias("line"))
+    return df.select(on_one_line(F.concat_ws(delimiter, *values)).alias("line"))

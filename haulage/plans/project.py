@@ -12,17 +12,9 @@ from pyspark.sql import SparkSession
 
 from ..config import FULL_TABLE, INCREMENTAL, LoadSpec, Project
 from ..sources.endpoint import Endpoint
+from ..status import END, ERROR, START, WARN
 from .runlog import RunLog
-from .strategies import (
-    END,
-    ERROR,
-    START,
-    WARN,
-    LoadResult,
-    load_full_query,
-    load_full_table,
-    load_incremental,
-)
+from .strategies import LoadResult, load_full_query, load_full_table, load_incremental
 
 logger = logging.getLogger(__name__)
 
@@ -68,6 +60,7 @@ def run_load(
         result = LoadResult(ERROR, message=f"{type(error).__name__}: {error}")
     finally:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        spark.sparkContext.setJobDescription(None)
     ended_at = datetime.now()
     seconds = (ended_at - started_at).total_seconds()
     rate = int(result.imported_rows / seconds) if seconds else 0

@@ -12,7 +12,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from ..functions.names import quoted
@@ -27,21 +27,20 @@ from ..operators.publish import (
     append_and_drop,
     create_table,
     get_marker,
+    import_delimited,
     insert,
     set_marker,
     swap_table,
 )
+from ..sources.delimited import DELIMITER
 from ..sources.endpoint import Endpoint
+from ..status import DONE, ERROR, WARN
 
 logger = logging.getLogger(__name__)
 
-# Status words of loads and runs.
-DONE, WARN, ERROR, START, END = "DONE", "WARN", "ERROR", "START", "END"
-
-
 @dataclass(frozen=True)
 class LoadResult:
-    """Outcome of one load. ``WARN`` means that rows read and rows stored differ."""
+    """Outcome of one load. ``WARN`` means that rows read and rows stored differ in number."""
 
     status: str
     exported_rows: int = 0
@@ -189,6 +188,28 @@ def load_full_query(
     return _full(spark, rows, target, target_schema, target_table)
 
 
+@_reported
+def load_delimited(
+    spark: SparkSession,
+    path: str,
+    columns: T.StructType,
+    target: Endpoint,
+    target_schema: str,
+    target_table: str,
+    delimiter: str = DELIMITER,
+    skip_bad_rows: bool = False,
+) -> LoadResult:
+    """Replace the target with staged text. Lines that were left out make it a ``WARN``."""
+    target.require_writable()
+    staging = target_table + STAGING
+    create_table(spark, target, target_schema, staging, columns)
+    imported = import_delimited(
+        spark, path, target, target_schema, staging, delimiter, skip_bad_rows
+    )
+    swap_table(spark, target, target_schema, target_table, staging)
+    return _finished(imported.rows + imported.rejected, imported.rows)
+
+
 @_reported
 def load_incremental(
     spark: SparkSession,

@@ -48,6 +48,7 @@ def options(kind: str, credentials: Mapping) -> dict[str, str]:
         "driver": str(credentials.get("jdbc_driver") or DRIVERS[kind]),
         "fetchsize": str(FETCH_ROWS),
         "batchsize": str(WRITE_ROWS),
+        "preferTimestampNTZ": "true",
     }
     if not credentials.get("trusted_connection"):
         chosen.update({k: str(credentials[k]) for k in ("user", "password") if k in credentials})

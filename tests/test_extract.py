@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import ROWS, values
@@ -160,5 +161,5 @@ def test_one_hot_key_still_gives_one_row_per_range(spark):
 def test_keys_must_be_numeric(make):
     with pytest.raises(TypeError):
         key_ranges(make("t", ROWS), "name_col", 10)
-    with pytest.raises(KeyError):
+    with pytest.raises(AnalysisException):
         key_ranges(make("t", ROWS), "missing", 10)

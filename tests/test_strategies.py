@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ROWS, values
-from haulage import Endpoint, load_full_query, load_full_table, load_incremental
+from haulage import Endpoint, load_delimited, load_full_query, load_full_table, load_incremental
+from haulage.functions.names import qualified
 from haulage.operators.publish import get_marker
 from haulage.plans import strategies
+from haulage.sources.delimited import export_delimited
 
 
 def full(spark, lake, schema, **options):
@@ -185,3 +187,51 @@ def test_oracle_values_lose_their_nul_bytes(spark, lake):
     df = spark.sql("SELECT concat('a', char(0), 'b') AS s, cast(3 AS decimal(10,0)) AS n")
     moved = strategies._for_target(df, Endpoint(name="ora", kind="oracle"), lake)
     assert values(moved) == [("ab", 3)] and dict(moved.dtypes)["n"] == "bigint"
+
+
+class Database(Endpoint):
+    """Takes the ways of a database target, with its tables in the session catalog."""
+
+    def use(self, spark):
+        pass
+
+    def schema_name(self, schema):
+        return qualified(schema)
+
+    def table_name(self, schema, table):
+        return qualified(schema, table)
+
+
+def test_a_database_target_is_staged_then_appended(spark, lake, schema, make):
+    make("src", ROWS)
+    database = Database(name="pg", kind="postgres", parallel_loads=2)
+    ends = (spark, lake, schema, "src", database, schema, "tgt")
+    assert outcome(load_full_table(*ends)) == ("DONE", 5, 5)
+    make("src", [*ROWS, (6, "Sixth", None), (7, "Seventh", None)])
+    assert outcome(load_incremental(*ends, replication_key="id_col")) == ("DONE", 2, 2)
+    assert outcome(load_incremental(*ends, replication_key="id_col")) == ("DONE", 0, 0)
+    assert spark.table(f"{schema}.tgt").count() == 7
+    assert not spark.catalog.tableExists(f"{schema}.tgt_tmp")
+
+
+def test_staged_text_can_be_loaded(spark, lake, schema, make, folder):
+    people = make("people", ROWS)
+    make("tgt", ROWS[:1])
+    export_delimited(people, folder + "/good")
+    found = load_delimited(spark, folder + "/good", people.schema, lake, schema, "tgt")
+    assert outcome(found) == ("DONE", 5, 5) and values(spark.table(f"{schema}.tgt")) == ROWS
+    rows = people.selectExpr("if(id_col = 2, 'two', cast(id_col AS string)) AS id_col", "name_col", "datetime_col")
+    export_delimited(rows, folder + "/bad")
+    assert load_delimited(spark, folder + "/bad", people.schema, lake, schema, "tgt").status == "ERROR"
+    assert values(spark.table(f"{schema}.tgt")) == ROWS
+    found = load_delimited(spark, folder + "/bad", people.schema, lake, schema, "tgt", skip_bad_rows=True)
+    assert outcome(found) == ("WARN", 5, 4)
+    assert values(spark.table(f"{schema}.tgt"), "id_col") == [(1,), (3,), (4,), (5,)]
+
+
+def test_names_may_differ_in_case(spark, lake, schema, make):
+    make("src", ROWS)
+    spark.sql(f"CREATE TABLE {schema}.tgt USING parquet AS SELECT id_col AS ID_COL, name_col AS NAME_COL,"
+              f" datetime_col AS DATETIME_COL FROM {schema}.src WHERE id_col < 4")
+    assert outcome(increment(spark, lake, schema)) == ("DONE", 2, 2)
+    assert values(spark.table(f"{schema}.tgt")) == ROWS
