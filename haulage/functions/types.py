@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from .names import quoted
-from .text import two_digits
+from .text import strip_nul, two_digits
 
 
 class UnsupportedType(ValueError):
@@ -306,12 +306,14 @@ def cast_for_target(df: DataFrame, dialect: str, widen: bool = True) -> DataFram
 
 
 def cast_from_oracle(df: DataFrame) -> DataFrame:
-    """Whole numbers that fit 64 bits become integers; other columns stay as they are."""
+    """Whole numbers that fit 64 bits become integers, and text loses its NUL characters."""
     projected = []
     for field in df.schema:
         value = F.col(quoted(field.name))
         dtype = field.dataType
         if isinstance(dtype, T.DecimalType) and dtype.scale == 0 and dtype.precision <= 18:
             value = value.cast("bigint")
+        elif isinstance(dtype, T.StringType):
+            value = strip_nul(value)
         projected.append(value.alias(field.name, metadata=field.metadata))
     return df.select(*projected)

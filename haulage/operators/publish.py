@@ -6,7 +6,7 @@ statements are plain Spark SQL, so they act on a Spark catalog or on a database
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -96,24 +96,19 @@ def swap_table(
     name, new = target.table_name(schema, table), target.table_name(schema, staging)
     old = target.table_name(schema, table + RETIRED)
     if not spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {new} RENAME TO {_rename(target, schema, table)}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {target.new_name(schema, table)}")
         spark.sql(f"DROP TABLE IF EXISTS {old}")
         return
     spark.sql(f"DROP TABLE IF EXISTS {old}")
-    spark.sql(f"ALTER TABLE {name} RENAME TO {_rename(target, schema, table + RETIRED)}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {target.new_name(schema, table + RETIRED)}")
     try:
-        spark.sql(f"ALTER TABLE {new} RENAME TO {_rename(target, schema, table)}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {target.new_name(schema, table)}")
     except Exception:
-        spark.sql(f"ALTER TABLE {old} RENAME TO {_rename(target, schema, table)}")
+        spark.sql(f"ALTER TABLE {old} RENAME TO {target.new_name(schema, table)}")
         raise
     spark.sql(f"DROP TABLE {old}")
 
 
-def _rename(target: Endpoint, schema: str, table: str) -> str:
-    """New names are given without the catalog, which a rename cannot change."""
-    return f"{quoted(schema)}.{quoted(table)}"
-
-
 def truncate_table(spark: SparkSession, target: Endpoint, schema: str, table: str) -> None:
     """Empty a table and keep its columns."""
     target.require_writable()
@@ -153,22 +148,36 @@ def import_delimited(
     return Imported(counts.get["rows"] - rejected, rejected)
 
 
-def set_marker(spark: SparkSession, target: Endpoint, schema: str, table: str, key: str, text: str) -> None:
-    """Remember the largest loaded key with the table, as a hint for the next load."""
-    if not target.is_jdbc:
-        name = target.table_name(schema, table)
-        prop = f"{text_literal(_marker(key))} = {text_literal(text)}"
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({prop})")
+@dataclass(frozen=True)
+class Markers:
+    """What a target remembers of its increments, as table properties.
+
+    ``largest`` is the largest key of the last complete append: a hint of where to look
+    for the maximum. ``pending`` is the maximum an append started from, as long as that
+    append has not been confirmed.
+    """
+
+    largest: str | None = None
+    pending: str | None = None
 
 
-def get_marker(spark: SparkSession, target: Endpoint, schema: str, table: str, key: str) -> str | None:
-    """The remembered key, None when there is none."""
+def get_markers(spark: SparkSession, target: Endpoint, schema: str, table: str, key: str) -> Markers:
+    """The markers of a key; databases keep none."""
     if target.is_jdbc:
-        return None
+        return Markers()
     name = target.table_name(schema, table)
     found = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    return found.get(_marker(key))
+    return Markers(*(found.get(f"haulage.{f.name}.{key}") or None for f in fields(Markers)))
 
 
-def _marker(key: str) -> str:
-    return f"haulage.high_water.{key}"
+def set_markers(
+    spark: SparkSession, target: Endpoint, schema: str, table: str, key: str, markers: Markers
+) -> None:
+    """Replace the markers of a key; absent ones are stored as empty text."""
+    if target.is_jdbc:
+        return
+    properties = ", ".join(
+        f"{text_literal(f'haulage.{f.name}.{key}')} = {text_literal(getattr(markers, f.name) or '')}"
+        for f in fields(Markers)
+    )
+    spark.sql(f"ALTER TABLE {target.table_name(schema, table)} SET TBLPROPERTIES ({properties})")

@@ -124,7 +124,7 @@ class RunLog:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.endpoint.schema_name(self.schema)}")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}){using}")
-        if not self.endpoint.is_jdbc:
+        if self.endpoint.in_session_catalog:  # other catalogs hold no Spark views
             self._create_views()
 
     def _create_views(self) -> None:

@@ -12,24 +12,24 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from ..functions.names import quoted
-from ..functions.text import strip_nul
-from ..functions.types import cast_for_target, cast_from_oracle, describe
+from ..functions.types import cast_for_target, cast_from_oracle
 from ..operators.extract import HighWater, KeyRanges, extract, marker_text, supported_columns
 from ..operators.profile import batch_row_counts, high_water, key_ranges
 from ..operators.publish import (
     STAGING,
+    Markers,
     Written,
     aligned,
     append_and_drop,
     create_table,
-    get_marker,
+    get_markers,
     import_delimited,
     insert,
-    set_marker,
+    set_markers,
     swap_table,
 )
 from ..sources.delimited import DELIMITER
@@ -95,14 +95,19 @@ def _for_target(df: DataFrame, source: Endpoint, target: Endpoint) -> DataFrame:
     """Value rules of the two ends: Oracle numbers and NULs, and the target's types."""
     if source.kind == "oracle":
         df = cast_from_oracle(df)
-        text = [c.name for c in describe(df.schema) if c.type == "str"]
-        df = df.withColumns({name: strip_nul(F.col(quoted(name))) for name in text})
     if target.is_jdbc:
         # each write task holds a database connection
         df = cast_for_target(df, target.dialect).coalesce(target.parallel_loads)
     return df
 
 
+def _largest(df: DataFrame, target: Endpoint, key: str | None) -> Column | None:
+    """Measure of the largest key written, where the target can remember it."""
+    if key is None or target.is_jdbc:
+        return None
+    return marker_text(F.max(quoted(key)), df.select(quoted(key)).schema[0].dataType)
+
+
 def _stage(
     spark: SparkSession,
     df: DataFrame,
@@ -111,16 +116,20 @@ def _stage(
     table: str,
     ranges: KeyRanges | None = None,
     key: str | None = None,
-) -> tuple[Written, int]:
-    """Fill a new staging table; returns what was written and what is stored."""
+) -> Written:
+    """Fill a new staging table and make sure that it holds the rows read, no more, no less."""
     create_table(spark, target, schema, table + STAGING, df.schema)
-    largest = marker_text(F.max(quoted(key)), df.schema[key].dataType) if key else None
-    written = insert(df, target.table_name(schema, table + STAGING), largest)
+    name = target.table_name(schema, table + STAGING)
+    written = insert(df, name, _largest(df, target, key))
     staged = target.read_table(spark, schema, table + STAGING)
-    if ranges is None:
-        return written, staged.count()
-    counts = batch_row_counts(staged, ranges)
-    return written, counts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n")).first().n
+    if ranges is None or target.is_jdbc:
+        stored = staged.count()
+    else:
+        counts = batch_row_counts(staged, ranges)
+        stored = counts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")).first().rows
+    if stored != written.rows:
+        raise RuntimeError(f"{name} holds {stored} rows of {written.rows} read")
+    return written
 
 
 def _full(
@@ -133,11 +142,11 @@ def _full(
     key: str | None = None,
 ) -> LoadResult:
     """Stage, publish by rename, and remember the largest key for later increments."""
-    written, stored = _stage(spark, df, target, schema, table, ranges, key)
+    written = _stage(spark, df, target, schema, table, ranges, key)
     swap_table(spark, target, schema, table, table + STAGING)
     if written.largest is not None:
-        set_marker(spark, target, schema, table, key, written.largest)
-    return _finished(written.rows, stored)
+        set_markers(spark, target, schema, table, key, Markers(written.largest))
+    return _finished(written.rows, written.rows)
 
 
 @_reported
@@ -238,33 +247,57 @@ def load_incremental(
         return LoadResult(ERROR, message="replication key not found in table")
     mark = None
     if target.table_exists(spark, target_schema, target_table):
-        hint = get_marker(spark, target, target_schema, target_table, replication_key)
-        loaded = target.read_table(spark, target_schema, target_table)
-        mark = high_water(loaded, replication_key, hint)
+        mark = _loaded_mark(spark, target, target_schema, target_table, replication_key)
     if mark is None:
         return _full_table(spark, source, source_schema, source_table, columns, target,
                            target_schema, target_table, parallelization_key, replication_key)
-    rows, ranges = _source_rows(
+    rows, _ = _source_rows(
         spark, source, source_schema, source_table, columns, mark, parallelization_key
     )
     rows = _for_target(rows, source, target)
-    return _append(spark, rows, target, target_schema, target_table, replication_key)
+    append = _append_staged if target.is_jdbc else _append
+    return append(spark, rows, target, target_schema, target_table, mark)
+
+
+def _loaded_mark(
+    spark: SparkSession, target: Endpoint, schema: str, table: str, key: str
+) -> HighWater | None:
+    """The largest key of a target; None when it has to be loaded in full.
+
+    That is also so after an append that was cut short while its files were published:
+    the largest key has moved on, but rows below it may be missing.
+    """
+    markers = get_markers(spark, target, schema, table, key)
+    mark = high_water(target.read_table(spark, schema, table), key, markers.largest)
+    if markers.pending and mark is not None and mark.text != markers.pending:
+        logger.warning("%s.%s: an earlier append was cut short, loading in full", schema, table)
+        return None
+    return mark
 
 
 def _append(
-    spark: SparkSession, df: DataFrame, target: Endpoint, schema: str, table: str, key: str
+    spark: SparkSession, df: DataFrame, target: Endpoint, schema: str, table: str, mark: HighWater
 ) -> LoadResult:
-    if target.is_jdbc:
-        # tasks commit on their own there: count the rows before they reach the target
-        written, stored = _stage(spark, df, target, schema, table)
-        append_and_drop(spark, target, schema, table, table + STAGING)
-        return _finished(written.rows, stored)
-    # An increment is a few rows out of each of many source splits. Rebalancing it gives
-    # files of a useful size whatever the number of splits and however its keys are spread.
+    """Append in one write.
+
+    An increment is a few rows out of each of many source splits. Rebalancing it gives
+    files of a useful size whatever the number of splits and however its keys are spread.
+    """
     columns = target.read_table(spark, schema, table).columns
     rows = aligned(df, columns).hint("rebalance")
-    largest = marker_text(F.max(quoted(key)), df.schema[key].dataType)
+    set_markers(spark, target, schema, table, mark.key, Markers(mark.text, pending=mark.text))
+    largest = _largest(rows, target, mark.key)
     written = insert(rows, target.table_name(schema, table), largest)
-    if written.largest is not None:
-        set_marker(spark, target, schema, table, key, written.largest)
-    return LoadResult(DONE, written.rows, written.rows)
+    set_markers(spark, target, schema, table, mark.key, Markers(written.largest or mark.text))
+    return _finished(written.rows, written.rows)
+
+
+def _append_staged(
+    spark: SparkSession, df: DataFrame, target: Endpoint, schema: str, table: str, mark: HighWater
+) -> LoadResult:
+    """Append by way of a staging table: the tasks of a database write commit one by one,
+    so rows are counted before they reach the target, and again when they are there."""
+    written = _stage(spark, df, target, schema, table)
+    append_and_drop(spark, target, schema, table, table + STAGING)
+    added = target.read_table(spark, schema, table).where(mark.newer)
+    return _finished(written.rows, added.count())

@@ -82,11 +82,24 @@ class Endpoint:
         if self.is_jdbc:
             jdbc.register_catalog(spark, self.name, self.kind, self.credentials)
 
+    @property
+    def in_session_catalog(self) -> bool:
+        return not self.is_jdbc and self.catalog in (None, "spark_catalog")
+
+    def _names(self, *names: str) -> list[str]:
+        """Names as the database would read them without quotes."""
+        fold = {"postgres": str.lower, "snowflake": str.upper}.get(self.kind, str)
+        return [fold(name) for name in names]
+
     def schema_name(self, schema: str) -> str:
-        return qualified(self.name if self.is_jdbc else self.catalog, schema)
+        return qualified(self.name if self.is_jdbc else self.catalog, *self._names(schema))
 
     def table_name(self, schema: str, table: str) -> str:
-        return qualified(self.name if self.is_jdbc else self.catalog, schema, table)
+        return qualified(self.name if self.is_jdbc else self.catalog, *self._names(schema, table))
+
+    def new_name(self, schema: str, table: str) -> str:
+        """A name to rename to; it cannot move a table to another catalog."""
+        return qualified(*self._names(schema, table))
 
     def table_exists(self, spark: SparkSession, schema: str, table: str) -> bool:
         self.use(spark)

@@ -79,6 +79,12 @@ def test_connection_options():
     assert (endpoint.kind, endpoint.read_only, endpoint.limit_rows, endpoint.table_where_clause,
             endpoint.parallel_loads, endpoint.batch_rows) == ("postgres", True, 100, "x > 1", 3, 500)
     assert endpoint.table_name("public", "t") == "`pg`.`public`.`t`"
+    assert endpoint.table_name("Public", "T") == "`pg`.`public`.`t`"
+    assert endpoint.new_name("Public", "T") == "`public`.`t`"
+    snowflake = Endpoint(name="sf", kind="snowflake")
+    assert snowflake.table_name("dw", "orders") == "`sf`.`DW`.`ORDERS`"
+    assert Endpoint(kind="oracle", name="o").table_name("Dw", "t") == "`o`.`Dw`.`t`"
+    assert Endpoint(catalog="ice").table_name("Dw", "t") == "`ice`.`Dw`.`t`"
     assert Endpoint().batch_rows == 1_000_000 and Endpoint().parallel_loads == 10
     with pytest.raises(ValueError):
         Endpoint.from_config("x", {"type": "abacus", "target": "dev", "outputs": {"dev": {}}})

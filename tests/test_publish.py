@@ -8,13 +8,14 @@ from haulage import Endpoint, ReadOnlyEndpoint, RunLog, load_full_query
 from haulage.functions.types import ColumnInfo
 from haulage.operators import publish
 from haulage.operators.publish import (
+    Markers,
     aligned,
     append_and_drop,
     create_table,
     create_table_from_columns,
-    get_marker,
+    get_markers,
     import_delimited,
-    set_marker,
+    set_markers,
     swap_table,
     truncate_table,
 )
@@ -110,10 +111,12 @@ def test_truncate(spark, lake, schema, make):
 
 def test_markers(spark, lake, schema, make):
     make("t", ROWS)
-    assert get_marker(spark, lake, schema, "t", "name_col") is None
-    set_marker(spark, lake, schema, "t", "name_col", "O'Brien \\ x")
-    assert get_marker(spark, lake, schema, "t", "name_col") == "O'Brien \\ x"
-    assert get_marker(spark, lake, schema, "t", "id_col") is None
+    ends = (spark, lake, schema, "t")
+    assert get_markers(*ends, "name_col") == Markers()
+    set_markers(*ends, "name_col", Markers("O'Brien \\ x", "a;b"))
+    assert get_markers(*ends, "name_col") == Markers("O'Brien \\ x", "a;b")
+    set_markers(*ends, "name_col", Markers("z"))
+    assert get_markers(*ends, "name_col") == Markers("z") and get_markers(*ends, "id_col") == Markers()
 
 
 def test_a_read_only_endpoint_refuses_every_write(spark, lake, schema, make, folder):

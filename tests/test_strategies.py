@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import ROWS, values
 from haulage import Endpoint, load_delimited, load_full_query, load_full_table, load_incremental
 from haulage.functions.names import qualified
-from haulage.operators.publish import get_marker
+from haulage.operators.publish import Markers, get_markers, set_markers
 from haulage.plans import strategies
 from haulage.sources.delimited import export_delimited
 
@@ -129,7 +129,7 @@ def test_increment_without_a_key(spark, lake, schema, make):
 def test_first_increment_loads_everything(spark, lake, schema, make):
     make("src", [*ROWS, (None, "No key", None)])
     assert outcome(increment(spark, lake, schema)) == ("DONE", 6, 6)
-    assert get_marker(spark, lake, schema, "tgt", "id_col") == "5"
+    assert get_markers(spark, lake, schema, "tgt", "id_col") == Markers("5")
 
 
 @pytest.mark.parametrize("rows", [[], [(None, "No key", None)]])
@@ -148,6 +148,36 @@ def test_late_and_changed_rows_are_not_seen(spark, lake, schema, make):
     assert values(spark.table(f"{schema}.tgt")) == ROWS[:4]
 
 
+def test_an_append_that_was_cut_short_is_made_good(spark, lake, schema, make):
+    make("src", ROWS)
+    make("tgt", ROWS[:2])
+    # the driver was lost while publishing: a later row is there, an earlier one is not
+    set_markers(spark, lake, schema, "tgt", "id_col", Markers("2", pending="2"))
+    spark.sql(f"INSERT INTO {schema}.tgt SELECT * FROM {schema}.src WHERE id_col = 4")
+    assert outcome(increment(spark, lake, schema)) == ("DONE", 5, 5)
+    assert values(spark.table(f"{schema}.tgt")) == ROWS
+    assert get_markers(spark, lake, schema, "tgt", "id_col") == Markers("5")
+
+
+def test_an_append_that_published_nothing_is_simply_repeated(spark, schema, make):
+    make("src", ROWS)
+    make("tgt", ROWS[:3])
+    broken = Endpoint(table_where_clause="id_col < 5 OR raise_error('broken') IS NULL")
+    assert increment(spark, broken, schema).status == "ERROR"
+    assert get_markers(spark, broken, schema, "tgt", "id_col") == Markers("3", pending="3")
+    assert outcome(increment(spark, Endpoint(), schema)) == ("DONE", 2, 2)
+    assert values(spark.table(f"{schema}.tgt")) == ROWS
+
+
+def test_a_staging_table_with_other_rows_is_not_published(spark, lake, schema, make, monkeypatch):
+    make("src", ROWS)
+    make("tgt", ROWS[:1])
+    monkeypatch.setattr(strategies, "insert", lambda df, name, largest=None: strategies.Written(5))
+    result = full(spark, lake, schema)
+    assert result.status == "ERROR" and "holds 0 rows of 5" in result.message
+    assert values(spark.table(f"{schema}.tgt")) == ROWS[:1]
+
+
 def test_rows_removed_from_the_target_are_loaded_again(spark, lake, schema, make):
     make("src", ROWS)
     increment(spark, lake, schema)
