@@ -275,6 +275,15 @@ def _clock_text(interval: Column) -> Column:
     )
 
 
+def _narrowed(value: Column) -> Column:
+    """A whole number in 32 bits; one that does not fit fails, whatever the session's mode."""
+    narrow = value.try_cast("int")
+    message = F.concat(F.lit("out of range for type int: "), value.cast("string"))
+    return F.when(value.isNull() | narrow.isNotNull(), narrow).otherwise(
+        F.raise_error(message).cast("int")
+    )
+
+
 def cast_for_target(df: DataFrame, dialect: str, widen: bool = True) -> DataFrame:
     """Project every column to the representation the target database stores.
 
@@ -294,7 +303,7 @@ def cast_for_target(df: DataFrame, dialect: str, widen: bool = True) -> DataFram
             elif name == "int" and known[name].lower() == "bigint":
                 value = value.cast("bigint")
             elif name == "int" and not widen:
-                value = value.cast("int")
+                value = _narrowed(value)
             elif name == "float":
                 value = value.cast("float" if known[name] == "real" and not widen else "double")
             elif name == "datetime.datetime":

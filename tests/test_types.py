@@ -116,6 +116,17 @@ def test_casts_for_postgres_narrow_only_when_told(spark):
     assert (narrow["n"], narrow["f"], narrow["b"]) == ("int", "float", "boolean")
 
 
+def test_narrowing_never_wraps(spark):
+    df = spark.sql("SELECT * FROM VALUES (2147483647L), (NULL) t(n)")
+    assert values(cast_for_target(df, "postgres", widen=False)) == [(2147483647,), (None,)]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="out of range"):
+            cast_for_target(spark.sql("SELECT 2147483648L AS n"), "postgres", widen=False).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_casts_for_spark_change_nothing(spark):
     df = sample(spark)
     assert cast_for_target(df, "spark").collect() == df.collect()
