@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from haulage import Endpoint, LoadSpec, Project, RunLog, run_load, run_project
 from haulage.functions.text import WHITESPACE, spool_text, strip_nul
 from haulage.functions.types import cast_for_target, describe
-from haulage.operators.extract import drop_unsupported_columns, extract, in_ranges
+from haulage.operators.extract import (
+    drop_unsupported_columns,
+    extract,
+    files_with_newer,
+    in_ranges,
+)
 from haulage.operators.profile import (
     batch_row_counts,
     high_water,
@@ -114,7 +119,8 @@ def _seed_mark(orders: DataFrame):
 
 def q_extract_high_water(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
-    return extract(orders, high_water=_seed_mark(orders))
+    mark = _seed_mark(orders)
+    return extract(files_with_newer(orders, mark), high_water=mark)
 
 
 def q_extract_conjunction(spark, sf_dir):

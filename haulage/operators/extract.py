@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
@@ -44,6 +45,29 @@ def marker_text(key: Column, dtype: T.DataType) -> Column:
     return key.cast("string")
 
 
+# Files that can be singled out by name for an increment.
+NAMED_FILES = 10_000
+
+
+def files_with_newer(df: DataFrame, mark: HighWater) -> DataFrame:
+    """The rows of those files of a table that hold keys above the mark.
+
+    Spark skips no Parquet data on timestamp statistics, so a predicate on such a key
+    reads every column of the whole table. Reading the key column alone finds the files
+    that matter, and the scan then opens no others. Where they are too many to name, or
+    the rows do not come from files, all rows are returned: the predicate decides then.
+    """
+    if not isinstance(mark.dtype, (T.TimestampType, T.TimestampNTZType)):
+        return df
+    path = F.col("_metadata.file_path")
+    try:
+        holding = df.where(mark.newer).select(path.alias("path")).distinct()
+    except AnalysisException:
+        return df
+    found = [row.path for row in holding.limit(NAMED_FILES + 1).collect()]
+    return df if len(found) > NAMED_FILES else df.where(path.isin(found))
+
+
 def extract(
     df: DataFrame,
     columns: Sequence[str] | None = None,

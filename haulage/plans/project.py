@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from ..config import FULL_TABLE, INCREMENTAL, LoadSpec, Project
 from ..sources.endpoint import Endpoint
-from ..status import END, ERROR, START, WARN
+from ..status import END, ERROR, START, WARN, WITH_ERRORS, WITH_WARNINGS, WITHOUT_FAULT
 from .runlog import RunLog
 from .strategies import LoadResult, load_full_query, load_full_table, load_incremental
 
@@ -22,15 +22,15 @@ logger = logging.getLogger(__name__)
 def _load(spark: SparkSession, load: LoadSpec, source: Endpoint, target: Endpoint) -> LoadResult:
     """Pick the strategy and run it."""
     if load.replication_method not in (FULL_TABLE, INCREMENTAL):
-        return LoadResult(ERROR, message="replication_method not valid")
+        return LoadResult(ERROR, message="unknown replication method")
     if load.query:
         if load.replication_method == INCREMENTAL:
-            return LoadResult(ERROR, message="INCREMENTAL not implemented for queries")
+            return LoadResult(ERROR, message="a query cannot be loaded incrementally")
         return load_full_query(
             spark, source, load.query, target, load.target_schema, load.target_table
         )
     if not source.table_exists(spark, load.source_schema, load.source_table):
-        return LoadResult(ERROR, message="does not exist in source")
+        return LoadResult(ERROR, message="the source has no such table")
     ends = (source, load.source_schema, load.source_table,
             target, load.target_schema, load.target_table)
     if load.replication_method == FULL_TABLE:
@@ -93,8 +93,8 @@ class ProjectResult:
     @property
     def outcome(self) -> str:
         if self.count(ERROR):
-            return "Completed with errors"
-        return "Completed with warnings" if self.count(WARN) else "Completed successfully"
+            return WITH_ERRORS
+        return WITH_WARNINGS if self.count(WARN) else WITHOUT_FAULT
 
 
 def _started_log(spark: SparkSession, project: Project, started_at: datetime) -> RunLog | None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import duration_text, second_boundaries, throughput
 from ..sources.endpoint import Endpoint
+from ..status import DONE, ERROR, WARN, WITH_ERRORS, WITH_WARNINGS, WITHOUT_FAULT
 
 # Names, order and types of the log columns.
 LOG_SCHEMA = T.StructType([
@@ -79,14 +80,14 @@ def details(log: DataFrame) -> DataFrame:
 def outcomes(log: DataFrame) -> DataFrame:
     """Loads by status, and the outcome of the whole: errors outweigh warnings."""
     counts = log.agg(
-        F.count_if(F.col("status") == "DONE").alias("successes"),
-        F.count_if(F.col("status") == "WARN").alias("warnings"),
-        F.count_if(F.col("status") == "ERROR").alias("errors"),
+        F.count_if(F.col("status") == DONE).alias("successes"),
+        F.count_if(F.col("status") == WARN).alias("warnings"),
+        F.count_if(F.col("status") == ERROR).alias("errors"),
     )
     overall = (
-        F.when(F.col("errors") > 0, "Completed with errors")
-        .when(F.col("warnings") > 0, "Completed with warnings")
-        .otherwise("Completed successfully")
+        F.when(F.col("errors") > 0, WITH_ERRORS)
+        .when(F.col("warnings") > 0, WITH_WARNINGS)
+        .otherwise(WITHOUT_FAULT)
     )
     return counts.withColumn("outcome", overall)
 

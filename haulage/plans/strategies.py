@@ -17,7 +17,14 @@ from pyspark.sql import functions as F
 
 from ..functions.names import quoted
 from ..functions.types import cast_for_target, cast_from_oracle
-from ..operators.extract import HighWater, KeyRanges, extract, marker_text, supported_columns
+from ..operators.extract import (
+    HighWater,
+    KeyRanges,
+    extract,
+    files_with_newer,
+    marker_text,
+    supported_columns,
+)
 from ..operators.profile import batch_row_counts, high_water, key_ranges
 from ..operators.publish import (
     STAGING,
@@ -88,6 +95,8 @@ def _source_rows(
         ranges = key_ranges(keys, parallelization_key, source.batch_rows)
         if source.is_jdbc and ranges.count:
             rows = source.read_rows(spark, schema, table, ranges.predicates())
+    if mark is not None and source.holds_files(spark, schema, table):
+        rows = files_with_newer(rows, mark)
     return extract(rows, columns, mark, limit=source.limit_rows), ranges
 
 
@@ -240,11 +249,11 @@ def load_incremental(
     """
     target.require_writable()
     if not replication_key:
-        return LoadResult(ERROR, message="replication key not defined")
+        return LoadResult(ERROR, message="no replication key is given")
     table = source.read_table(spark, source_schema, source_table)
     columns = supported_columns(table, source.dialect, measure_columns)
     if replication_key not in columns:
-        return LoadResult(ERROR, message="replication key not found in table")
+        return LoadResult(ERROR, message="the replication key is not a loaded column")
     mark = None
     if target.table_exists(spark, target_schema, target_table):
         mark = _loaded_mark(spark, target, target_schema, target_table, replication_key)

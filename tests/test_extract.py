@@ -5,11 +5,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import ROWS, values
+from haulage.operators import extract as extraction
 from haulage.operators.extract import (
     HighWater,
     KeyRanges,
     drop_unsupported_columns,
     extract,
+    files_with_newer,
     in_ranges,
     supported_columns,
 )
@@ -52,6 +54,44 @@ def test_filters_and_columns_reach_the_scan(make):
     assert "Exchange" not in text
 
 
+def scanned(df) -> tuple[int, int]:
+    """Rows of a frame, and rows its scan read."""
+    execution = df._jdf.queryExecution()
+    count = execution.toRdd().count()
+    node = execution.executedPlan()
+    while not node.nodeName().startswith("Scan"):
+        node = node.children().apply(0)
+    return count, node.metrics().apply("numOutputRows").value()
+
+
+def clocked(spark, schema):
+    """A thousand rows in ten files, a second apart."""
+    rows = spark.range(0, 1000, 1, 10).selectExpr(
+        "id", "timestamp_ntz '2020-01-01' + make_dt_interval(0, 0, 0, id) AS at")
+    rows.write.saveAsTable(f"{schema}.clocked")
+    return spark.table(f"{schema}.clocked")
+
+
+def test_an_increment_by_time_opens_only_files_with_newer_rows(spark, schema):
+    table = clocked(spark, schema)
+    mark = high_water(table.where("id <= 850"), "at")
+    assert scanned(extract(table, high_water=mark)) == (149, 1000)
+    assert scanned(extract(files_with_newer(table, mark), ["id"], mark)) == (149, 200)
+    assert values(extract(files_with_newer(table, mark), ["id"], mark)) == values(
+        extract(table, ["id"], mark))
+    newest = high_water(table, "at")
+    assert extract(files_with_newer(table, newest), high_water=newest).count() == 0
+
+
+def test_files_are_not_named_where_there_are_none_or_too_many(spark, schema, monkeypatch):
+    table = clocked(spark, schema)
+    mark = high_water(table.where("id <= 850"), "at")
+    assert files_with_newer(spark.createDataFrame(table.collect(), table.schema), mark).count() == 1000
+    monkeypatch.setattr(extraction, "NAMED_FILES", 1)
+    assert files_with_newer(table, mark) is table
+    assert files_with_newer(table, high_water(table, "id")) is table
+
+
 @pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])
 @pytest.mark.parametrize("expression", [
     "timestamp_ntz '2024-03-10 02:30:00.123456'",

@@ -89,7 +89,7 @@ def test_unsupported_columns_are_left_out(spark, lake, schema):
     assert outcome(full(spark, lake, schema)) == ("DONE", 1, 1)
     assert spark.table(f"{schema}.tgt").columns == ["id", "w"]
     result = load_incremental(spark, lake, schema, "src", lake, schema, "tgt", replication_key="v")
-    assert result.status == "ERROR" and "not found" in result.message
+    assert result.status == "ERROR" and "not a loaded column" in result.message
 
 
 def test_a_split_key_that_is_not_stored(spark, lake, schema):
@@ -119,6 +119,14 @@ def test_increment(spark, lake, schema, make, key, parallel):
     assert spark.table(f"{schema}.tgt").count() == 5
 
 
+def test_increment_from_a_view(spark, lake, schema, make):
+    make("rows", ROWS)
+    spark.sql(f"CREATE VIEW {schema}.src AS SELECT * FROM {schema}.rows")
+    make("tgt", ROWS[:3])
+    assert outcome(increment(spark, lake, schema, "datetime_col")) == ("DONE", 2, 2)
+    assert values(spark.table(f"{schema}.tgt")) == ROWS
+
+
 def test_increment_without_a_key(spark, lake, schema, make):
     make("src", ROWS)
     assert outcome(increment(spark, lake, schema, None)) == ("ERROR", 0, 0)
