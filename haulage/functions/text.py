@@ -70,12 +70,48 @@ def float_text(value: Column) -> Column:
     )
 
 
+def _span_text(interval: Column) -> Column:
+    """A day-time interval as Python prints it: whole days first, then the rest of a day."""
+    second = F.lit(1_000_000).cast("bigint")
+    micros = (
+        ((F.extract(F.lit("DAY"), interval).cast("bigint") * 24
+          + F.extract(F.lit("HOUR"), interval)) * 60
+         + F.extract(F.lit("MINUTE"), interval)) * 60 * second
+        + (F.extract(F.lit("SECOND"), interval) * second).cast("bigint")
+    )
+    rest = F.pmod(micros, F.lit(86_400) * second)
+    days = F.call_function("div", micros - rest, F.lit(86_400) * second)
+
+    def whole(number: Column, unit: int) -> Column:
+        return F.call_function("div", number, F.lit(unit) * second)
+
+    fraction = F.pmod(rest, second)
+    return F.concat(
+        F.when(days == 0, "").otherwise(
+            F.concat(days.cast("string"), F.when(F.abs(days) == 1, " day, ").otherwise(" days, "))
+        ),
+        whole(rest, 3600).cast("string"),
+        F.lit(":"),
+        two_digits((whole(rest, 60) % 60).cast("string")),
+        F.lit(":"),
+        two_digits((whole(rest, 1) % 60).cast("string")),
+        F.when(fraction == 0, "").otherwise(
+            F.concat(F.lit("."), F.lpad(fraction.cast("string"), 6, "0"))
+        ),
+    )
+
+
 def plain_text(value: Column, dtype: T.DataType) -> Column:
     """A value as Python's ``str`` prints it, with 1/0 for booleans; NULL stays NULL."""
     if isinstance(dtype, T.BooleanType):
         return value.cast("int").cast("string")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return float_text(value)
+    if isinstance(dtype, T.DayTimeIntervalType):
+        return _span_text(value)
+    if isinstance(dtype, T.TimeType):
+        text = value.cast("string")
+        return F.when(F.length(text) > 8, F.rpad(text, 15, "0")).otherwise(text)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         seconds, fraction = _timestamp_parts(value)
         return F.when(fraction == "000000", seconds).otherwise(

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -53,6 +53,21 @@ def test_rows_as_lines(spark):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_spans_and_clock_times_are_printed_as_python_prints_them(spark):
+    spans = [timedelta(), timedelta(days=1), timedelta(days=-1), timedelta(seconds=-1),
+             timedelta(days=40, hours=2, minutes=3, seconds=4, microseconds=50),
+             timedelta(microseconds=-1), timedelta(days=2, hours=23, minutes=59, seconds=59.999999)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(spans)], "i int, s interval day to second")
+    assert [r.line for r in normalise_text_rows(df.coalesce(1)).collect()] == [
+        f"{i}|{s}" for i, s in enumerate(spans)]
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    try:
+        times = spark.sql("SELECT time'01:02:03.5' AS a, time'01:02:03' AS b")
+        assert normalise_text_rows(times).first().line == "01:02:03.500000|01:02:03"
+    finally:
+        spark.conf.unset("spark.sql.timeType.enabled")
+
+
 def test_nul_bytes_go_and_nothing_else(spark):
     df = spark.createDataFrame([("\x00a\x00\x00b \x01\x00",), (None,)], "s string")
     assert [r[0] for r in df.select(strip_nul(F.col("s"))).collect()] == ["ab \x01", None]
