@@ -29,6 +29,7 @@ class LoadSpec:
     replication_method: str = FULL_TABLE
     replication_key: str | None = None
     parallelization_key: str | None = None
+    measure_columns: bool = False
 
     @property
     def title(self) -> str:
@@ -56,6 +57,7 @@ def _table_loads(config: Mapping) -> list[LoadSpec]:
             replication_method=table.get("replication_method") or FULL_TABLE,
             replication_key=table.get("replication_key"),
             parallelization_key=table.get("parallelization_key"),
+            measure_columns=bool(table.get("measure_columns")),
         )
         for schema in config.get("schemas") or []
         for table in schema["tables"]

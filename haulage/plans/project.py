@@ -33,10 +33,11 @@ def _load(spark: SparkSession, load: LoadSpec, source: Endpoint, target: Endpoin
         return LoadResult(ERROR, message="the source has no such table")
     ends = (source, load.source_schema, load.source_table,
             target, load.target_schema, load.target_table)
+    options = dict(parallelization_key=load.parallelization_key,
+                   measure_columns=load.measure_columns)
     if load.replication_method == FULL_TABLE:
-        return load_full_table(spark, *ends, parallelization_key=load.parallelization_key)
-    return load_incremental(spark, *ends, replication_key=load.replication_key,
-                            parallelization_key=load.parallelization_key)
+        return load_full_table(spark, *ends, **options)
+    return load_incremental(spark, *ends, replication_key=load.replication_key, **options)
 
 
 def run_load(

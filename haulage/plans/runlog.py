@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import threading
-from collections import defaultdict
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from ..functions.timing import duration_text, second_boundaries, throughput
 from ..sources.endpoint import Endpoint
 from ..status import DONE, ERROR, WARN, WITH_ERRORS, WITH_WARNINGS, WITHOUT_FAULT
 
+logger = logging.getLogger(__name__)
+
 # Names, order and types of the log columns.
 LOG_SCHEMA = T.StructType([
     T.StructField("log_time", T.TimestampNTZType()),
@@ -101,7 +104,7 @@ def load_throughput(log: DataFrame) -> DataFrame:
 
 
 # Two appends to one table of files must not commit at the same time.
-_appending: dict[str, threading.Lock] = defaultdict(threading.Lock)
+_appending: dict[str, threading.Lock] = {}
 
 
 @dataclass(frozen=True)
@@ -125,8 +128,11 @@ class RunLog:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.endpoint.schema_name(self.schema)}")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}){using}")
-        if self.endpoint.in_session_catalog:  # other catalogs hold no Spark views
-            self._create_views()
+        if self.endpoint.in_session_catalog:
+            try:
+                self._create_views()
+            except AnalysisException:  # the default catalog may be one that holds no views
+                logger.warning("no views were made for %s", self.name)
 
     def _create_views(self) -> None:
         def listed(expressions: dict[str, str]) -> str:
@@ -149,7 +155,7 @@ class RunLog:
             (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in LOG_SCHEMA
         ))
-        with _appending[self.name]:
+        with _appending.setdefault(self.name, threading.Lock()):
             ordered.write.insertInto(self.name)
 
     def log(self, **fields) -> None:

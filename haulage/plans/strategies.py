@@ -258,6 +258,7 @@ def load_incremental(
     if target.table_exists(spark, target_schema, target_table):
         mark = _loaded_mark(spark, target, target_schema, target_table, replication_key)
     if mark is None:
+        logger.info("%s.%s holds no key to go on from, loading in full", target_schema, target_table)
         return _full_table(spark, source, source_schema, source_table, columns, target,
                            target_schema, target_table, parallelization_key, replication_key)
     rows, _ = _source_rows(

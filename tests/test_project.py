@@ -123,6 +123,16 @@ def test_one_load(spark, lake, schema, make):
     assert (result.status, result.imported_rows) == ("DONE", 5)
 
 
+def test_measuring_can_be_asked_for_per_table(spark, lake, schema):
+    spark.sql(f"CREATE TABLE {schema}.src AS SELECT 1 AS id, repeat('x', 4001) AS t")
+    config, connections = project(schema)
+    config["schemas"] = [{"source_schema": schema, "target_schema": schema, "table_suffix": "_new",
+                          "tables": [{"table_name": "src", "measure_columns": True}]}]
+    plan = Project.from_config("p", {**config, "queries": [], "logdb": None}, connections)
+    assert run_project(spark, plan).outcome == "Completed successfully"
+    assert spark.table(f"{schema}.src_new").columns == ["id"]
+
+
 def test_an_empty_project_ends_well(spark, lake):
     assert run_project(spark, Project("p", lake, lake)).outcome == "Completed successfully"
 
