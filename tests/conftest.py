@@ -33,7 +33,7 @@ ROWS = [
 @pytest.fixture(scope="session")
 def spark():
     builder = (
-        SparkSession.builder.master("local[*]")
+        SparkSession.builder.master("local[*,3]")  # tasks may fail twice
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.scheduler.mode", "FAIR")

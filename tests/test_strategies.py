@@ -186,6 +186,26 @@ def test_a_staging_table_with_other_rows_is_not_published(spark, lake, schema, m
     assert values(spark.table(f"{schema}.tgt")) == ROWS[:1]
 
 
+def test_counts_hold_when_tasks_are_repeated(spark, lake, schema, folder):
+    def lost_at_first(value):
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        if task.attemptNumber() == 0 and task.partitionId() % 2 == 0 and value % 100 == 90:
+            raise RuntimeError("executor lost")
+        return value
+
+    spark.udf.register("lost_at_first", lost_at_first, "long")
+    spark.range(0, 4000, 1, 8).write.saveAsTable(f"{schema}.src")
+    flaky = Endpoint(table_where_clause="lost_at_first(id) >= 0")
+    query = f"SELECT lost_at_first(id) AS id FROM {schema}.src WHERE id < 1000"
+    assert outcome(load_full_query(spark, flaky, query, lake, schema, "tgt")) == ("DONE", 1000, 1000)
+    assert outcome(increment(spark, flaky, schema, "id")) == ("DONE", 3000, 3000)
+    assert spark.table(f"{schema}.tgt").select("id").distinct().count() == 4000
+    assert spark.table(f"{schema}.tgt").count() == 4000
+    assert export_delimited(spark.table(f"{schema}.src").where("lost_at_first(id) >= 0"), folder) == 4000
+
+
 def test_rows_removed_from_the_target_are_loaded_again(spark, lake, schema, make):
     make("src", ROWS)
     increment(spark, lake, schema)
