@@ -135,6 +135,9 @@ class Endpoint:
             return rows.where(where) if where else rows
         if not where and not predicates:
             return self.read_table(spark, schema, table)
-        name = f"{schema}.{table}"
+        tasks, name = self.parallel_loads, f"{schema}.{table}"
+        if predicates:
+            # every task gets ranges from all over the key, so that a crowded stretch is shared
+            predicates = [p for first in range(tasks) for p in predicates[first::tasks]]
         rows = jdbc.read_table(spark, self.kind, self.credentials, name, where, predicates)
-        return rows.coalesce(self.parallel_loads) if predicates else rows
+        return rows.coalesce(tasks) if predicates else rows

@@ -1,13 +1,15 @@
 from datetime import datetime
+from functools import reduce
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from conftest import ROWS, values
 from haulage import Endpoint, load_delimited, load_full_query, load_full_table, load_incremental
 from haulage.functions.names import qualified
 from haulage.operators.publish import Markers, get_markers, set_markers
 from haulage.plans import strategies
+from haulage.sources import jdbc
 from haulage.sources.delimited import export_delimited
 
 
@@ -272,6 +274,38 @@ def test_a_database_target_is_staged_then_appended(spark, lake, schema, make):
     assert not spark.catalog.tableExists(f"{schema}.tgt_tmp")
 
 
+def test_a_database_source_is_read_range_by_range(spark, lake, schema, make, monkeypatch):
+    rows = [*ROWS, (None, "No key", None), (40, "Far", None), (41, "Deleted", None)]
+    make("src", rows)
+    asked = []
+
+    def answer(spark, kind, credentials, table, where=None, predicates=None):
+        asked.append((table, where, predicates))
+        found = spark.table(table).where(where or "true")
+        parts = [found.where(p) for p in predicates or ["true"]]
+        return reduce(DataFrame.unionAll, parts)
+
+    monkeypatch.setattr(jdbc, "read_table", answer)
+    source = Database(name="pg", kind="postgres", parallel_loads=3, batch_rows=2,
+                      table_where_clause="name_col <> 'Deleted'")
+    ends = (spark, source, schema, "src", lake, schema, "tgt")
+    assert outcome(load_full_table(*ends, parallelization_key="id_col")) == ("DONE", 7, 7)
+    assert values(spark.table(f"{schema}.tgt")) == sorted(rows[:-1], key=repr)
+    assert [(table, where) for table, where, _ in asked] == [
+        (f"{schema}.src", "name_col <> 'Deleted'")] * 2
+    assert asked[0][2] is None and len(asked[1][2]) == 4
+    read = source.read_rows(spark, schema, "src", asked[1][2])
+    assert read.rdd.getNumPartitions() == 3  # never more queries at a time than allowed
+    source.read_rows(spark, schema, "src", ["1 = 1", "2 = 2", "3 = 3", "4 = 4"])
+    assert asked[-1][2] == ["1 = 1", "4 = 4", "2 = 2", "3 = 3"]  # spread over the three tasks
+    # an increment splits the newer rows only
+    make("tgt", ROWS[:3])
+    del asked[:]
+    found = load_incremental(*ends, replication_key="id_col", parallelization_key="id_col")
+    assert outcome(found) == ("DONE", 3, 3)
+    assert asked[1][2][0].startswith("(id_col < ") and len(asked[1][2]) == 2
+
+
 def test_staged_text_can_be_loaded(spark, lake, schema, make, folder):
     people = make("people", ROWS)
     make("tgt", ROWS[:1])
