@@ -1,42 +1,37 @@
 """Elapsed time between timestamps, as SQL text shared by queries and views.
 
-Everything is built from the calendar fields, so zone-less timestamps never pass
-through the session time zone.
+Differences are taken between the timestamps themselves, so those without a zone never
+pass through the session time zone, and microseconds stay exact.
 """
 
 from __future__ import annotations
 
+_EPOCH = "timestamp_ntz '1970-01-01 00:00:00'"
 
-def seconds_of(ts: str) -> str:
-    """Whole seconds since 1970 of a timestamp expression."""
-    return (
-        f"(unix_date(cast({ts} as date)) * 86400L"
-        f" + hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}))"
-    )
 
+def _elapsed(start: str, end: str) -> str:
+    """Seconds between two timestamps, with microseconds."""
+    return f"cast(cast({end} - {start} as interval second) as decimal(20,6))"
 
-def micros_of(ts: str) -> str:
-    """Microseconds since 1970 of a timestamp expression."""
-    fraction = f"cast((extract(SECOND FROM {ts}) - second({ts})) * 1000000 as bigint)"
-    return f"({seconds_of(ts)} * 1000000L + {fraction})"
+
+def _boundaries(start: str, end: str, per_second: int) -> str:
+    """Boundaries of seconds, or of parts of a second, crossed between two timestamps."""
+    passed = (f"cast(floor({_elapsed(_EPOCH, ts)} * {per_second}) as bigint)" for ts in (end, start))
+    return "(" + " - ".join(passed) + ")"
 
 
 def second_boundaries(start: str, end: str) -> str:
     """Number of second boundaries crossed between two timestamps."""
-    return f"({seconds_of(end)} - {seconds_of(start)})"
+    return _boundaries(start, end, 1)
 
 
 def duration_text(start: str, end: str) -> str:
-    """Elapsed time as ``HH:MM:SS``, modulo 24 hours."""
-    millis = f"({micros_of(end)} div 1000L - {micros_of(start)} div 1000L)"
-    seconds = f"pmod({millis} div 1000L, 86400L)"
-    fields = (f"{seconds} div 3600L", f"{seconds} % 3600L div 60L", f"{seconds} % 60L")
-    return "concat_ws(':', " + ", ".join(
-        f"lpad(cast({field} as string), 2, '0')" for field in fields
-    ) + ")"
+    """Elapsed time as ``HH:MM:SS``, modulo 24 hours: the clock after so long from midnight."""
+    seconds = f"floor({_boundaries(start, end, 1000)} / 1000)"
+    return f"substring(cast({_EPOCH} + make_dt_interval(0, 0, 0, {seconds}) as string), 12, 8)"
 
 
 def throughput(rows: str, start: str, end: str) -> str:
     """Whole rows per second of elapsed time; NULL when no time has passed."""
-    elapsed = f"nullif({micros_of(end)} - {micros_of(start)}, 0L)"
-    return f"({rows} * 1000000L div {elapsed})"
+    micros = f"cast({_elapsed(start, end)} * 1000000 as bigint)"
+    return f"({rows} * 1000000L div nullif({micros}, 0L))"

@@ -55,7 +55,8 @@ def _parsed(
     lines comes last: a filter on top then cannot be pushed below and redo them all.
     """
     lines = spark.read.text(path).select(
-        F.col("value").alias("__staged_line"), F.split("value", re.escape(delimiter), -1).alias("__staged_parts")
+        F.col("value").alias("__staged_line"),
+        F.split("value", re.escape(delimiter), -1).alias("__staged_parts"),
     )
     fields = {f.name: F.get("__staged_parts", F.lit(i)) for i, f in enumerate(schema)}
     typed = lines.select("*", *(

@@ -296,7 +296,7 @@ def test_a_database_source_is_read_range_by_range(spark, lake, schema, make, mon
     assert asked[0][2] is None and len(asked[1][2]) == 4
     read = source.read_rows(spark, schema, "src", asked[1][2])
     assert read.rdd.getNumPartitions() == 3  # never more queries at a time than allowed
-    source.read_rows(spark, schema, "src", ["1 = 1", "2 = 2", "3 = 3", "4 = 4"])
+    source.read_rows(spark, schema, "src", [f"{i} = {i}" for i in (1, 2, 3, 4)])
     assert asked[-1][2] == ["1 = 1", "4 = 4", "2 = 2", "3 = 3"]  # spread over the three tasks
     # an increment splits the newer rows only
     make("tgt", ROWS[:3])
