@@ -396,9 +396,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_load_full_table(spark, SMOKE_DIR)
 
 
+def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """One entry per extract-load operator."""
+    return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+
+
+def _training() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from haulage.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "haulage.llm", "haulage.llm.registry"):
+            raise
+        return {}, {}
+    oracles = dict(registry.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return registry.QUERIES | {"pipeline": corpus_pipeline.run}, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator."""
-    return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    return load_queries() | _training()[0]
 
 
 _LOG_SQL = """
@@ -435,6 +455,10 @@ def _measured_sql(rows: list[tuple]) -> str:
 
 def oracle_sql() -> dict[str, str]:
     """The same results from DuckDB over the same tables."""
+    return load_oracle_sql() | _training()[1]
+
+
+def load_oracle_sql() -> dict[str, str]:
     orders, items, events = "SELECT * FROM orders", "SELECT * FROM lineitem", "SELECT * FROM events"
     revenue = REVENUE_BY_NATION.format(s="")
     seed = f"SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '{SEED_DATE}'"

@@ -13,14 +13,14 @@ def db():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.load_queries()))
 def test_query(spark, db, name):
     same, note = compare(spark, db, FOLDER, name)
     assert same, note
 
 
 def test_every_query_has_its_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.load_queries()) == set(entry.load_oracle_sql())
 
 
 def test_entry(spark):
