@@ -1,10 +1,12 @@
 """Queries of the operators and their SQL counterparts."""
 
-from . import hostrules
+from . import hostrules, superkmer
 
 QUERIES = {
+    "op2_superkmer": superkmer.op2_superkmer,
     "op10_hostrules": hostrules.op10_hostrules,
 }
 ORACLE_SQL = {
+    "op2_superkmer": superkmer.ORACLE_SQL,
     "op10_hostrules": hostrules.ORACLE_SQL,
 }

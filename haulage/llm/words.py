@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE, END = 32, 10
 CHUNK_BYTES = 8 << 20
@@ -131,7 +132,7 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
 def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of at most about ``size`` bytes of text; one text is never cut."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         upto = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < batch.num_rows:
