@@ -1,12 +1,14 @@
 """Queries of the operators and their SQL counterparts."""
 
-from . import hostrules, superkmer
+from . import hostrules, superkmer, winnow
 
 QUERIES = {
     "op2_superkmer": superkmer.op2_superkmer,
+    "op3_winnow": winnow.op3_winnow,
     "op10_hostrules": hostrules.op10_hostrules,
 }
 ORACLE_SQL = {
     "op2_superkmer": superkmer.ORACLE_SQL,
+    "op3_winnow": winnow.ORACLE_SQL,
     "op10_hostrules": hostrules.ORACLE_SQL,
 }
