@@ -25,7 +25,7 @@ come beside the row in ``doc``, so names cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,32 +37,34 @@ from pyspark.sql import functions as F
 from .words import Words, as_bytes, gram_hashes, mix, pieces, sliding_min, whole_runs
 
 WINDOW = 13
-MINIMISER = 3
+MINIMISER = 2
 BUCKETS = 2048
 HOT = 4
-SLICE_BYTES = 16 << 20
-PART_BYTES = 32 << 20
+LEVEL = 3  # of compression
+SLICE_BYTES = 8 << 20
+PART_BYTES = 8 << 20
 LAST = np.iinfo(np.int64).max  # stands for a missing id
 
 SPAN = "id bigint, sum int, first int, last int"
 
 
 class Runs:
-    """Super-k-mers: ``length`` windows from word ``start`` of document (``id``, ``sum``), packed in ``text``."""
+    """Super-k-mers: the windows in ``texts`` from word ``start`` of document (``id``, ``sum``) on."""
 
     def __init__(self, id, sum, start, texts: list[bytes]):
         self.id, self.sum, self.start, self.texts = id, sum, start, texts
 
     def pack(self) -> bytes:
-        head = [np.array([len(self.texts)], np.int64), self.id, self.sum, self.start]
+        steps = np.diff(self.id, prepend=0)  # ids come in order; small steps pack well
+        head = [np.array([len(self.texts)], np.int64), steps, self.sum, self.start]
         raw = b"".join([a.tobytes() for a in head] + [b"\n".join(self.texts)])
-        return zstandard.ZstdCompressor(level=1).compress(raw)
+        return zstandard.ZstdCompressor(level=LEVEL).compress(raw)
 
     @staticmethod
     def unpack(blob: bytes) -> Runs:
         raw = zstandard.ZstdDecompressor().decompress(blob)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
-        id = np.frombuffer(raw, np.int64, n, 8)
+        id = np.cumsum(np.frombuffer(raw, np.int64, n, 8))
         sum = np.frombuffer(raw, np.int32, n, 8 + 8 * n)
         start = np.frombuffer(raw, np.int32, n, 8 + 12 * n)
         return Runs(id, sum, start, raw[8 + 16 * n:].split(b"\n"))
@@ -85,7 +87,7 @@ class Windows:
 
 
 def _repeats(words: Words, at: np.ndarray, hash: np.ndarray, id: np.ndarray, window: int):
-    """``later``: windows with an equal one in a smaller document; ``leader``: the first of each content.
+    """``later``: windows with an equal one in a smaller document; ``same``: those of the smallest one.
 
     ``id`` is each window's document. Windows are sorted by (hash, id); bytes are compared with the
     first of the run of equal hashes. Should another content share its hash, it is told apart by
@@ -202,7 +204,7 @@ def _rows(buckets: list[int], blobs: list[bytes]) -> pa.RecordBatch:
     )
 
 
-def settle(runs: Runs, window: int) -> tuple[pa.RecordBatch, Runs]:
+def settle(runs: Runs, window: int) -> tuple[pa.RecordBatch, Callable[[], Runs]]:
     """Spans of later copies in one bucket, and the windows that stand for their content."""
     words = Words(runs.texts)
     h = words.hashes()
@@ -297,14 +299,14 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int
         .mapInArrow(_settle(window), SPAN) \
         .groupBy("id", "sum").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     whole = docs.select(
-        F.struct("*").alias("doc"), F.col(text).alias("text"), check.alias("of_sum"),
+        F.struct("*").alias("doc"), check.alias("of_sum"),
         F.coalesce(F.col(id).cast("bigint"), F.lit(int(LAST))).alias("of_id"),
     )
     joined = whole.join(
         spans, (F.col("of_id") == F.col("id")) & (F.col("of_sum") == F.col("sum")), "left"
     )
     doc = joined.schema["doc"].dataType.simpleString()
-    return joined.select("doc", "text", "spans").mapInArrow(
+    return joined.select("doc", F.col("doc")[text].alias("text"), "spans").mapInArrow(
         _keep, f"doc {doc}, n_words bigint, n_removed bigint, kept_text string"
     )
 

@@ -13,7 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SPACE, END = 32, 10
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+HASH_BYTES = 1 << 19
 
 _ODD = 0x9E3779B97F4A7C15  # any odd number; the golden ratio in 64 bits
 _ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -69,21 +70,20 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        if not len(self):
-            return np.zeros(0, dtype=np.uint64)
-        at = np.arange(len(self.bytes)) - np.repeat(
-            self.start, np.diff(np.concatenate((self.start, [len(self.bytes)])))
-        ) if self.start[0] == 0 else self._places()
-        power = _powers(int(at.max()) + 1)
-        sums = np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * power[at])
-        before = np.where(self.start > 0, sums[self.start - 1], np.uint64(0))
-        return mix(sums[self.end - 1] - before)
-
-    def _places(self) -> np.ndarray:
-        starts = np.concatenate(([0], self.start))
-        return np.arange(len(self.bytes)) - np.repeat(
-            starts, np.diff(np.concatenate((starts, [len(self.bytes)])))
-        )
+        """Hash of every word: a polynomial of its bytes. Works on ``HASH_BYTES`` of text at a time."""
+        out = np.empty(len(self), dtype=np.uint64)
+        a = 0
+        while a < len(self):
+            b = max(a + 1, int(np.searchsorted(self.end, self.start[a] + HASH_BYTES, side="right")))
+            base, stop = self.start[a], self.end[b - 1]
+            start, end = self.start[a:b] - base, self.end[a:b] - base
+            place = np.arange(stop - base) - np.repeat(start, np.diff(np.append(start, stop - base)))
+            terms = _powers(int(place.max()) + 1)[place]
+            terms *= self.bytes[base:stop].astype(np.uint64) + np.uint64(1)
+            sums = np.cumsum(terms)
+            out[a:b] = sums[end - 1] - np.where(start > 0, sums[start - 1], np.uint64(0))
+            a = b
+        return mix(out)
 
     def text(self, first: int, last: int) -> bytes:
         """Words ``first`` to ``last``, both included, of one text."""
