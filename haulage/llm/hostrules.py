@@ -115,30 +115,34 @@ def beta_prior(mean: float | None, variance: float | None) -> tuple[float, float
     return mean * weight, (1 - mean) * weight
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source", host_limit: float = HOST_LIMIT,
-          whole: bool = False) -> DataFrame:
-    """Every document's ``doc``, counts, ``base_failed``, ``host_rate`` and ``kept``.
+def judge(docs: DataFrame, text: str = "text", host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
+    """Every document's ``doc`` (without its text), counts, ``base_failed``, ``host_rate`` and ``kept``.
 
-    The base rules are worked out once and written to the shared folder. ``doc`` has the whole row if
-    ``whole``, else all but the text. Hosts are aggregated before they are shuffled; Spark
-    broadcasts their verdicts if they are few and else splits the join where a host is large.
+    The base rules are worked out once and written to the shared folder, without the texts. Hosts are aggregated
+    before they are shuffled; Spark broadcasts their verdicts if they are few and else splits the
+    join where a host is large.
     """
-    base = base_rules(docs, text, host)
-    if not whole:
-        base = base.withColumn("doc", F.col("doc").dropFields(text))
-    base = written(base, "base-rules")
-    verdicts = host_verdicts(base, host_limit)
-    joined = base.join(
-        verdicts.select(F.col("host").alias("of_host"), "host_rate", "host_rejected"),
-        F.col("host").eqNullSafe(F.col("of_host")),
-    )
+    base = written(base_rules(docs, text, host).withColumn("doc", F.col("doc").dropFields(text)))
+    joined = _with_verdict(base, host_verdicts(base, host_limit))
     return joined.select("doc", "host", *COUNTS, "base_failed", "host_rate",
                          (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept"))
 
 
-def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return judge(docs, text, host, whole=True).where("kept").select("doc.*")
+def _with_verdict(base: DataFrame, verdicts: DataFrame) -> DataFrame:
+    verdicts = verdicts.select(F.col("host").alias("of_host"), "host_rate", "host_rejected")
+    return base.join(verdicts, F.col("host").eqNullSafe(F.col("of_host")))
+
+
+def keep_good(docs: DataFrame, text: str = "text", host: str = "source",
+              host_limit: float = HOST_LIMIT) -> DataFrame:
+    """The documents that pass, with their own columns.
+
+    The rules are worked out twice, for the hosts and for the documents, so that no text is written.
+    """
+    base = base_rules(docs, text, host)
+    verdicts = written(host_verdicts(written(base.select("host", "base_failed")), host_limit))
+    good = _with_verdict(base.where(~F.col("base_failed")), verdicts)
+    return good.where(~F.col("host_rejected")).select("doc.*")
 
 
 def op10_hostrules(spark, sf_dir):

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,10 +20,39 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: it is computed once, and what
-    follows starts from files that outlive any executor."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Tables of one piece of work: ``with Scratch(spark) as tables: tables.write(df)``.
+
+    A written table is computed once, and what follows starts from files that outlive any executor. They
+    are deleted at the end of the work.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, *partitioned: str) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path, partitionBy=list(partitioned) or None)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table of its own, which stays: for results that are read after the work."""
+    return Scratch(df.sparkSession).write(df)
+
+
+# Rows of one or two numbers that may be broadcast: at most some 50 MB on every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marks a written table of numbers for broadcast if it has few rows; else joins shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
