@@ -1,12 +1,13 @@
 """Queries of the operators and their SQL counterparts."""
 
-from . import hostrules, hyperminhash, packing, superkmer, winnow
+from . import hostrules, huffman, hyperminhash, packing, superkmer, winnow
 
 QUERIES = {
     "op2_superkmer": superkmer.op2_superkmer,
     "op3_winnow": winnow.op3_winnow,
     "op5_hyperminhash": hyperminhash.op5_hyperminhash,
     "op7_packing": packing.op7_packing,
+    "op8_huffman": huffman.op8_huffman,
     "op10_hostrules": hostrules.op10_hostrules,
 }
 ORACLE_SQL = {
