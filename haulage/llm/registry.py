@@ -1,16 +1,19 @@
 """Queries of the operators and their SQL counterparts."""
 
-from . import hostrules, huffman, hyperminhash, packing, superkmer, winnow
+from . import hostrules, huffman, hyperminhash, packing, sharding, superkmer, tokencounts, winnow
 
 QUERIES = {
+    "op1_sharding": sharding.op1_sharding,
     "op2_superkmer": superkmer.op2_superkmer,
     "op3_winnow": winnow.op3_winnow,
     "op5_hyperminhash": hyperminhash.op5_hyperminhash,
     "op7_packing": packing.op7_packing,
     "op8_huffman": huffman.op8_huffman,
+    "op9_tokencounts": tokencounts.op9_tokencounts,
     "op10_hostrules": hostrules.op10_hostrules,
 }
 ORACLE_SQL = {
+    "op1_sharding": sharding.ORACLE_SQL,
     "op2_superkmer": superkmer.ORACLE_SQL,
     "op3_winnow": winnow.ORACLE_SQL,
     "op10_hostrules": hostrules.ORACLE_SQL,
