@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import Scratch
-from .tokens import Encoder, tokenizer_file
+from .tokens import Encoder, documents, tokenizer_file
 from .words import pieces
 
 END_ID = 2
@@ -140,8 +140,6 @@ def unpack_block(book: Codebook, data: bytes):
 
 
 def _plain(file: str, end: int, block: int):
-    closing = int(end).to_bytes(4, "little")
-
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(file, spaces_kept=False)
         held, size, number, start, part = [], 0, 0, 0, 0
@@ -149,8 +147,8 @@ def _plain(file: str, end: int, block: int):
         def close() -> pa.RecordBatch:
             ids = np.array([0 if i is None else i for i, _ in held], dtype="<i8").tobytes()
             missing = bytes(i is None for i, _ in held)
-            counts = np.array([len(t) // 4 for _, t in held], dtype="<u4").tobytes()
-            row = (part, number, start, size, ids, missing, counts, _narrow(b"".join(t for _, t in held)))
+            counts = np.array([len(t) for _, t in held], dtype="<u4").tobytes()
+            row = (part, number, start, size, ids, missing, counts, _narrow(np.concatenate([t for _, t in held])))
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(row, kinds)],
@@ -159,9 +157,9 @@ def _plain(file: str, end: int, block: int):
 
         for batch in pieces(batches, "text"):
             part = batch.column("part")[0].as_py()
-            for id, coded in zip(batch.column("id").to_pylist(), encoder.ids(batch.column("text").to_pylist())):
-                held.append((id, coded + closing))
-                size += len(coded) // 4 + 1
+            for id, tokens in zip(batch.column("id").to_pylist(), documents(encoder, batch.column("text"), end)):
+                held.append((id, tokens))
+                size += len(tokens)
                 if size >= block:
                     yield close()
                     start, number, held, size = start + size, number + 1, [], 0
@@ -171,10 +169,9 @@ def _plain(file: str, end: int, block: int):
     return plain
 
 
-def _narrow(tokens: bytes) -> bytes:
+def _narrow(tokens: np.ndarray) -> bytes:
     """Two bytes a token where all fit, else four; the length tells which."""
-    wide = np.frombuffer(tokens, "<u4")
-    return wide.astype("<u2").tobytes() if wide.max() < 1 << 16 else tokens
+    return tokens.astype("<u2" if tokens.max() < 1 << 16 else "<u4").tobytes()
 
 
 def _tokens(data: bytes, n: int) -> np.ndarray:

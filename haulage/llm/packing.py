@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import Encoder, tokenizer_file
+from .tokens import Encoder, documents, tokenizer_file
 from .words import pieces
 
 LENGTH = 1024
@@ -67,18 +67,14 @@ def first_fit_decreasing(lengths: np.ndarray, size: int = LENGTH) -> tuple[np.nd
 
 def _cut(file: str, length: int, end: int):
     """Pieces of every document: stretches of ``length`` ids and the rest."""
-    closing = int(end).to_bytes(4, "little")
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(file, spaces_kept=True)
         for part in pieces(batches, "text"):
             out: dict[str, list] = {c: [] for c in ("row", "start", "length", "ids_crc32", "doc_tokens")}
-            for row, ids in enumerate(encoder.ids(part.column("text").to_pylist())):
-                ids += closing
-                n = len(ids) // 4
-                for start in range(0, n, length):
-                    piece = ids[4 * start:4 * (start + length)]
-                    for c, v in zip(out, (row, start, len(piece) // 4, zlib.crc32(piece), n)):
+            for row, ids in enumerate(documents(encoder, part.column("text"), end)):
+                for start in range(0, len(ids), length):
+                    piece = ids[start:start + length]
+                    for c, v in zip(out, (row, start, len(piece), zlib.crc32(piece), len(ids))):
                         out[c].append(v)
             doc = part.column("doc").take(pa.array(out.pop("row"), pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -124,12 +120,12 @@ def sequences(docs: DataFrame, placed: DataFrame, id: str = "doc_id", text: str
 
     Ids must be unique. A sequence is padded to ``length`` unless its own length is a power of two.
     """
-    file, closing = file or tokenizer_file("byte_bpe_50k.json"), int(end).to_bytes(4, "little")
+    file = file or tokenizer_file("byte_bpe_50k.json")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(file, spaces_kept=True)
         for part in pieces(batches, "text"):
-            ids = [np.frombuffer(i + closing, "<u4") for i in encoder.ids(part.column("text").to_pylist())]
+            ids = list(documents(encoder, part.column("text"), end))
             at = part.column("parts").to_pylist()
             rows = [(p["sequence_id"], p["offset"], ids[r][p["start"]:p["start"] + p["length"]].astype(np.int64))
                     for r, ps in enumerate(at) for p in ps]

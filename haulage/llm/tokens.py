@@ -1,13 +1,12 @@
 """Token ids of whole texts by the tokenizers library, each different piece of text encoded once per task.
 
 Both public tokenizers part texts at white space before they merge anything, so a text's ids are those
-of its pieces, one after the other. Pieces are cut only where that is certain:
+of its pieces, one after the other. Pieces are cut only where that is certain, before a run of spaces and
+line feeds that follows another character:
 
-- byte level: before a run of spaces and line feeds that follows another character. No piece of the
-  tokenizer's pattern has white space after something else. A text with any other white space is
-  encoded as a whole.
-- word level: at spaces and line feeds, which this tokenizer drops; normalisation does not reach across
-  them. Other white space stays inside a piece.
+- byte level: no part of the tokenizer's pattern has white space after something else. A text with any other
+  white space is one piece, since its runs may go on to either side.
+- word level: this tokenizer drops white space, and normalisation does not reach across it.
 
 Special tokens' strings in a text are ordinary text.
 """
@@ -16,18 +15,23 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
-REMEMBERED = 400_000  # pieces; then the memory starts anew
+# Pieces remembered: those met again, and those met once. A full memory starts anew.
+AGAIN, ONCE = 700_000, 300_000
+AT_ONCE = 20_000
 
-_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
-_RUNS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_OTHER_SPACE = re.compile("[" + "".join(
+    f"\\u{c:04x}" for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"
+) + "]")
 
 
 class Encoder:
-    """``ids(texts)``: the ids of each text, as bytes of little-endian 32-bit numbers."""
-
     def __init__(self, file: str, spaces_kept: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -35,27 +39,80 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.spaces_kept = spaces_kept
-        self.known: dict[str, bytes] = {}
-
-    def _pieces(self, text: str) -> list[str]:
-        if not self.spaces_kept:
-            return text.replace("\n", " ").split(" ")
-        if any(c in text for c in _OTHER_SPACE):
-            return [text]
-        return _RUNS.findall(text)
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        parts = [self._pieces(t) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        new = list(set().union(*parts).difference(known))
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            for piece, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids = coded.ids
-                known[piece] = b"".join([i.to_bytes(4, "little") for i in ids])
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+        self.known: dict[bytes, bytes] = {}
+        self.once: dict[bytes, bytes] = {}
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's begin (one more for the end). A missing text has none."""
+        texts = texts.fill_null("")
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+        ends -= ends[0]
+        cut = _cuts(data)
+        if self.spaces_kept:
+            for i in np.flatnonzero(_odd(data, ends)).tolist():
+                if _OTHER_SPACE.search(texts[i].as_py()):
+                    cut[ends[i]:ends[i + 1]] = False
+        cut[ends[:-1][ends[1:] > ends[:-1]]] = True
+        begin = np.append(np.flatnonzero(cut), len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(begin) - 1, [None, pa.py_buffer(begin), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        size = np.array([len(i) for i in ids], dtype=np.int64) // 4
+        table, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        which = coded.indices.to_numpy()
+        own = size[which]
+        upto = np.cumsum(own)
+        tokens = table[np.repeat(first[which] - upto + own, own) + np.arange(upto[-1] if len(upto) else 0)]
+        return tokens, np.append(0, upto)[np.searchsorted(begin, ends)]
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        known, once, out, new = self.known, self.once, [], []
+        for i, piece in enumerate(pieces):
+            ids = known.get(piece)
+            if ids is None:
+                ids = once.pop(piece, None)
+                if ids is None:
+                    new.append(i)
+                else:
+                    known[piece] = ids
+            out.append(ids)
+        if len(known) > AGAIN:
+            known.clear()
+        if len(once) > ONCE:
+            once.clear()
+        for at in range(0, len(new), AT_ONCE):
+            some = [pieces[i] for i in new[at:at + AT_ONCE]]
+            coded = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
+            for i, piece, c in zip(new[at:at + AT_ONCE], some, coded):
+                out[i] = once[piece] = array("I", c.ids).tobytes()
+        return out
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Marks the first of every run of spaces and line feeds."""
+    space = (data == 32) | (data == 10)
+    cut = space.copy()
+    cut[1:] &= ~space[:-1]
+    return cut
+
+
+def _odd(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Texts with a byte of white space other than spaces and line feeds, or that may begin such a character."""
+    # 9, 11-13 and 28-31 are ASCII white space; the others begin with C2, E1, E2 or E3 in UTF-8.
+    odd = np.zeros(256, dtype=bool)
+    odd[[9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+    upto = np.append(0, np.cumsum(odd[data]))
+    return upto[ends[1:]] > upto[ends[:-1]]
+
+
+def documents(encoder: Encoder, texts: pa.Array, end: int) -> Iterator[np.ndarray]:
+    """Ids of every text with the end id."""
+    tokens, at = encoder.encode(texts)
+    closed = np.insert(tokens, at[1:], end).astype("<u4")
+    at = at + np.arange(len(at))
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        yield closed[a:b]
 
 
 def tokenizer_file(name: str) -> str:
