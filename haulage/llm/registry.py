@@ -1,11 +1,12 @@
 """Queries of the operators and their SQL counterparts."""
 
-from . import hostrules, huffman, hyperminhash, packing, sharding, superkmer, tokencounts, winnow
+from . import hostrules, huffman, hyperminhash, langid, packing, sharding, superkmer, tokencounts, winnow
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_superkmer": superkmer.op2_superkmer,
     "op3_winnow": winnow.op3_winnow,
+    "op4_langid": langid.op4_langid,
     "op5_hyperminhash": hyperminhash.op5_hyperminhash,
     "op7_packing": packing.op7_packing,
     "op8_huffman": huffman.op8_huffman,
