@@ -1,6 +1,6 @@
 """Queries of the operators and their SQL counterparts."""
 
-from . import hostrules, huffman, hyperminhash, langid, packing, sharding, superkmer, tokencounts, winnow
+from . import hostrules, huffman, hyperminhash, langid, packing, quality, sharding, superkmer, tokencounts, winnow
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_winnow": winnow.op3_winnow,
     "op4_langid": langid.op4_langid,
     "op5_hyperminhash": hyperminhash.op5_hyperminhash,
+    "op6_quality": quality.op6_quality,
     "op7_packing": packing.op7_packing,
     "op8_huffman": huffman.op8_huffman,
     "op9_tokencounts": tokencounts.op9_tokencounts,
