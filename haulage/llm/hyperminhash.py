@@ -12,11 +12,13 @@ Jaccard similarity of 0.8 or more; groups are the connected components of links.
    probability (1 - 0.8^7)^56 = 2e-6 at the limit and less above it.
 4. *Stars.* In every bucket each class is compared with the bucket's smallest one: as many pairs as members,
    however large the bucket.
+   Pairs go through the size filter, then the estimate from ``ESTIMATED`` registers, corrected for chance
+   collisions, kept if no more than 5 standard deviations below 0.8, then an exact comparison of the sets of words.
 5. *The rest.* After the components of those links are known, only buckets that hold several components can
-   hide a link. There, the classes outside the component of the smallest are compared with
-   those of other components. Pairs inside one component need no comparison.
-6. Pairs go through the size filter, then the estimate from ``ESTIMATED`` registers, corrected for chance
-   collisions, kept if no more than 5 standard deviations below 0.8, then through an exact comparison of the sets of words.
+   hide a link. Per component of smallest ones, the classes outside it are compared with all that share such buckets, in
+   blocks of bounded size: shares of both sides meet in a task with their sets, and an inverted index counts the
+   intersections. A block gives at most one link for each class and component, however many pairs it compares; the
+   sets of words confirm it.
 
 Texts are only shuffled for candidate pairs. Defined results: a missing or blank text has an empty set and is
 linked with nothing; one word is a shingle by itself; rows that share an id count as one document with
@@ -43,6 +45,7 @@ MANTISSA = 10
 ESTIMATED = 128
 PERCENT = 80
 DEVIATIONS = 5
+LEFT_SHINGLES, RIGHT_SHINGLES = 32_000, 128_000  # of a share in one block
 
 _SALT = [np.uint64(s * 0x9E3779B97F4A7C15 % 2**64) for s in range(1, 6)]
 
@@ -154,38 +157,107 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, tables: Scratch) -> DataFrame:
-    """Those of the pairs (u, v) that are linked: estimate first, then the sets of words."""
-    def side(table: DataFrame, c: str) -> DataFrame:
-        return table.select(*[F.col(x).alias(c if x == "id" else f"{x}_{c}") for x in table.columns])
+def _side(table: DataFrame, c: str) -> DataFrame:
+    """The table with ``id`` as ``c`` and its other columns marked likewise."""
+    return table.select(*[F.col(x).alias(c if x == "id" else f"{x}_{c}") for x in table.columns])
 
+
+def _texts(docs: DataFrame, ids: DataFrame, tables: Scratch) -> DataFrame:
+    return tables.write(docs.join(small(tables.write(ids.distinct())), "id", "leftsemi"))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, tables: Scratch) -> DataFrame:
+    """Those of the pairs (u, v) whose sets of words are similar."""
+    texts = _texts(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")), tables)
+    both = pairs.join(_side(texts, "u"), "u").join(_side(texts, "v"), "v")
+    return tables.write(both.select("u", "v", "text_u", "text_v").mapInArrow(_similar, "u bigint, v bigint"))
+
+
+def _star_links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, tables: Scratch) -> DataFrame:
     sketches = reps.select("id", "n", "sketch")
-    alike = pairs.join(side(sketches, "u"), "u").join(side(sketches, "v"), "v") \
+    alike = pairs.join(_side(sketches, "u"), "u").join(_side(sketches, "v"), "v") \
         .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * PERCENT)
     alike = tables.write(alike.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v")
                          .mapInArrow(_plausible, "u bigint, v bigint"))
-    ids = tables.write(alike.select(F.explode(F.array("u", "v")).alias("id")).distinct())
-    texts = tables.write(docs.join(small(ids), "id", "leftsemi"))
-    both = alike.join(side(texts, "u"), "u").join(side(texts, "v"), "v")
-    return tables.write(both.select("u", "v", "text_u", "text_v").mapInArrow(_similar, "u bigint, v bigint"))
+    return _confirmed(alike, docs, tables)
 
 
-def _hidden(members: DataFrame, groups: DataFrame, tables: Scratch) -> DataFrame:
-    """Pairs of different components in one bucket that were not compared yet."""
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in pieces(batches, "text", 1 << 20):
+        row, sh = shingle_hashes(Words([lower_ascii(t) if t else None for t in as_bytes(part.column("text"))]))
+        ends = np.append(0, np.cumsum(np.bincount(row, minlength=part.num_rows))).astype(np.int32)
+        sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(sh.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([part.column("id"), sets], ["id", "shingles"])
+
+
+def _keyed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the sets, owners and hashes of all shingles; a hash is another one in every group."""
+    sets = table.column("shingles").combine_chunks()
+    n = sets.value_lengths().to_numpy()
+    group = mix(table.column("g").to_numpy().astype(np.int64).view(np.uint64))
+    owner = np.repeat(np.arange(len(n)), n)
+    return n, owner, sets.flatten().to_numpy().view(np.uint64) ^ group[owner]
+
+
+def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Similar pairs of one from each side: for each on the left, the first of every other component."""
+    u, v = [], []
+    if left.num_rows and right.num_rows:
+        n, _, a = _keyed(left)
+        m, owner, b = _keyed(right)
+        order = np.argsort(b, kind="stable")
+        b, owner = b[order], owner[order]
+        low, high = np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right")
+        ids, others = (t.column("id").to_numpy() for t in (left, right))
+        own, theirs = (t.column("c").to_numpy() for t in (left, right))
+        end = np.cumsum(n)
+        for i in range(len(n)):
+            lo, size = low[end[i] - n[i]:end[i]], (high - low)[end[i] - n[i]:end[i]]
+            at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+            both = np.bincount(owner[at], minlength=len(m))
+            hit = np.flatnonzero((100 * both >= PERCENT * (n[i] + m - both)) & (both > 0) & (theirs != own[i]))
+            if len(hit):
+                hit = hit[np.unique(theirs[hit], return_index=True)[1]]
+                u += [int(ids[i])] * len(hit)
+                v += others[hit].tolist()
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _hidden_links(members: DataFrame, groups: DataFrame, docs: DataFrame, tables: Scratch) -> DataFrame:
+    """Links between different components that share a bucket but were not compared yet."""
     of = groups.withColumnRenamed("node", "id").withColumnRenamed("component", "c")
-    own = members.join(of, "id", "left").withColumn("c", F.coalesce("c", "id"))
-    own = tables.write(own)
+    own = tables.write(members.join(of, "id", "left").withColumn("c", F.coalesce("c", "id")))
     mixed = tables.write(own.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high"))
                          .where("low < high").select("band"))
-    own = tables.write(own.join(mixed, "band", "leftsemi").where("id <> pivot"))
-    first = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pc"))
-    own = own.join(first, "pivot", "left").withColumn("pc", F.coalesce("pc", "pivot"))
-    own = tables.write(own.withColumn("out", F.col("c") != F.col("pc")))
-    rest = own.where("out").select("band", F.col("id").alias("r"), F.col("n").alias("rn"), F.col("c").alias("rc"))
-    pairs = rest.join(own, "band").where(
-        "rc <> c AND (NOT out OR r < id) AND 100 * least(n, rn) >= 80 * greatest(n, rn)"
-    )
-    return pairs.select(F.least("r", "id").alias("u"), F.greatest("r", "id").alias("v")).distinct()
+    first = groups.select(F.col("node").alias("pivot"), F.col("component").alias("g"))
+    own = own.join(mixed, "band", "leftsemi").where("id <> pivot").join(first, "pivot", "left") \
+        .withColumn("g", F.coalesce("g", "pivot"))
+    right = tables.write(own.select("g", "id", "c", "n").distinct())
+    left = right.where("c <> g")
+    # Shares of the two sides of every group by their shingles; groups of one share go many to a block.
+    sizes = tables.write(right.groupBy("g").agg(
+        F.ceil(F.sum(F.when(F.col("c") != F.col("g"), F.col("n"))) / LEFT_SHINGLES).alias("lefts"),
+        F.ceil(F.sum("n") / RIGHT_SHINGLES).alias("rights"), F.sum("n").alias("n"),
+    ).where("lefts IS NOT NULL"))
+    blocks = (sizes.where("lefts = 1 AND rights = 1").agg(F.sum("n")).first()[0] or 0) // RIGHT_SHINGLES + 1
+    sets = tables.write(_texts(docs, right.join(sizes, "g", "leftsemi").select("id"), tables)
+                        .mapInArrow(_sets, "id bigint, shingles array<bigint>"))
+
+    def dealt(side: DataFrame, mine: str, other: str) -> DataFrame:
+        share = F.pmod(F.xxhash64("id"), F.col(mine))
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias("other")
+        split = side.select("g", "id", "c").join(sizes.drop("n"), "g") \
+            .select("g", "id", "c", "lefts", "rights", share.alias("own"), every)
+        pair = ("own", "other") if mine == "lefts" else ("other", "own")
+        block = F.when((F.col("lefts") == 1) & (F.col("rights") == 1), F.pmod(F.xxhash64("g"), F.lit(blocks))) \
+            .otherwise(F.xxhash64("g", *pair))
+        full = split.select("g", "id", "c", block.alias("block")).join(sets, "id")
+        return full.select(*[F.col(x).alias(x) for x in ("g", "id", "c", "block", "shingles")])
+
+    found = dealt(left, "lefts", "rights").groupBy("block").cogroup(dealt(right, "rights", "lefts").groupBy("block")) \
+        .applyInArrow(_block_links, "u bigint, v bigint")
+    pairs = found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return _confirmed(tables.write(pairs), docs, tables)
 
 
 def _shared_ids(whole: DataFrame, classes: DataFrame) -> DataFrame:
@@ -212,9 +284,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
                                .where("pivot < top").select("band", "pivot"))
         members = tables.write(banded.join(buckets, "band"))
         stars = members.where("id <> pivot").select(F.col("pivot").alias("u"), F.col("id").alias("v")).distinct()
-        links = tables.write(_links(stars, reps, docs, tables).union(_shared_ids(whole, classes)))
+        links = tables.write(_star_links(stars, reps, docs, tables).union(_shared_ids(whole, classes)))
         groups = tables.write(components(links, tables))
-        more = _links(_hidden(members, groups, tables), reps, docs, tables)
+        more = _hidden_links(members, groups, docs, tables)
         if not more.isEmpty():
             groups = tables.write(components(links.union(more), tables))
         of_class = tables.write(classes.join(groups, F.col("rep") == F.col("node"), "left")
