@@ -1,0 +1,88 @@
+"""Plain versions of the operators, over lists of (doc_id, text)."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def kept_words(docs, window):
+    """Words of each document (in order of the list) that are left, windows judged on the input."""
+    first = {}
+    for id, text in docs:
+        w = words(text)
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i:i + window])
+            first[key] = min(first.get(key, id), id)
+    out = []
+    for id, text in docs:
+        w = words(text)
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i:i + window])] < id:
+                gone.update(range(i, i + window))
+        out.append([x for i, x in enumerate(w) if i not in gone])
+    return out
+
+
+def contamination(docs, items, window=10):
+    """(words, hit words, ids of items) of each document."""
+    where = defaultdict(set)
+    for id, text in items:
+        w = ALNUM.findall((text or "").translate(LOWER))
+        k = min(window, len(w))
+        for i in range(len(w) - k + 1 if w else 0):
+            where[tuple(w[i:i + k])].add("null" if id is None else str(id))
+    sizes = {len(k) for k in where}
+    out = []
+    for _, text in docs:
+        w = ALNUM.findall((text or "").translate(LOWER))
+        hit, found = set(), set()
+        for k in sizes:
+            for i in range(len(w) - k + 1):
+                if (named := where.get(tuple(w[i:i + k]))) is not None:
+                    hit.update(range(i, i + k))
+                    found |= named
+        out.append((len(w), len(hit), sorted(found)))
+    return out
+
+
+def shingles(text):
+    w = words((text or "").translate(LOWER))
+    return set(zip(w, w[1:])) if len(w) > 1 else {tuple(w)} if w else set()
+
+
+def groups(docs):
+    """Smallest id of each id's group of near copies."""
+    up = {id: id for id, _ in docs}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    sets = [(id, shingles(text)) for id, text in docs]
+    for i, (a, s) in enumerate(sets):
+        for b, t in sets[:i]:
+            if s and t and 100 * len(s & t) >= 80 * len(s | t):
+                x, y = top(a), top(b)
+                up[max(x, y)] = min(x, y)
+    return {id: top(id) for id in up}
+
+
+def rules(text):
+    """(words, characters in words, symbols, repeated lines, words in repeated windows, failed)."""
+    w = words(text)
+    windows = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    covered = {j for i in range(len(w) - 7) if windows[tuple(w[i:i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)),
+            len(covered), len(w) < 20 or 100 * len(covered) > 30 * len(w))

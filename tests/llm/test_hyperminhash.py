@@ -1,0 +1,72 @@
+import numpy as np
+
+import brute
+from conftest import edited, prose
+from haulage.llm import hyperminhash as hm
+from haulage.llm.hyperminhash import keep_first, near_duplicates
+from haulage.llm.links import components
+from haulage.llm.shared import Scratch
+from haulage.llm.words import Words
+
+
+def found(df):
+    return {r.id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df).collect()}
+
+
+def expected(rows):
+    docs = [(r[0], r[1]) for r in rows]
+    of = brute.groups(docs)
+    return {i: (len(brute.shingles(t)), of[i], of[i] == i) for i, t in docs}
+
+
+def test_edges_against_brute_force(frame, rows):
+    assert found(frame(rows)) == expected(rows)
+
+
+def test_chains_and_large_groups(frame):
+    rows, text = [], prose(5, 200)
+    for i in range(30):  # each like the one before, the ends unlike
+        rows.append((1000 - i, text, "", "", 0))
+        text = edited(text, 100 + i, 0.04)
+    base = prose(6, 90)
+    rows += [(2000 + i, edited(base, 300 + i, 0.04), "", "", 0) for i in range(60)]
+    rows += [(3000 + i, prose(400 + i, n), "", "", 0) for i, n in enumerate([1, 2, 3, 4, 5, 6, 9, 12] * 4)]
+    assert found(frame(rows).repartition(5)) == expected(rows)
+
+
+def test_short_sets_at_the_limit(frame):
+    rows = [(1, "a b c d e", "", "", 0), (2, "A B c d e", "", "", 0), (3, "a b c d e f", "", "", 0),
+            (4, "a b c d e f g", "", "", 0), (5, "z", "", "", 0), (6, "Z", "", "", 0), (7, "z z", "", "", 0)]
+    assert found(frame(rows)) == expected(rows)
+
+
+def test_repeated_and_missing_ids(frame):
+    a, b = prose(1, 50), prose(2, 50)
+    rows = [(3, a, "", "", 0), (9, a, "", "", 0), (9, b, "", "", 0), (7, b, "", "", 0), (None, a, "", "", 0)]
+    out = near_duplicates(frame(rows)).collect()
+    assert {(r.id, r.component_id, r.kept) for r in out} == {(3, 3, True), (9, 3, False), (7, 3, False), (None, None, True)}
+    assert {r.doc_id for r in keep_first(frame(rows)).collect()} == {3, None}
+
+
+def test_empty_table_and_columns(frame, clashing, rows):
+    assert found(frame([])) == {}
+    df = clashing(rows)
+    assert keep_first(df).columns == df.columns
+
+
+def test_estimate_is_near_the_similarity():
+    a, b = prose(1, 800, 10**6).split(), prose(2, 160, 10**6).split()
+    texts = [" ".join(a), " ".join(a[:640] + b)]
+    row, sh = hm.shingle_hashes(Words([t.encode() for t in texts]))
+    sketch = hm.registers(row, sh, 2)[:, :hm.ESTIMATED]
+    s, t = (brute.shingles(x) for x in texts)
+    got = hm.estimate(sketch[:1], sketch[1:], np.array([len(s)]), np.array([len(t)]))[0]
+    assert abs(got - len(s & t) / len(s | t)) < 5 * (0.25 / hm.ESTIMATED) ** 0.5
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7), (200, 201), (201, 200)]
+    with Scratch(spark) as tables:
+        out = {r.node: r.component for r in components(spark.createDataFrame(links, "u bigint, v bigint"), tables).collect()}
+        assert out == {i: 0 for i in range(1, 41)} | {100: 90, 95: 90, 201: 200}
+        assert components(spark.createDataFrame([], "u bigint, v bigint"), tables).isEmpty()

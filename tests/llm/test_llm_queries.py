@@ -1,0 +1,91 @@
+"""Registered queries on the smallest data, beside DuckDB or brute force; the pipeline beside a plain one."""
+
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+import brute
+import corpus_pipeline
+from haulage.llm import registry
+from haulage.llm.hostrules import beta_prior
+from haulage.llm.tokens import tokenizer_file
+from oracle_check import compare, connect
+
+FOLDER = entry.SMOKE_DIR
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    def read(name):
+        return [r.asDict() for r in spark.read.parquet(f"{FOLDER}/{name}.parquet").collect()]
+
+    return {name: read(name) for name in ("documents", "benchmark", "labels")}
+
+
+@pytest.mark.parametrize("name", list(registry.ORACLE_SQL))
+def test_with_sql(spark, name):
+    same, note = compare(spark, connect(FOLDER), FOLDER, name)
+    assert same, note
+
+
+def test_near_duplicates(spark, tables):
+    docs = [(d["doc_id"], d["text"]) for d in tables["documents"]]
+    of = brute.groups(docs)
+    out = entry.queries()["op5_hyperminhash"](spark, FOLDER).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out} == {
+        (i, len(brute.shingles(t)), of[i], of[i] == i) for i, t in docs}
+
+
+def test_token_files(spark, tables):
+    tk = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    at, expected = 0, set()
+    for d in sorted(tables["documents"], key=lambda d: d["doc_id"]):
+        ids = tk.encode(d["text"] or "", add_special_tokens=False).ids + [2]
+        expected.add((d["doc_id"], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    out = entry.queries()["op8_huffman"](spark, FOLDER).collect()
+    assert {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in out} == expected
+
+
+@pytest.mark.parametrize("name, truth, table, least", [("op4_langid", "lang", "documents", 0.95),
+                                                      ("op6_quality", "quality", "labels", 0.9)])
+def test_held_out_accuracy(spark, tables, name, truth, table, least):
+    known = {d["doc_id"]: d[truth] for d in tables[table]}
+    out = entry.queries()[name](spark, FOLDER).collect()
+    answer = "lang_pred" if name == "op4_langid" else "predicted"
+    right = [r[answer] == known[r.doc_id] for r in out if r.held_out and r.doc_id in known]
+    assert len(out) == len(tables["documents"]) and np.mean(right) >= least
+
+
+def plain_pipeline(documents, benchmark):
+    """Ids and texts before packing."""
+    failed = {d["doc_id"]: brute.rules(d["text"])[-1] for d in documents}
+    hosts = {}
+    for d in documents:
+        hosts.setdefault(d["source"], []).append(failed[d["doc_id"]])
+    rates = [np.mean(x) for x in hosts.values()]
+    a, b = beta_prior(np.mean(rates), np.var(rates, ddof=1))
+    bad = {h for h, x in hosts.items() if (sum(x) + a) / (len(x) + a + b) > 0.5}
+    docs = [(d["doc_id"], d["text"]) for d in documents if not failed[d["doc_id"]] and d["source"] not in bad]
+    of = brute.groups(docs)
+    docs = [(i, t) for i, t in docs if of[i] == i]
+    kept = brute.kept_words(docs, 13)
+    docs = [(i, t if len(k) == len(brute.words(t)) else " ".join(k)) for (i, t), k in zip(docs, kept)]
+    hits = brute.contamination(docs, [(r["item_id"], r["text"]) for r in benchmark])
+    return [d for d, h in zip(docs, hits) if not h[1]]
+
+
+def test_pipeline(spark, tables):
+    tk = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    docs = {i: tk.encode(t, add_special_tokens=False).ids + [0] for i, t in plain_pipeline(tables["documents"], tables["benchmark"])}
+    out = entry.queries()["pipeline"](spark, FOLDER).collect()
+    assert {r.doc_id for r in out} == set(docs)
+    for r in out:
+        assert r.doc_tokens == len(docs[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(docs[r.doc_id][r.start:r.start + r.length], "<u4").tobytes())
+    assert sum(r.length for r in out) == sum(map(len, docs.values()))
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "near_dedup", "substring_dedup", "decontamination", "packing"]

@@ -1,0 +1,42 @@
+import brute
+from conftest import prose
+from haulage.llm.winnow import blocks, contamination, uncontaminated
+
+ITEM = "item_id bigint, text string"
+
+
+def found(docs, items, **options):
+    out = contamination(docs, items, **options).selectExpr("doc.doc_id", "n_words", "n_hit", "items").collect()
+    return {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in out}
+
+
+def sample(rows):
+    items = [(i, prose(700 + i, 25)) for i in range(6)]
+    items += [(6, items[0][1]), (7, None), (8, "--- !"), (9, "Word"), (10, "q1 q2 q3"), (None, prose(800, 12))]
+    extra = [prose(900, 20) + " " + items[1][1].upper().replace(" ", ", ") + " end", "Q1! q2? q3", "q1 q2",
+             " ".join(items[2][1].split()[:10]), " ".join(items[2][1].split()[:9]), items[11][1], items[0][1] + " " + items[3][1]]
+    return rows + [(100 + i, t, "en", "s", 0) for i, t in enumerate(extra)], items
+
+
+def test_against_brute_force_in_one_block_and_in_many(spark, frame, rows):
+    rows, items = sample(rows)
+    bench = spark.createDataFrame(items, ITEM)
+    expected = dict(zip([r[0] for r in rows], brute.contamination([(r[0], r[1]) for r in rows], items)))
+    assert found(frame(rows), bench) == expected
+    assert len(list(blocks(bench, "item_id", "text", 150))) > 3
+    assert found(frame(rows), bench, block_bytes=150) == expected
+
+
+def test_empty_tables(spark, frame, rows):
+    none = spark.createDataFrame([], ITEM)
+    assert all(hit == 0 for _, hit, _ in found(frame(rows), none).values())
+    assert found(frame([]), none) == {}
+
+
+def test_clean_documents_stay(spark, clashing, rows):
+    rows, items = sample(rows)
+    df = clashing(rows)
+    out = uncontaminated(df, spark.createDataFrame(items, ITEM))
+    expected = brute.contamination([(r[0], r[1]) for r in rows], items)
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == [r[0] for r, e in zip(rows, expected) if not e[1]]
