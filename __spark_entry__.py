@@ -18,7 +18,6 @@ from haulage.functions.types import cast_for_target, describe
 from haulage.operators.extract import (
     drop_unsupported_columns,
     extract,
-    files_with_newer,
     in_ranges,
 )
 from haulage.operators.profile import (
@@ -120,7 +119,7 @@ def _seed_mark(orders: DataFrame):
 def q_extract_high_water(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     mark = _seed_mark(orders)
-    return extract(files_with_newer(orders, mark), high_water=mark)
+    return extract(orders, high_water=mark)
 
 
 def q_extract_conjunction(spark, sf_dir):
@@ -296,8 +295,11 @@ def q_load_incremental_bootstrap(spark, sf_dir):
 
 def q_load_range_parallel(spark, sf_dir):
     source, target = _source(spark, sf_dir), _target(spark)
-    _done(load_full_table(spark, LAKE, source, "lineitem", LAKE, target, "lineitem",
-                          parallelization_key="l_orderkey"))
+    result = load_full_table(spark, Endpoint(batch_rows=1000), source, "lineitem", LAKE, target, "lineitem",
+                             parallelization_key="l_orderkey")
+    _done(result)
+    if len(result.batch_rows) < 2 or sum(result.batch_rows) != result.imported_rows:
+        raise RuntimeError(f"ranges {result.batch_rows} of {result.imported_rows} rows")
     return LAKE.read_table(spark, target, "lineitem")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, types as T
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ WHITESPACE = "".join(char for char in map(chr, range(0x3001)) if char.isspace())
 # NULL and control characters in a staged text line.
 NULL_MARK = "\\N"
 ESCAPES = [("\\", "\\x5C"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\x00")]
+# Further escapes that other writers of such lines use.
+FOREIGN_ESCAPES = [("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f"), ("\v", "\\v")]
 
 
 def strip_nul(value: Column) -> Column:
@@ -133,28 +137,36 @@ def stage_escapes(delimiter: str) -> list[tuple[str, str]]:
 
 
 def stage_encode(value: Column, dtype: T.DataType, delimiter: str) -> Column:
-    """A value as one field of a staged line."""
-    if isinstance(dtype, T.StringType):
-        text = value
-        for raw, escaped in stage_escapes(delimiter):
-            text = F.replace(text, F.lit(raw), F.lit(escaped))
-    elif isinstance(dtype, T.TimestampType):
+    """A value as one field of a staged line. Every type's text is escaped: numbers and times hold
+    characters that may be the delimiter."""
+    if isinstance(dtype, T.TimestampType):
         text = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
     elif isinstance(dtype, T.BinaryType):
-        text = F.hex(value)
+        text = F.concat(F.lit("\\x"), F.hex(value))
     else:
         text = value.cast("string")
+    for raw, escaped in stage_escapes(delimiter):
+        text = F.replace(text, F.lit(raw), F.lit(escaped))
     return F.coalesce(text, F.lit(NULL_MARK))
 
 
-def stage_decode(field: Column, dtype: T.DataType, delimiter: str) -> Column:
+def stage_split(line: Column, delimiter: str) -> Column:
+    """Fields of a line. Backslashes and delimiters that another writer put after a backslash are first
+    written as this one does, so that every delimiter left parts fields."""
+    own = F.replace(line, F.lit("\\\\"), F.lit("\\x5C"))
+    own = F.replace(own, F.lit("\\" + delimiter), F.lit(f"\\x{ord(delimiter):02X}"))
+    return F.split(F.when(line.contains("\\"), own).otherwise(line), re.escape(delimiter), -1)
+
+
+def stage_decode(field: Column, dtype: T.DataType, delimiter: str, null_mark: str = NULL_MARK) -> Column:
     """The value of a staged field; text that does not fit the type gives NULL."""
-    text = F.nullif(field, F.lit(NULL_MARK))
+    given = F.nullif(field, F.lit(null_mark))
+    decoded = given
+    for raw, escaped in [*FOREIGN_ESCAPES, *reversed(stage_escapes(delimiter))]:
+        decoded = F.replace(decoded, F.lit(escaped), F.lit(raw))
+    text = F.when(given.contains("\\"), decoded).otherwise(given)
     if isinstance(dtype, T.StringType):
-        decoded = text
-        for raw, escaped in reversed(stage_escapes(delimiter)):
-            decoded = F.replace(decoded, F.lit(escaped), F.lit(raw))
-        return F.when(text.contains("\\"), decoded).otherwise(text)
+        return text
     if isinstance(dtype, T.BinaryType):
-        return F.unhex(text)
+        return F.unhex(F.when(text.startswith("\\x"), F.substr(text, F.lit(3))).otherwise(text))
     return text.try_cast(dtype)

@@ -134,45 +134,6 @@ def target_type(canonical: str, dialect: str) -> str:
     return dialect_types(dialect).get(canonical, canonical)
 
 
-def canonical_from_postgres(type_name: str) -> str:
-    """Canonical name of a Postgres catalog type; unknown names pass through unchanged."""
-    exact = {
-        "text": "str",
-        "numeric": "decimal.Decimal",
-        "date": "datetime.date",
-        "time": "datetime.time",
-        "timestamp": "datetime.datetime",
-        "uuid": "UUID.uuid",
-        "interval": "timedelta",
-        "bool": "bool",
-        "bytea": "bytes",
-    }
-    if type_name in exact:
-        return exact[type_name]
-    if type_name.startswith("int"):
-        return "int"
-    return "str" if "char" in type_name else type_name
-
-
-def canonical_from_oracle(type_name: str, scale: int | None = None) -> str:
-    """Canonical name of an Oracle driver type; numbers are told apart by their scale."""
-    if type_name == "NUMBER":
-        if not scale:
-            return "int"
-        return "float" if scale < 0 else "decimal.Decimal"
-    names = {
-        "BLOB": "bytes",
-        "OBJECT": "bytes",
-        "BFILE": "bytes",
-        "NCLOB": "bytes",
-        "DATETIME": "datetime.datetime",
-        "TIMESTAMP": "datetime.datetime",
-        "STRING": "str",
-        "CLOB": "str",
-    }
-    return names.get(type_name, type_name)
-
-
 def canonical_type(dtype: T.DataType) -> str:
     """Canonical name of a Spark type."""
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
@@ -310,6 +271,8 @@ def cast_for_target(df: DataFrame, dialect: str, widen: bool = True) -> DataFram
                 value = value.cast("timestamp_ntz")
             elif name == "timedelta":
                 value = _clock_text(value)
+            elif name == "datetime.time":
+                value = value.cast("string")  # Spark writes no time type to a database
         projected.append(value.alias(field.name, metadata=field.metadata))
     return df.select(*projected)
 

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
@@ -45,29 +44,6 @@ def marker_text(key: Column, dtype: T.DataType) -> Column:
     return key.cast("string")
 
 
-# Files that can be singled out by name for an increment.
-NAMED_FILES = 10_000
-
-
-def files_with_newer(df: DataFrame, mark: HighWater) -> DataFrame:
-    """The rows of those files of a table that hold keys above the mark.
-
-    Spark skips no Parquet data on timestamp statistics, so a predicate on such a key
-    reads every column of the whole table. Reading the key column alone finds the files
-    that matter, and the scan then opens no others. Where they are too many to name, or
-    the rows do not come from files, all rows are returned: the predicate decides then.
-    """
-    if not isinstance(mark.dtype, (T.TimestampType, T.TimestampNTZType)):
-        return df
-    path = F.col("_metadata.file_path")
-    try:
-        holding = df.where(mark.newer).select(path.alias("path")).distinct()
-    except AnalysisException:
-        return df
-    found = [row.path for row in holding.limit(NAMED_FILES + 1).collect()]
-    return df if len(found) > NAMED_FILES else df.where(path.isin(found))
-
-
 def extract(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -87,8 +63,10 @@ def extract(
     return df.limit(limit) if limit else df
 
 
-def supported_columns(df: DataFrame, dialect: str = "postgres", measure: bool = False) -> list[str]:
-    """Columns that table loads keep: no binary data, no strings over 4000 characters.
+def supported_columns(
+    df: DataFrame, dialect: str = "postgres", measure: bool = False, keep_binary: bool = False
+) -> list[str]:
+    """Columns that table loads keep: no binary data (unless asked to), no strings over 4000 characters.
 
     The declared length decides and needs no scan. Strings without one are unbounded
     text, kept everywhere but for Oracle sources; ``measure`` decides on their longest
@@ -104,7 +82,7 @@ def supported_columns(df: DataFrame, dialect: str = "postgres", measure: bool =
     return [
         c.name
         for c in columns
-        if c.type not in BINARY_TYPES
+        if (keep_binary or c.type not in BINARY_TYPES)
         and lengths.get(c.name, 0) <= MAX_STRING_LENGTH
         and not (dialect == "oracle" and lengths.get(c.name) == -1)
     ]
@@ -170,6 +148,54 @@ class KeyRanges:
         return [first, *inner, last]
 
 
-def in_ranges(df: DataFrame, ranges: KeyRanges, name: str = "batch_id") -> DataFrame:
+@dataclass(frozen=True)
+class RowRanges:
+    """Half-open ranges of a key that hold about as many rows each, given by their starts.
+
+    Rows without a key or below the first start are in the first range, NaN keys in the last.
+    """
+
+    key: str
+    starts: tuple
+    dtype: T.DataType
+
+    @property
+    def count(self) -> int:
+        return len(self.starts)
+
+    def _literal(self, start) -> str:
+        return f"CAST('{start}' AS {self.dtype.simpleString()})"
+
+    @property
+    def batch_id(self) -> Column:
+        """Number of the range a row is in, from 0: two short searches, among every so many starts
+        and then within that stretch."""
+        if not self.starts:
+            return F.lit(0).cast("bigint")
+        step = max(1, int(len(self.starts) ** 0.5))
+        starts = F.expr("array(%s)" % ", ".join(map(self._literal, self.starts)))
+        coarse = F.expr("array(%s)" % ", ".join(map(self._literal, self.starts[::step])))
+        key = F.col(quoted(self.key))
+
+        def below(some: Column) -> Column:
+            return F.size(F.filter(some, lambda start: start <= key))
+
+        stretch = F.greatest(below(coarse) - 1, F.lit(0)) * step
+        number = stretch + below(F.slice(starts, stretch + 1, step)) - 1
+        return F.greatest(F.coalesce(number, F.lit(0)), F.lit(0)).cast("bigint")
+
+    def predicates(self, column: str | None = None) -> list[str]:
+        """One SQL predicate per range, for partitioned reads from a database."""
+        name, starts = column or self.key, self.starts
+        if not starts:
+            return []
+        if len(starts) == 1:
+            return ["1 = 1"]
+        first, last = f"({name} < {starts[1]} OR {name} IS NULL)", f"{name} >= {starts[-1]}"
+        inner = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(starts[1:], starts[2:])]
+        return [first, *inner, last]
+
+
+def in_ranges(df: DataFrame, ranges: KeyRanges | RowRanges, name: str = "batch_id") -> DataFrame:
     """Number every row with its key range, in the pass that reads it anyway."""
     return df.withColumn(name, ranges.batch_id)

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 from ..functions.names import quoted, text_literal
 from ..functions.types import ColumnInfo, declared_type, spark_schema
-from ..sources.delimited import DELIMITER, read_delimited
+from ..functions.text import NULL_MARK
+from ..sources.delimited import DELIMITER, read_delimited, rejected_lines
 from ..sources.endpoint import Endpoint
 
 # Name endings of a table being loaded and of one being retired.
 STAGING = "_tmp"
 RETIRED = "_delete"
+# Name ending of the table that keeps the lines an import left out.
+REJECTED = "_rejected"
 
 
 def create_table(
@@ -137,14 +140,23 @@ def import_delimited(
     table: str,
     delimiter: str = DELIMITER,
     skip_bad_rows: bool = False,
+    null_mark: str = NULL_MARK,
 ) -> Imported:
-    """Load every staged file under a path into an existing table, in one job."""
+    """Load every staged file under a path into an existing table, in one job.
+
+    Lines that ``skip_bad_rows`` leaves out are kept in a table beside it; only if there are any are
+    the files read a second time.
+    """
     target.require_writable()
     columns = target.read_table(spark, schema, table).schema
     counts = Observation()
-    rows = read_delimited(spark, path, columns, delimiter, skip_bad_rows, counts)
+    rows = read_delimited(spark, path, columns, delimiter, skip_bad_rows, counts, null_mark)
     rows.write.insertInto(target.table_name(schema, table))
     rejected = counts.get["rejected"]
+    if skip_bad_rows and rejected:
+        lines = rejected_lines(spark, path, columns, delimiter, null_mark)
+        create_table(spark, target, schema, table + REJECTED, lines.schema)
+        insert(lines, target.table_name(schema, table + REJECTED))
     return Imported(counts.get["rows"] - rejected, rejected)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
@@ -40,6 +40,17 @@ def _load(spark: SparkSession, load: LoadSpec, source: Endpoint, target: Endpoin
     return load_incremental(spark, *ends, replication_key=load.replication_key, **options)
 
 
+def _logged(log: RunLog, result: LoadResult, **record) -> LoadResult:
+    """Append a record. A log that fails never takes a result with it; the result says so."""
+    try:
+        log.log(**record)
+    except Exception as error:
+        logger.exception("a record could not be logged")
+        message = "; ".join(filter(None, (result.message, f"not logged: {type(error).__name__}")))
+        return replace(result, message=message)
+    return result
+
+
 def run_load(
     spark: SparkSession,
     load: LoadSpec,
@@ -68,7 +79,8 @@ def run_load(
     logger.info("%s %s: %d rows in %.2fs at %d rows/sec %s", result.status, load.title,
                 result.imported_rows, seconds, rate, result.message)
     if log is not None:
-        log.log(
+        result = _logged(
+            log, result,
             project=project,
             project_started_at=project_started_at,
             source_table=load.logged_source,
@@ -129,7 +141,7 @@ def run_project(spark: SparkSession, project: Project) -> ProjectResult:
     with ThreadPoolExecutor(workers) as pool:
         result = ProjectResult(list(pool.map(run, project.loads)))
     if log is not None:
-        log.log(project=project.name, project_started_at=started_at, ended_at=datetime.now(),
-                status=END)
+        _logged(log, LoadResult(END), project=project.name, project_started_at=started_at,
+                ended_at=datetime.now(), status=END)
     logger.info("%s: %s", project.name, result.outcome)
     return result

@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -19,13 +19,12 @@ from ..functions.names import quoted
 from ..functions.types import cast_for_target, cast_from_oracle
 from ..operators.extract import (
     HighWater,
-    KeyRanges,
+    RowRanges,
     extract,
-    files_with_newer,
     marker_text,
     supported_columns,
 )
-from ..operators.profile import batch_row_counts, high_water, key_ranges
+from ..operators.profile import batch_row_counts, high_water, row_ranges
 from ..operators.publish import (
     STAGING,
     Markers,
@@ -53,6 +52,7 @@ class LoadResult:
     exported_rows: int = 0
     imported_rows: int = 0
     message: str = ""
+    batch_rows: tuple[int, ...] = ()  # rows stored of each key range, where a key splits the load
 
 
 def _finished(exported: int, imported: int) -> LoadResult:
@@ -83,7 +83,7 @@ def _source_rows(
     columns: list[str],
     mark: HighWater | None,
     parallelization_key: str | None,
-) -> tuple[DataFrame, KeyRanges | None]:
+) -> tuple[DataFrame, RowRanges | None]:
     """The rows to load, and the key ranges they split into when a key is given.
 
     Spark splits a catalog table by its files, so ranges change nothing about how it is
@@ -92,11 +92,9 @@ def _source_rows(
     rows, ranges = source.read_rows(spark, schema, table), None
     if parallelization_key:
         keys = extract(rows, [parallelization_key], mark)
-        ranges = key_ranges(keys, parallelization_key, source.batch_rows)
+        ranges = row_ranges(keys, parallelization_key, source.batch_rows)
         if source.is_jdbc and ranges.count:
             rows = source.read_rows(spark, schema, table, ranges.predicates())
-    if mark is not None and source.holds_files(spark, schema, table):
-        rows = files_with_newer(rows, mark)
     return extract(rows, columns, mark, limit=source.limit_rows), ranges
 
 
@@ -105,8 +103,8 @@ def _for_target(df: DataFrame, source: Endpoint, target: Endpoint) -> DataFrame:
     if source.kind == "oracle":
         df = cast_from_oracle(df)
     if target.is_jdbc:
-        # each write task holds a database connection
-        df = cast_for_target(df, target.dialect).coalesce(target.parallel_loads)
+        # Each write task holds a database connection; the shuffle keeps what comes before it parallel.
+        df = cast_for_target(df, target.dialect).repartition(target.parallel_loads)
     return df
 
 
@@ -123,22 +121,21 @@ def _stage(
     target: Endpoint,
     schema: str,
     table: str,
-    ranges: KeyRanges | None = None,
+    ranges: RowRanges | None = None,
     key: str | None = None,
-) -> Written:
+) -> tuple[Written, tuple[int, ...]]:
     """Fill a new staging table and make sure that it holds the rows read, no more, no less."""
     create_table(spark, target, schema, table + STAGING, df.schema)
     name = target.table_name(schema, table + STAGING)
     written = insert(df, name, _largest(df, target, key))
     staged = target.read_table(spark, schema, table + STAGING)
-    if ranges is None or target.is_jdbc:
-        stored = staged.count()
-    else:
-        counts = batch_row_counts(staged, ranges)
-        stored = counts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")).first().rows
+    batches = {}
+    if ranges is not None and not target.is_jdbc:
+        batches = dict(batch_row_counts(staged, ranges).collect())  # one row per range
+    stored = sum(batches.values()) if batches else staged.count()
     if stored != written.rows:
         raise RuntimeError(f"{name} holds {stored} rows of {written.rows} read")
-    return written
+    return written, tuple(batches.get(i, 0) for i in range(ranges.count)) if batches else ()
 
 
 def _full(
@@ -147,15 +144,29 @@ def _full(
     target: Endpoint,
     schema: str,
     table: str,
-    ranges: KeyRanges | None = None,
+    ranges: RowRanges | None = None,
     key: str | None = None,
 ) -> LoadResult:
     """Stage, publish by rename, and remember the largest key for later increments."""
-    written = _stage(spark, df, target, schema, table, ranges, key)
+    written, batches = _stage(spark, df, target, schema, table, ranges, key)
     swap_table(spark, target, schema, table, table + STAGING)
     if written.largest is not None:
         set_markers(spark, target, schema, table, key, Markers(written.largest))
-    return _finished(written.rows, written.rows)
+    return replace(_finished(written.rows, written.rows), batch_rows=batches)
+
+
+def _loaded_columns(
+    table: DataFrame, source: Endpoint, target: Endpoint, measure: bool
+) -> tuple[list[str], str]:
+    """Columns to load, and a note of those left out. Between Spark catalogs binary data can stay."""
+    keep_binary = not measure and not source.is_jdbc and not target.is_jdbc
+    columns = supported_columns(table, source.dialect, measure, keep_binary)
+    left_out = [name for name in table.columns if name not in columns]
+    return columns, f"left out: {', '.join(left_out)}" if left_out else ""
+
+
+def _noted(result: LoadResult, note: str) -> LoadResult:
+    return replace(result, message="; ".join(filter(None, (result.message, note))))
 
 
 @_reported
@@ -173,9 +184,9 @@ def load_full_table(
     """Replace the target with the source table."""
     target.require_writable()
     table = source.read_table(spark, source_schema, source_table)
-    columns = supported_columns(table, source.dialect, measure_columns)
-    return _full_table(spark, source, source_schema, source_table, columns, target,
-                       target_schema, target_table, parallelization_key)
+    columns, note = _loaded_columns(table, source, target, measure_columns)
+    return _noted(_full_table(spark, source, source_schema, source_table, columns, target,
+                              target_schema, target_table, parallelization_key), note)
 
 
 def _full_table(
@@ -251,54 +262,62 @@ def load_incremental(
     if not replication_key:
         return LoadResult(ERROR, message="no replication key is given")
     table = source.read_table(spark, source_schema, source_table)
-    columns = supported_columns(table, source.dialect, measure_columns)
-    if replication_key not in columns:
-        return LoadResult(ERROR, message="the replication key is not a loaded column")
-    mark = None
+    mark, markers = None, Markers()
     if target.table_exists(spark, target_schema, target_table):
-        mark = _loaded_mark(spark, target, target_schema, target_table, replication_key)
+        markers = get_markers(spark, target, target_schema, target_table, replication_key)
+        there = target.read_table(spark, target_schema, target_table)
+        mark = high_water(there, replication_key, markers.largest)
     if mark is None:
+        columns, note = _loaded_columns(table, source, target, measure_columns)
+        if replication_key not in columns:
+            return LoadResult(ERROR, message="the replication key is not a loaded column")
         logger.info("%s.%s holds no key to go on from, loading in full", target_schema, target_table)
-        return _full_table(spark, source, source_schema, source_table, columns, target,
-                           target_schema, target_table, parallelization_key, replication_key)
+        return _noted(_full_table(spark, source, source_schema, source_table, columns, target, target_schema,
+                                  target_table, parallelization_key, replication_key), note)
+    # The columns of a target that is there decide, whatever a new measurement would say.
+    known = {name.lower() for name in there.columns}
+    columns = [name for name in table.columns if name.lower() in known]
+    left_out = [name for name in table.columns if name.lower() not in known]
+    note = f"not in the target: {', '.join(left_out)}" if left_out else ""
+    unconfirmed = markers.pending and mark.text != markers.pending
+    since = replace(mark, text=markers.pending) if unconfirmed else mark
     rows, _ = _source_rows(
-        spark, source, source_schema, source_table, columns, mark, parallelization_key
+        spark, source, source_schema, source_table, columns, since, parallelization_key
     )
     rows = _for_target(rows, source, target)
-    append = _append_staged if target.is_jdbc else _append
-    return append(spark, rows, target, target_schema, target_table, mark)
+    if target.is_jdbc:
+        return _noted(_append_staged(spark, rows, target, target_schema, target_table, mark), note)
+    if unconfirmed:
+        rows = _missing(rows, there.where(since.newer))
+    return _noted(_append(spark, rows, target, target_schema, target_table, since, mark.text), note)
 
 
-def _loaded_mark(
-    spark: SparkSession, target: Endpoint, schema: str, table: str, key: str
-) -> HighWater | None:
-    """The largest key of a target; None when it has to be loaded in full.
+def _missing(rows: DataFrame, there: DataFrame) -> DataFrame:
+    """The rows that an append which was cut short did not bring.
 
-    That is also so after an append that was cut short while its files were published:
-    the largest key has moved on, but rows below it may be missing.
+    Its files may have been published in part, and other writers may have moved the largest key. So all
+    rows since the append began are read again and those that are there are taken off, as often as they
+    are there. Nothing is deleted, whoever wrote it, and no row comes in twice.
     """
-    markers = get_markers(spark, target, schema, table, key)
-    mark = high_water(target.read_table(spark, schema, table), key, markers.largest)
-    if markers.pending and mark is not None and mark.text != markers.pending:
-        logger.warning("%s.%s: an earlier append was cut short, loading in full", schema, table)
-        return None
-    return mark
+    logger.warning("an earlier append was cut short, adding what it missed")
+    return aligned(rows, there.columns).exceptAll(there)
 
 
 def _append(
-    spark: SparkSession, df: DataFrame, target: Endpoint, schema: str, table: str, mark: HighWater
+    spark: SparkSession, df: DataFrame, target: Endpoint, schema: str, table: str, mark: HighWater,
+    largest_there: str,
 ) -> LoadResult:
-    """Append in one write.
+    """Append in one write. Until it is confirmed, the target remembers the key it started from.
 
     An increment is a few rows out of each of many source splits. Rebalancing it gives
     files of a useful size whatever the number of splits and however its keys are spread.
     """
     columns = target.read_table(spark, schema, table).columns
     rows = aligned(df, columns).hint("rebalance")
-    set_markers(spark, target, schema, table, mark.key, Markers(mark.text, pending=mark.text))
+    set_markers(spark, target, schema, table, mark.key, Markers(largest_there, pending=mark.text))
     largest = _largest(rows, target, mark.key)
     written = insert(rows, target.table_name(schema, table), largest)
-    set_markers(spark, target, schema, table, mark.key, Markers(written.largest or mark.text))
+    set_markers(spark, target, schema, table, mark.key, Markers(written.largest or largest_there))
     return _finished(written.rows, written.rows)
 
 
@@ -307,7 +326,7 @@ def _append_staged(
 ) -> LoadResult:
     """Append by way of a staging table: the tasks of a database write commit one by one,
     so rows are counted before they reach the target, and again when they are there."""
-    written = _stage(spark, df, target, schema, table)
+    written, _ = _stage(spark, df, target, schema, table)
     append_and_drop(spark, target, schema, table, table + STAGING)
     added = target.read_table(spark, schema, table).where(mark.newer)
     return _finished(written.rows, added.count())

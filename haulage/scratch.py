@@ -20,7 +20,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="haulage-")
+    folder = tempfile.mkdtemp(prefix="haulage-")
+    spark.conf.set("spark.checkpoint.dir", folder)  # one for the whole session
+    return folder
 
 
 def fresh_schema(spark: SparkSession, prefix: str) -> tuple[str, str]:

@@ -7,13 +7,11 @@ NULL, empty strings and separators come back as they went in.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from ..functions.names import quoted
-from ..functions.text import NULL_MARK, stage_decode, stage_encode
+from ..functions.text import NULL_MARK, stage_decode, stage_encode, stage_split
 
 # Fixed value: the delimiter of staged files unless another is chosen.
 DELIMITER = "|"
@@ -48,6 +46,7 @@ def _parsed(
     schema: T.StructType,
     delimiter: str,
     counts: Observation | None,
+    null_mark: str = NULL_MARK,
 ) -> DataFrame:
     """Every line as ``__staged_line``, whether it is ``__staged_unusable``, and its typed values.
 
@@ -56,16 +55,16 @@ def _parsed(
     """
     lines = spark.read.text(path).select(
         F.col("value").alias("__staged_line"),
-        F.split("value", re.escape(delimiter), -1).alias("__staged_parts"),
+        stage_split(F.col("value"), delimiter).alias("__staged_parts"),
     )
     fields = {f.name: F.get("__staged_parts", F.lit(i)) for i, f in enumerate(schema)}
     typed = lines.select("*", *(
-        stage_decode(fields[f.name], f.dataType, delimiter).alias(f.name) for f in schema
+        stage_decode(fields[f.name], f.dataType, delimiter, null_mark).alias(f.name) for f in schema
     ))
     unusable = F.size("__staged_parts") != len(schema)
     for f in schema:
         if not isinstance(f.dataType, T.StringType):
-            unusable |= (fields[f.name] != NULL_MARK) & F.col(quoted(f.name)).isNull()
+            unusable |= (fields[f.name] != null_mark) & F.col(quoted(f.name)).isNull()
     judged = typed.select(
         "__staged_line", unusable.alias("__staged_unusable"), *(quoted(f.name) for f in schema)
     )
@@ -83,14 +82,15 @@ def read_delimited(
     delimiter: str = DELIMITER,
     skip_bad_rows: bool = False,
     counts: Observation | None = None,
+    null_mark: str = NULL_MARK,
 ) -> DataFrame:
-    """Staged lines as typed rows.
+    """Staged lines as typed rows. Lines of other tools may have another mark for NULL, such as nothing.
 
     A line with the wrong number of fields, or with a field that does not fit its type,
     fails the read, or is left out with ``skip_bad_rows``. ``counts`` then receives
     ``rows`` (all lines) and ``rejected`` in the same pass.
     """
-    judged = _parsed(spark, path, schema, delimiter, counts)
+    judged = _parsed(spark, path, schema, delimiter, counts, null_mark)
     usable = ~F.col("__staged_unusable")
     if not skip_bad_rows:
         message = F.concat(F.lit("unusable staged line: "), F.col("__staged_line"))
@@ -99,8 +99,9 @@ def read_delimited(
 
 
 def rejected_lines(
-    spark: SparkSession, path: str, schema: T.StructType, delimiter: str = DELIMITER
+    spark: SparkSession, path: str, schema: T.StructType, delimiter: str = DELIMITER,
+    null_mark: str = NULL_MARK,
 ) -> DataFrame:
     """The staged lines that ``skip_bad_rows`` leaves out, as text."""
-    judged = _parsed(spark, path, schema, delimiter, None)
+    judged = _parsed(spark, path, schema, delimiter, None, null_mark)
     return judged.where("__staged_unusable").select(F.col("__staged_line").alias("line"))

@@ -51,6 +51,8 @@ class Endpoint:
     def from_config(cls, name: str, config: Mapping, output: str | None = None) -> Endpoint:
         """Build from a connection entry; ``output`` overrides its chosen profile."""
         credentials = dict(config["outputs"][output or config["target"]])
+        if credentials.get("as_columnstore"):
+            raise ValueError(f"connection {name}: as_columnstore cannot be done through Spark's catalog")
         return cls(
             name=name,
             kind=config["type"],
@@ -109,12 +111,6 @@ class Endpoint:
         self.use(spark)
         return spark.table(self.table_name(schema, table))
 
-    def holds_files(self, spark: SparkSession, schema: str, table: str) -> bool:
-        """Whether a table's rows come straight from files, and not through a view."""
-        if not self.in_session_catalog:
-            return False
-        return spark.catalog.getTable(self.table_name(schema, table)).tableType in ("MANAGED", "EXTERNAL")
-
     def read_query(self, spark: SparkSession, query: str) -> DataFrame:
         """The user's query as it stands, run by Spark or by the database."""
         if self.is_jdbc:

@@ -15,7 +15,7 @@ TEXTS = st.lists(st.one_of(
 
 
 @pytest.mark.parametrize("columns", [1, 2])
-@pytest.mark.parametrize("delimiter", ["|", ";", "\t"])
+@pytest.mark.parametrize("delimiter", ["|", ";", "\t", "-", " "])
 def test_any_text_comes_back(spark, folder, columns, delimiter):
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(columns)])
     rows = [(text,) * columns for text in NASTY]
@@ -35,7 +35,8 @@ def test_random_text_comes_back(spark, texts):
     assert values(read_delimited(spark, path, df.schema)) == values(df)
 
 
-def test_every_type_comes_back(spark, folder):
+@pytest.mark.parametrize("delimiter", ["|", "-", ":", ".", " ", "+", ",", "'", "_"])
+def test_every_type_comes_back(spark, folder, delimiter):
     df = spark.sql("""
         SELECT 1 AS i, 2L AS l, 0.1D + 0.2D AS d, cast(1e-3 AS float) AS f, true AS b,
                cast(-1.50 AS decimal(10,2)) AS m, date '2020-02-29' AS day,
@@ -45,8 +46,8 @@ def test_every_type_comes_back(spark, folder):
         UNION ALL SELECT NULL, NULL, double('NaN'), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        export_delimited(df, folder)
-        back = read_delimited(spark, folder, df.schema)
+        export_delimited(df, folder, delimiter)
+        back = read_delimited(spark, folder, df.schema, delimiter)
         assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -109,3 +110,24 @@ def test_a_failed_import_leaves_the_table_as_it_was(spark, lake, schema, staged)
 def test_lines_are_split_once(spark, staged):
     rows = read_delimited(spark, staged, T.StructType.fromDDL(SCHEMA), skip_bad_rows=True)
     assert rows._jdf.queryExecution().executedPlan().toString().count("split(") == 1
+
+
+def test_lines_of_other_writers(spark, folder):
+    schema = T.StructType.fromDDL("a int, b string, raw binary")
+    lines = ["1|a\\tb|\\\\x6162", "2|x\\\\y|\\N", "3|c\\|d|\\N", "4|\\\\\\|e|\\N"]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(folder)
+    assert values(read_delimited(spark, folder, schema)) == [
+        (1, "a\tb", b"ab"), (2, "x\\y", None), (3, "c|d", None), (4, "\\|e", None)]
+
+
+def test_a_null_mark_of_nothing(spark, folder):
+    spark.createDataFrame([("1,x",), (",",)], "value string").write.text(folder)
+    rows = read_delimited(spark, folder, T.StructType.fromDDL("a int, b string"), ",", null_mark="")
+    assert values(rows) == [(1, "x"), (None, None)]
+
+
+def test_lines_left_out_are_kept(spark, lake, schema, staged):
+    create_table(spark, lake, schema, "t", T.StructType.fromDDL(SCHEMA))
+    found = import_delimited(spark, staged, lake, schema, "t", skip_bad_rows=True)
+    assert (found.rows, found.rejected) == (3, 5) and spark.table(f"{schema}.t").count() == 3
+    assert values(spark.table(f"{schema}.t_rejected")) == sorted((line,) for line in set(LINES) - {LINES[0], LINES[1], LINES[7]})

@@ -11,7 +11,6 @@ from haulage.operators.extract import (
     KeyRanges,
     drop_unsupported_columns,
     extract,
-    files_with_newer,
     in_ranges,
     supported_columns,
 )
@@ -72,24 +71,11 @@ def clocked(spark, schema):
     return spark.table(f"{schema}.clocked")
 
 
-def test_an_increment_by_time_opens_only_files_with_newer_rows(spark, schema):
+def test_an_increment_by_time_behaves_alike_for_any_number_of_files(spark, schema):
     table = clocked(spark, schema)
     mark = high_water(table.where("id <= 850"), "at")
-    assert scanned(extract(table, high_water=mark)) == (149, 1000)
-    assert scanned(extract(files_with_newer(table, mark), ["id"], mark)) == (149, 200)
-    assert values(extract(files_with_newer(table, mark), ["id"], mark)) == values(
-        extract(table, ["id"], mark))
-    newest = high_water(table, "at")
-    assert extract(files_with_newer(table, newest), high_water=newest).count() == 0
-
-
-def test_files_are_not_named_where_there_are_none_or_too_many(spark, schema, monkeypatch):
-    table = clocked(spark, schema)
-    mark = high_water(table.where("id <= 850"), "at")
-    assert files_with_newer(spark.createDataFrame(table.collect(), table.schema), mark).count() == 1000
-    monkeypatch.setattr(extraction, "NAMED_FILES", 1)
-    assert files_with_newer(table, mark) is table
-    assert files_with_newer(table, high_water(table, "id")) is table
+    assert values(extract(table, ["id"], mark)) == [(i,) for i in range(851, 1000)]
+    assert values(extract(table.coalesce(1), ["id"], mark)) == values(extract(table, ["id"], mark))
 
 
 @pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])

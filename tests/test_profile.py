@@ -1,13 +1,18 @@
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
+
 from conftest import ROWS, values
 from haulage.operators.profile import (
+    batch_row_counts,
     high_water,
     key_max,
     key_min_max,
     key_min_max_batch,
+    key_ranges,
     query_columns,
+    row_ranges,
     table_columns,
 )
 
@@ -89,3 +94,28 @@ def test_columns_of_an_empty_table(make):
 def test_maximum_of_timestamps_keeps_microseconds(make):
     table = make("t", [(1, "x", datetime(2020, 1, 1, 0, 0, 0, 123456))])
     assert high_water(table, "datetime_col").text == "2020-01-01 00:00:00.123456"
+
+
+@pytest.mark.parametrize("dtype", ["bigint", "decimal(20,3)", "double"])
+@pytest.mark.parametrize("keys", [
+    [*range(1000), 10**12], [7] * 400 + list(range(800)), [5] * 10, [1], [*range(0, 5000, 3), None, None]])
+def test_ranges_hold_about_as_many_rows(spark, keys, dtype):
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").selectExpr(f"cast(k AS {dtype}) AS k")
+    ranges = row_ranges(df, "k", 100)
+    counts = dict(batch_row_counts(df, ranges).collect())
+    assert sum(counts.values()) == len(keys) and all(0 <= i < ranges.count for i in counts)
+    hot = max((keys.count(k) for k in set(keys)), default=0)
+    large = [n for n in counts.values() if n > 200]
+    assert all(n <= hot + 100 for n in large) and len(large) <= 1
+    found = [df.where(p).count() for p in ranges.predicates()]
+    assert found == [counts.get(i, 0) for i in range(ranges.count)]
+
+
+def test_ranges_without_keys(spark):
+    none = spark.createDataFrame([(None,), (None,)], "k double")
+    assert row_ranges(none, "k", 1).count == 0 and dict(batch_row_counts(none, row_ranges(none, "k", 1)).collect()) == {0: 2}
+    some = spark.sql("SELECT * FROM VALUES (1D), (2D), (double('NaN')), (NULL) AS t(k)")
+    assert key_ranges(some, "k", 1).maximum == 2.0 and key_ranges(some, "k", 1).count >= 1
+    assert sum(dict(batch_row_counts(some, row_ranges(some, "k", 1)).collect()).values()) == 4
+    with pytest.raises(TypeError):
+        row_ranges(spark.sql("SELECT 'a' AS k"), "k", 1)

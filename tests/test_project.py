@@ -116,6 +116,26 @@ def test_a_log_that_cannot_be_written_does_not_stop_the_loads(spark, schema, mak
     assert result.count("DONE") == 4
 
 
+def test_a_log_that_breaks_on_the_way_takes_no_result_with_it(spark, lake, schema, make, monkeypatch):
+    prepare(make)
+    records = []
+
+    def broken(self, **record):
+        if record.get("source_table") or record["status"] == "END":
+            raise OSError("log is gone")
+        records.append(record)
+
+    monkeypatch.setattr(RunLog, "log", broken)
+    result = run_project(spark, Project.from_config("p", *project(schema)))
+    assert [r["status"] for r in records] == ["START"] and result.count("DONE") == 4
+    assert all("not logged: OSError" in r.message for r in result.results)
+
+
+def test_options_without_effect_are_refused():
+    with pytest.raises(ValueError, match="as_columnstore"):
+        Endpoint.from_config("db", {"type": "sqlserver", "target": "p", "outputs": {"p": {"as_columnstore": True}}})
+
+
 def test_one_load(spark, lake, schema, make):
     make("src", ROWS)
     load = LoadSpec(schema, "copy", schema, "src")
