@@ -31,8 +31,7 @@ from .words import Words, as_bytes, gram_hashes, lower_ascii, pieces, whole_runs
 DIMENSIONS = 1 << 14
 RANK = 8
 SAMPLE = 6000
-EPOCHS = 8
-BATCH = 128
+STEPS, BATCH = 400, 128  # updates, and rows in each
 RATE = 0.05
 DECAY = 1e-4
 SEED = 6
@@ -133,7 +132,7 @@ class Machine:
         self.bias = float(np.log(share / (1 - share)))
         past_w, past_v, past_b = np.full(self.w.shape, 1e-6), np.full(self.v.shape, 1e-6), 1e-6
         order = np.random.default_rng(SEED)
-        for _ in range(EPOCHS):
+        for _ in range(-(-STEPS * BATCH // rows)):
             mixed = order.permutation(rows)
             for at in range(0, rows, BATCH):
                 some = mixed[at:at + BATCH]

@@ -50,14 +50,15 @@ def test_token_files(spark, tables):
     assert {(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in out} == expected
 
 
-@pytest.mark.parametrize("name, truth, table, least", [("op4_langid", "lang", "documents", 0.95),
-                                                      ("op6_quality", "quality", "labels", 0.9)])
-def test_held_out_accuracy(spark, tables, name, truth, table, least):
-    known = {d["doc_id"]: d[truth] for d in tables[table]}
-    out = entry.queries()[name](spark, FOLDER).collect()
+@pytest.mark.parametrize("name, truth, table, least", [("op4_langid", "lang", "documents", 0.98),
+                                                      ("op6_quality", "quality", "labels", 0.95)])
+def test_held_out_accuracy(spark, name, truth, table, least):
+    folder = FOLDER.replace("sf0.001", "sf0.01")
+    known = {r.doc_id: r[truth] for r in spark.read.parquet(f"{folder}/{table}.parquet").collect()}
+    out = entry.queries()[name](spark, folder).collect()
     answer = "lang_pred" if name == "op4_langid" else "predicted"
     right = [r[answer] == known[r.doc_id] for r in out if r.held_out and r.doc_id in known]
-    assert len(out) == len(tables["documents"]) and np.mean(right) >= least
+    assert len(right) > 50 and np.mean(right) >= least
 
 
 def plain_pipeline(documents, benchmark):
