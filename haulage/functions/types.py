@@ -207,6 +207,19 @@ def create_table_ddl(schema: str, table: str, columns: list[ColumnInfo], dialect
     return f"{create} {schema}.{table}(\n{body})"
 
 
+def database_table_ddl(schema: str, table: str, columns: T.StructType, dialect: str) -> str:
+    """``CREATE TABLE`` text for rows of a Spark schema, as ``cast_for_target`` makes them.
+
+    64-bit integers and doubles stay whole on Postgres, as there.
+    """
+    wide = {T.LongType: "bigint", T.DoubleType: "double precision"} if dialect == "postgres" else {}
+    infos = [
+        info._replace(type=wide.get(type(field.dataType), info.type))
+        for info, field in zip(describe(columns), columns)
+    ]
+    return create_table_ddl(schema, table, infos, dialect)
+
+
 def spark_schema(columns: list[ColumnInfo]) -> T.StructType:
     """Descriptors as a Spark schema; names that Spark does not know raise ``UnsupportedType``."""
     schema = T.StructType()

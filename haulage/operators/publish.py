@@ -31,10 +31,12 @@ def create_table(
     target.require_writable()
     target.use(spark)
     name = target.table_name(schema, table)
-    using = "" if target.is_jdbc else f" USING {target.table_format}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {target.schema_name(schema)}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({_ddl(columns)}){using}")
+    if target.is_jdbc:
+        target.create_table(spark, schema, table, columns)
+    else:
+        spark.sql(f"CREATE TABLE {name} ({_ddl(columns)}) USING {target.table_format}")
 
 
 def create_table_from_columns(

@@ -266,6 +266,8 @@ def load_incremental(
     if target.table_exists(spark, target_schema, target_table):
         markers = get_markers(spark, target, target_schema, target_table, replication_key)
         there = target.read_table(spark, target_schema, target_table)
+        if replication_key.lower() not in map(str.lower, there.columns):
+            return LoadResult(ERROR, message="the replication key is not a loaded column")
         mark = high_water(there, replication_key, markers.largest)
     if mark is None:
         columns, note = _loaded_columns(table, source, target, measure_columns)

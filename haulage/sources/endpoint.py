@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..functions.names import qualified
+from ..functions.types import database_table_ddl
 from . import jdbc
 
 
@@ -111,6 +112,12 @@ class Endpoint:
         self.use(spark)
         return spark.table(self.table_name(schema, table))
 
+    def create_table(self, spark: SparkSession, schema: str, table: str, columns: T.StructType) -> None:
+        """Create a table in a database with the type names of its own dialect: Spark's would round
+        times or narrow text on some."""
+        statement = database_table_ddl(*self._names(schema, table), columns, self.dialect)
+        jdbc.execute(spark, self.kind, self.credentials, statement)
+
     def read_query(self, spark: SparkSession, query: str) -> DataFrame:
         """The user's query as it stands, run by Spark or by the database."""
         if self.is_jdbc:

@@ -69,6 +69,22 @@ def register_catalog(spark: SparkSession, name: str, kind: str, credentials: Map
     spark.conf.set(prefix, _CATALOG)
 
 
+def execute(spark: SparkSession, kind: str, credentials: Mapping, statement: str) -> None:
+    """Run one statement in the database, from the driver."""
+    chosen = options(kind, credentials)
+    jvm = spark._jvm
+    jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(chosen["driver"])
+    properties = jvm.java.util.Properties()
+    for key in ("user", "password"):
+        if key in chosen:
+            properties.setProperty(key, chosen[key])
+    connection = jvm.java.sql.DriverManager.getConnection(chosen["url"], properties)
+    try:
+        connection.createStatement().execute(statement)
+    finally:
+        connection.close()
+
+
 def read_query(spark: SparkSession, kind: str, credentials: Mapping, query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**options(kind, credentials)).option("query", query).load()
 

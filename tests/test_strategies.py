@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from conftest import ROWS, values
 from haulage import Endpoint, load_delimited, load_full_query, load_full_table, load_incremental
 from haulage.functions.names import qualified
+from haulage.functions.types import database_table_ddl
 from haulage.operators.publish import Markers, get_markers, set_markers
 from haulage.plans import strategies
 from haulage.sources import jdbc
@@ -297,6 +298,9 @@ class Database(Endpoint):
     def table_name(self, schema, table):
         return qualified(schema, table)
 
+    def create_table(self, spark, schema, table, columns):
+        spark.sql(database_table_ddl(schema, table, columns, self.kind))
+
 
 def test_a_database_target_is_staged_then_appended(spark, lake, schema, make):
     make("src", ROWS)

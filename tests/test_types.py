@@ -9,6 +9,7 @@ from haulage.functions.types import (
     cast_for_target,
     cast_from_oracle,
     create_table_ddl,
+    database_table_ddl,
     describe,
     spark_schema,
     target_type,
@@ -141,3 +142,19 @@ def test_casting_keeps_declared_lengths(spark, schema):
 def test_clock_times_go_out_as_text(spark):
     df = spark.sql("SELECT time '01:02:03.5' AS at")
     assert dict(cast_for_target(df, "sqlserver").dtypes) == {"at": "string"}
+
+
+@pytest.mark.parametrize("dialect, expected", [
+    ("postgres", "bigint int text varchar(10) timestamp,double precision"),
+    ("sqlserver", "bigint bigint nvarchar(MAX) nvarchar(10) datetime2 float"),
+    ("snowflake", "BIGINT BIGINT VARCHAR VARCHAR(10) TIMESTAMP_NTZ REAL"),
+])
+def test_database_tables_have_the_types_of_their_dialect(dialect, expected):
+    columns = T.StructType([
+        T.StructField("l", T.LongType()), T.StructField("i", T.IntegerType()), T.StructField("s", T.StringType()),
+        T.StructField("v", T.StringType(), metadata={"__CHAR_VARCHAR_TYPE_STRING": "varchar(10)"}),
+        T.StructField("at", T.TimestampNTZType()), T.StructField("d", T.DoubleType())])
+    lines = database_table_ddl("s", "t", columns, dialect)[:-1].split("\n")[1:]
+    types = [line.rstrip(", ").split(" ", 1)[1] for line in lines]
+    assert types == (expected.replace(",", " ").split(" ")[:5] + ["double precision"] if "," in expected
+                     else expected.split(" "))
