@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import Scratch
-from .tokens import Encoder, documents, tokenizer_file
+from .tokens import documents, encoder, tokenizer_file
 from .words import pieces
 
 END_ID = 2
@@ -141,7 +141,7 @@ def unpack_block(book: Codebook, data: bytes):
 
 def _plain(file: str, end: int, block: int):
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file, spaces_kept=False)
+        known = encoder(file, spaces_kept=False)
         held, size, number, start, part = [], 0, 0, 0, 0
 
         def close() -> pa.RecordBatch:
@@ -157,7 +157,7 @@ def _plain(file: str, end: int, block: int):
 
         for batch in pieces(batches, "text"):
             part = batch.column("part")[0].as_py()
-            for id, tokens in zip(batch.column("id").to_pylist(), documents(encoder, batch.column("text"), end)):
+            for id, tokens in zip(batch.column("id").to_pylist(), documents(known, batch.column("text"), end)):
                 held.append((id, tokens))
                 size += len(tokens)
                 if size >= block:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import Encoder, documents, tokenizer_file
+from .tokens import documents, encoder, tokenizer_file
 from .words import pieces
 
 LENGTH = 1024
@@ -68,10 +68,10 @@ def first_fit_decreasing(lengths: np.ndarray, size: int = LENGTH) -> tuple[np.nd
 def _cut(file: str, length: int, end: int):
     """Pieces of every document: stretches of ``length`` ids and the rest."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file, spaces_kept=True)
+        known = encoder(file, spaces_kept=True)
         for part in pieces(batches, "text"):
             out: dict[str, list] = {c: [] for c in ("row", "start", "length", "ids_crc32", "doc_tokens")}
-            for row, ids in enumerate(documents(encoder, part.column("text"), end)):
+            for row, ids in enumerate(documents(known, part.column("text"), end)):
                 for start in range(0, len(ids), length):
                     piece = ids[start:start + length]
                     for c, v in zip(out, (row, start, len(piece), zlib.crc32(piece), len(ids))):
@@ -123,9 +123,9 @@ def sequences(docs: DataFrame, placed: DataFrame, id: str = "doc_id", text: str
     file = file or tokenizer_file("byte_bpe_50k.json")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file, spaces_kept=True)
+        known = encoder(file, spaces_kept=True)
         for part in pieces(batches, "text"):
-            ids = list(documents(encoder, part.column("text"), end))
+            ids = list(documents(known, part.column("text"), end))
             at = part.column("parts").to_pylist()
             rows = [(p["sequence_id"], p["offset"], ids[r][p["start"]:p["start"] + p["length"]].astype(np.int64))
                     for r, ps in enumerate(at) for p in ps]

@@ -1,8 +1,9 @@
-"""Token ids of whole texts by the tokenizers library, each different piece of text encoded once per task.
+"""Token ids of whole texts by the tokenizers library, each different piece of text encoded once per worker.
 
 Both public tokenizers part texts at white space before they merge anything, so a text's ids are those
-of its pieces, one after the other. Pieces are cut only where that is certain, before a run of spaces and
-line feeds that follows another character:
+of its pieces, one after the other. Pieces are cut only where that is certain: before one of ``,.;:!?`` that
+follows an ASCII letter (no part of either pattern goes on there), and before a run of spaces and line feeds
+that follows another character:
 
 - byte level: no part of the tokenizer's pattern has white space after something else. A text with any other
   white space is one piece, since its runs may go on to either side.
@@ -13,6 +14,7 @@ Special tokens' strings in a text are ordinary text.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from array import array
@@ -23,7 +25,7 @@ import public_tokenizers
 import pyarrow as pa
 
 # Pieces remembered: those met again, and those met once. A full memory starts anew.
-AGAIN, ONCE = 700_000, 300_000
+AGAIN, ONCE = 700_000, 500_000
 AT_ONCE = 20_000
 
 _OTHER_SPACE = re.compile("[" + "".join(
@@ -89,14 +91,26 @@ class Encoder:
         return out
 
 
+_LETTER, _POINT = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_POINT[list(b",.;:!?")] = True
+
+
 def _cuts(data: np.ndarray) -> np.ndarray:
-    """Marks the first of every run of spaces and line feeds."""
+    """Marks the first of every run of spaces and line feeds, and points after a letter."""
     space = (data == 32) | (data == 10)
     cut = space.copy()
     cut[1:] &= ~space[:-1]
+    cut[1:] |= _POINT[data[1:]] & _LETTER[data[:-1]]
     return cut
 
 
+@functools.cache
+def encoder(file: str, spaces_kept: bool) -> Encoder:
+    """One for each Python worker, so that tasks find the pieces of those before them."""
+    return Encoder(file, spaces_kept)
+
+
 def _odd(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Texts with a byte of white space other than spaces and line feeds, or that may begin such a character."""
     # 9, 11-13 and 28-31 are ASCII white space; the others begin with C2, E1, E2 or E3 in UTF-8.
