@@ -406,8 +406,8 @@ def load_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _training() -> tuple[dict, dict]:
     """Queries and SQL of the training-data operators, where that subpackage is installed."""
     try:
+        import haulage.llm.registry as registry
         import corpus_pipeline
-        from haulage.llm import registry
     except ModuleNotFoundError as missing:
         if missing.name not in ("corpus_pipeline", "haulage.llm", "haulage.llm.registry"):
             raise
