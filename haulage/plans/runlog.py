@@ -160,14 +160,49 @@ class RunLog:
 
     def log(self, **fields) -> None:
         """Append one record, stamped with the current time."""
-        record = {"log_time": datetime.now(), **fields}
+        self.log_all([{"log_time": datetime.now(), **fields}])
+
+    def log_all(self, records: list[dict]) -> None:
+        """Append some records in one write, so that they share a file."""
         # constants only: no Python worker is started, and times stay as they are given
-        texts = {name: None if value is None else str(value) for name, value in record.items()}
-        row = self.spark.range(0, 1, 1, 1)
-        self.append(row.select(*(
-            F.lit(texts.get(f.name)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA
-        )))
+        rows = [F.struct(*(
+            F.lit(None if record.get(f.name) is None else str(record[f.name])).cast(f.dataType).alias(f.name)
+            for f in LOG_SCHEMA
+        )) for record in records]
+        self.append(self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows))))
 
     def read(self) -> DataFrame:
         self.endpoint.use(self.spark)
         return self.spark.table(self.name)
+
+
+class GroupedLog:
+    """Records of a project's loads, appended in groups: many loads leave few files.
+
+    A group that cannot be written is kept and tried again with the next one.
+    """
+
+    def __init__(self, log: RunLog, size: int = 50):
+        self.target, self.size = log, size
+        self.records: list[dict] = []
+        self._lock = threading.Lock()
+
+    def log(self, **fields) -> None:
+        with self._lock:
+            self.records.append({"log_time": datetime.now(), **fields})
+            if len(self.records) >= self.size:
+                self._flush()
+
+    def flush(self) -> None:
+        with self._lock:
+            self._flush()
+
+    def _flush(self) -> None:
+        if not self.records:
+            return
+        try:
+            self.target.log_all(self.records)
+        except Exception:
+            logger.exception("%d records could not be logged", len(self.records))
+        else:
+            self.records = []
