@@ -24,7 +24,7 @@ from ..operators.extract import (
     marker_text,
     supported_columns,
 )
-from ..operators.profile import batch_row_counts, high_water, row_ranges
+from ..operators.profile import batch_row_counts, counted_ranges, high_water, row_ranges
 from ..operators.publish import (
     STAGING,
     Markers,
@@ -92,7 +92,8 @@ def _source_rows(
     rows, ranges = source.read_rows(spark, schema, table), None
     if parallelization_key:
         keys = extract(rows, [parallelization_key], mark)
-        ranges = row_ranges(keys, parallelization_key, source.batch_rows)
+        split = counted_ranges if source.is_jdbc else row_ranges
+        ranges = split(keys, parallelization_key, source.batch_rows)
         if source.is_jdbc and ranges.count:
             rows = source.read_rows(spark, schema, table, ranges.predicates())
     return extract(rows, columns, mark, limit=source.limit_rows), ranges

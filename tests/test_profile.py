@@ -6,6 +6,7 @@ import pytest
 from conftest import ROWS, values
 from haulage.operators.profile import (
     batch_row_counts,
+    counted_ranges,
     high_water,
     key_max,
     key_min_max,
@@ -99,9 +100,10 @@ def test_maximum_of_timestamps_keeps_microseconds(make):
 @pytest.mark.parametrize("dtype", ["bigint", "decimal(20,3)", "double"])
 @pytest.mark.parametrize("keys", [
     [*range(1000), 10**12], [7] * 400 + list(range(800)), [5] * 10, [1], [*range(0, 5000, 3), None, None]])
-def test_ranges_hold_about_as_many_rows(spark, keys, dtype):
+@pytest.mark.parametrize("split", [row_ranges, counted_ranges])
+def test_ranges_hold_about_as_many_rows(spark, keys, dtype, split):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint").selectExpr(f"cast(k AS {dtype}) AS k")
-    ranges = row_ranges(df, "k", 100)
+    ranges = split(df, "k", 100)
     counts = dict(batch_row_counts(df, ranges).collect())
     assert sum(counts.values()) == len(keys) and all(0 <= i < ranges.count for i in counts)
     hot = max((keys.count(k) for k in set(keys)), default=0)
@@ -113,7 +115,7 @@ def test_ranges_hold_about_as_many_rows(spark, keys, dtype):
 
 def test_ranges_without_keys(spark):
     none = spark.createDataFrame([(None,), (None,)], "k double")
-    assert row_ranges(none, "k", 1).count == 0 and dict(batch_row_counts(none, row_ranges(none, "k", 1)).collect()) == {0: 2}
+    assert row_ranges(none, "k", 1).count == counted_ranges(none, "k", 1).count == 0 and dict(batch_row_counts(none, row_ranges(none, "k", 1)).collect()) == {0: 2}
     some = spark.sql("SELECT * FROM VALUES (1D), (2D), (double('NaN')), (NULL) AS t(k)")
     assert key_ranges(some, "k", 1).maximum == 2.0 and key_ranges(some, "k", 1).count >= 1
     assert sum(dict(batch_row_counts(some, row_ranges(some, "k", 1)).collect()).values()) == 4
