@@ -11,8 +11,10 @@ A text's language is the one with the lowest cross-entropy per character. Texts
 ``CALIBRATION`` of the training rows are left out of the counts: on them, the sharpness that turns entropies
 into a score is chosen by log loss, and for each language the entropy that one in a thousand of
 its texts exceeds; texts above are marked as ``rejected``. Counting, smoothing sums and calibration are
-Spark aggregations over all rows. The driver gets the languages, single statistics and at most
-``MODEL_RUNS`` runs per order (the most frequent ones; rarer ones are left to the lower orders).
+Spark aggregations over all rows. The model is tables of every run and context of each order, and grows with the
+corpus. The driver and the tasks get the languages, single statistics and of each table at most ``MODEL_RUNS``
+rows, the most frequent ones. If that is not all, runs of a text that these do not settle are joined with the tables, so that
+the results do not depend on what was held.
 
 Defined results: a missing text or one without letters is ``und`` with score 0; rows with a missing language
 are not learned from; without any training row every text is ``und``; equal entropies go to the first
@@ -29,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import BROADCAST_ROWS, Scratch, small, written
 from .words import pieces
 
 ORDER = 4
 BITS = 15
-MODEL_RUNS = 1_000_000
+MODEL_RUNS, MODEL_CELLS = 1_000_000, 8_000_000  # of an order in each task's part of the model: runs, and runs times languages
 CALIBRATION = 64
 REJECTED = 0.001
 UNKNOWN = "und"
@@ -91,14 +93,28 @@ def _count(languages: list[str]):
 
 
 class Model:
-    """Sorted runs of each order with their log probabilities, and contexts with their back-off weights."""
+    """Sorted runs of each order with their log probabilities, and contexts with their back-off weights.
+
+    This is the part of the model that travels to the tasks; ``parts`` has the tables of all runs and contexts.
+    What cannot be told from the part alone is NaN.
+    """
 
     def __init__(self, languages: list[str]):
         self.languages = languages
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
         self.contexts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.all_runs: list[bool] = []
+        self.all_contexts: list[bool] = []
+        self.parts: list[tuple[DataFrame, DataFrame]] = []
         self.sharpness, self.limit = 16.0, np.full(len(languages), np.inf)
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"parts": []}
+
+    @property
+    def whole(self) -> bool:
+        return all(self.all_runs) and all(self.all_contexts)
+
     def log_probability(self, key: np.ndarray, order: int) -> np.ndarray:
         """In every language, of the last character of runs of ``order`` characters given the others."""
         if order == 0:
@@ -108,9 +124,10 @@ class Model:
         found = known[at] == key if len(known) else np.zeros(len(key), dtype=bool)
         if found.all():
             return values[at]
-        out = np.empty((len(key), len(self.languages)), dtype=np.float32)
+        out = np.full((len(key), len(self.languages)), np.nan, dtype=np.float32)
         out[found] = values[at[found]]
-        out[~found] = self._backed_off(key[~found], order)
+        if self.all_runs[order - 1]:
+            out[~found] = self._backed_off(key[~found], order)
         return out
 
     def _backed_off(self, key: np.ndarray, order: int) -> np.ndarray:
@@ -121,38 +138,57 @@ class Model:
         found = known[at] == context if len(known) else np.zeros(len(key), dtype=bool)
         out = lower.copy()
         out[found] += weights[at[found]]
+        if not self.all_contexts[order - 1]:
+            out[~found] = np.nan
         return out
 
-    def add_order(self, order: int, lang, key, n, discount: np.ndarray, of_context) -> None:
-        """``of_context``: language, context, sum of counts and number of runs of each context."""
-        L = len(self.languages)
-        lang_c, context, total, types = of_context
-        contexts = np.unique(context)
-        sums, kinds = np.zeros((len(contexts), L)), np.zeros((len(contexts), L))
-        at = np.searchsorted(contexts, context)
-        sums[at, lang_c], kinds[at, lang_c] = total, types
-        with np.errstate(divide="ignore", invalid="ignore"):
-            # A context that a language lacks leaves everything to the lower order.
-            weight = np.where(sums > 0, discount * kinds / sums, 1.0)
-        self.contexts.append((contexts, np.log(weight).astype(np.float32)))
-        keys = np.unique(key)
-        counts = np.zeros((len(keys), L))
-        counts[np.searchsorted(keys, key), lang] = n
-        place = np.searchsorted(contexts, keys >> BITS)
-        total = sums[place]
-        own = np.where(total > 0, np.maximum(counts - discount, 0) / np.maximum(total, 1), 0.0)
-        lower = np.exp(self.log_probability(keys & ((1 << BITS * (order - 1)) - 1), order - 1).astype(np.float64))
-        self.runs.append((keys, np.log(own + weight[place] * lower).astype(np.float32)))
-
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per character in every language, and letters of each text."""
-        key, row, letters = runs(texts)
-        out = np.zeros((len(texts), len(self.languages)))
-        if len(key):
-            first = np.flatnonzero(np.diff(row, prepend=-1))
-            sums = np.add.reduceat(self.log_probability(key, ORDER), first, axis=0, dtype=np.float64)
-            out[row[first]] = -sums / np.diff(np.append(first, len(key)))[:, None]
-        return out, letters
+    def add_order(self, runs: DataFrame, contexts: DataFrame) -> None:
+        """Keeps the tables, and in the part their most frequent rows."""
+        self.parts.append((runs, contexts))
+        for table, held, whole in ((runs, self.runs, self.all_runs), (contexts, self.contexts, self.all_contexts)):
+            rows, all_rows = _most(table, max(1, min(MODEL_RUNS, MODEL_CELLS // len(self.languages))))
+            key = rows.column("key").to_numpy()
+            values = rows.column("values").combine_chunks().flatten().to_numpy().reshape(len(key), len(self.languages))
+            order = np.argsort(key)
+            held.append((key[order], values[order]))
+            whole.append(all_rows)
+
+    def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each row's text: letters, characters, summed log probabilities, and the runs that are not in them."""
+        for part in pieces(batches, "text", SLICE_BYTES):
+            key, row, letters = runs(part.column("text").to_pylist())
+            out = np.zeros((part.num_rows, len(self.languages)))
+            missed, times, ends = key[:0], row[:0], np.zeros(part.num_rows + 1, np.int32)
+            if len(key) and self.languages:
+                values = self.log_probability(key, ORDER)
+                gone = np.isnan(values).any(axis=1)
+                if gone.any():
+                    values[gone] = 0
+                    order = np.lexsort((key[gone], row[gone]))
+                    missed, of = key[gone][order], row[gone][order]
+                    new = np.flatnonzero(np.append(True, (missed[1:] != missed[:-1]) | (of[1:] != of[:-1])))
+                    times, missed = np.diff(np.append(new, len(missed))), missed[new]
+                    ends[1:] = np.cumsum(np.bincount(of[new], minlength=part.num_rows))
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                out[row[first]] = np.add.reduceat(values, first, axis=0, dtype=np.float64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc"), pa.array(letters), pa.array(np.bincount(row, minlength=part.num_rows)),
+                 pa.array(out.tolist(), pa.list_(pa.float64())), pa.ListArray.from_arrays(ends, pa.array(missed)),
+                 pa.ListArray.from_arrays(ends, pa.array(times))],
+                ["doc", "letters", "size", "sums", "missed", "times"],
+            )
+
+    def sums_schema(self, kind: str) -> str:
+        return f"doc {kind}, letters bigint, size bigint, sums array<double>, missed array<bigint>, times array<bigint>"
+
+    def entropies(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Cross-entropy per character in every language of a batch of sums."""
+        sums = batch.column("sums").flatten().to_numpy().reshape(batch.num_rows, len(self.languages))
+        return -sums / np.maximum(batch.column("size").to_numpy(), 1)[:, None]
+
+
+def _array(values) -> Column:
+    return F.array(*values)
 
 
 def train(rows: DataFrame, tables: Scratch) -> Model:
@@ -169,37 +205,133 @@ def train(rows: DataFrame, tables: Scratch) -> Model:
         orders.append(tables.write(orders[-1].groupBy("lang", short.alias("key")).agg(F.count("*").alias("n"))))
     letters = orders[-1].agg(F.count_distinct("key")).first()[0]
     model.floor = -float(np.log(letters + 1))
+    each = range(len(languages))
     for order, table in enumerate(reversed(orders), 1):
         once = table.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("a"), F.count_if(F.col("n") == 2).alias("b"))
         discount = np.full(len(languages), 0.5)
         for r in once.collect():
             if r.a and r.b:
                 discount[r.lang] = r.a / (r.a + 2 * r.b)
-        contexts = table.groupBy("lang", F.shiftright("key", BITS).alias("key")) \
-            .agg(F.sum("n").alias("n"), F.count("*").alias("types"))
-        g, c = _most(table), _most(contexts)
-        held = np.isin(g["key"] >> BITS, c["key"])
-        model.add_order(order, g["lang"][held], g["key"][held], g["n"][held], discount,
-                        (c["lang"], c["key"], c["n"], c["types"]))
+
+        def of(lang: int, what: Column) -> Column:
+            return F.coalesce(F.sum(F.when(F.col("lang") == lang, what)), F.lit(0)).cast("double")
+
+        contexts = tables.write(table.groupBy(F.shiftright("key", BITS).alias("key")).agg(
+            F.sum("n").alias("n"), _array(of(i, F.col("n")) for i in each).alias("total"),
+            _array(of(i, F.lit(1)) for i in each).alias("types"),
+        ).mapInArrow(_weights(discount), "key bigint, n bigint, total array<double>, values array<float>"))
+        joined = table.groupBy("key").agg(F.sum("n").alias("n"), _array(of(i, F.col("n")) for i in each).alias("own")) \
+            .join(_small(contexts.select(F.col("key").alias("context"), "total", F.col("values").alias("weight")), model),
+                  F.shiftright("key", BITS) == F.col("context"))
+        if order > 1:
+            below = model.parts[-1][0].select(F.col("key").alias("suffix"), F.col("values").alias("lower"))
+            joined = joined.join(_small(below, model), F.col("key").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)) == F.col("suffix"))
+        else:
+            joined = joined.withColumn("lower", _array(F.lit(model.floor).cast("float") for _ in each))
+        full = joined.select("key", "n", "own", "total", "weight", "lower") \
+            .mapInArrow(_interpolated(discount), "key bigint, n bigint, values array<float>")
+        model.add_order(tables.write(full), contexts)
     return model
 
 
-def _most(table: DataFrame) -> dict[str, np.ndarray]:
-    """At most ``MODEL_RUNS`` rows, those with the highest counts."""
-    rows = table.orderBy(F.desc("n"), "key", "lang").limit(MODEL_RUNS).toArrow()
-    return {c: rows.column(c).to_numpy() for c in rows.column_names}
+def _matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return batch.column(column).flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float64)
+
+
+def _floats(values: np.ndarray) -> pa.Array:
+    rows, width = values.shape
+    return pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * width, pa.array(values.astype(np.float32).ravel()))
+
+
+def _weights(discount: np.ndarray):
+    def weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                total, types = _matrix(b, "total"), _matrix(b, "types")
+                # A context that a language lacks leaves everything to the lower order.
+                weight = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
+                yield pa.RecordBatch.from_arrays([b.column("key"), b.column("n"), b.column("total"), _floats(np.log(weight))],
+                                                 ["key", "n", "total", "values"])
+
+    return weights
+
+
+def _interpolated(discount: np.ndarray):
+    def interpolated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                total = _matrix(b, "total")
+                own = np.where(total > 0, np.maximum(_matrix(b, "own") - discount, 0) / np.maximum(total, 1), 0.0)
+                values = np.log(own + np.exp(_matrix(b, "weight") + _matrix(b, "lower")))
+                yield pa.RecordBatch.from_arrays([b.column("key"), b.column("n"), _floats(values)], ["key", "n", "values"])
+
+    return interpolated
+
+
+def _small(table: DataFrame, model: Model) -> DataFrame:
+    return small(table, BROADCAST_ROWS // (4 * len(model.languages)))
+
+
+def _most(table: DataFrame, limit: int) -> tuple[pa.Table, bool]:
+    """At most ``limit`` rows, those with the highest counts, and whether they are all."""
+    level = F.floor(F.log2("n") * 16)
+    left, least = limit, None
+    levels = table.groupBy(level.alias("level")).count().collect()
+    for r in sorted(levels, key=lambda r: -r.level):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r.level
+    whole = left >= 0
+    chosen = table if whole else table.where(level >= least) if least is not None else table.where("false")
+    return chosen.select("key", "values").toArrow(), whole
+
+
+def _looked_up(keys: DataFrame, model: Model, order: int, tables: Scratch) -> DataFrame:
+    """``key`` and ``values`` of different runs of ``order`` characters, by the tables of the whole model."""
+    all_runs, all_contexts = model.parts[order - 1]
+    keys = tables.write(keys.join(all_runs.select("key", "values"), "key", "left"))
+    weights = all_contexts.select(F.col("key").alias("context"), F.col("values").alias("weight"))
+    rest = keys.where("values IS NULL").select("key", F.shiftright("key", BITS).alias("context")).join(_small(weights, model), "context", "left")
+    if order == 1:
+        rest = rest.withColumn("lower", _array(F.lit(model.floor).cast("float") for _ in model.languages))
+    else:
+        rest = rest.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)))
+        lower = tables.write(_looked_up(rest.select(F.col("suffix").alias("key")).distinct(), model, order - 1, tables))
+        rest = rest.join(_small(lower.select(F.col("key").alias("suffix"), F.col("values").alias("lower")), model), "suffix")
+    added = F.when(F.col("weight").isNull(), F.col("lower")).otherwise(F.zip_with("lower", "weight", lambda a, b: a + b))
+    return keys.where("values IS NOT NULL").union(rest.select("key", added.alias("values")))
+
+
+def _by_tables(rows: DataFrame, model: Model, tables: Scratch) -> DataFrame:
+    """Rows of ``doc`` and ``text`` as rows of sums, the runs that the part lacks joined with the whole model's."""
+    kind = rows.schema["doc"].dataType.simpleString()
+    seen = tables.write(rows.mapInArrow(model.sums, model.sums_schema(kind)).withColumn("row", F.monotonically_increasing_id()))
+    missed = seen.select("row", F.explode(F.arrays_zip("missed", "times")).alias("x")).select("row", "x.missed", "x.times")
+    values = tables.write(_looked_up(missed.select(F.col("missed").alias("key")).distinct(), model, ORDER, tables))
+    product = [F.sum(F.get("values", F.lit(i)).cast("double") * F.col("times")) for i in range(len(model.languages))]
+    more = missed.join(values, F.col("missed") == F.col("key")).groupBy("row").agg(_array(product).alias("more"))
+    both = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b))
+    return seen.join(more, "row", "left").select("doc", "letters", "size", both.alias("sums"))
+
+
+def _summed(rows: DataFrame, model: Model, tables: Scratch, last, schema: str) -> DataFrame:
+    """``last`` over the sums of ``rows``, in their own tasks if the part of the model is all of it."""
+    if model.whole:
+        return rows.mapInArrow(lambda batches: last(model.sums(batches)), schema)
+    return written(_by_tables(rows, model, tables).mapInArrow(last, schema))
 
 
 def _score(model: Model):
     languages = model.languages
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces(batches, "text", SLICE_BYTES):
-            n = part.num_rows
+        for part in batches:
+            n, letters = part.num_rows, part.column("letters").to_numpy()
             pred, p, rejected = [UNKNOWN] * n, np.zeros(n), np.zeros(n, dtype=bool)
             entropy = np.zeros(n)
-            if languages:
-                all_entropies, letters = model.entropies(part.column("text").to_pylist())
+            if languages and n:
+                all_entropies = model.entropies(part)
                 best = all_entropies.argmin(axis=1)
                 entropy = all_entropies.min(axis=1)
                 weights = np.exp(-model.sharpness * (all_entropies - entropy[:, None]))
@@ -218,9 +350,10 @@ def _calibrate(model: Model, rows: DataFrame, tables: Scratch) -> None:
     languages = model.languages
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces(batches, "text", SLICE_BYTES):
-            entropies, letters = model.entropies(part.column("text").to_pylist())
-            lang = np.array([languages.index(x) if x in languages else -1 for x in part.column("lang").to_pylist()])
+        for part in batches:
+            entropies, letters = model.entropies(part), part.column("letters").to_numpy()
+            names = part.column("doc").field("lang").to_pylist()
+            lang = np.array([languages.index(x) if x in languages else -1 for x in names], dtype=np.int64)
             ok = np.flatnonzero((letters > 0) & (lang >= 0))
             own = entropies[ok, lang[ok]]
             worse = entropies[ok] - own[:, None]
@@ -230,7 +363,8 @@ def _calibrate(model: Model, rows: DataFrame, tables: Scratch) -> None:
                 ["lang", "own", "loss"],
             )
 
-    seen = tables.write(rows.select("text", "lang").mapInArrow(measure, "lang int, own double, loss array<double>"))
+    rows = rows.select(F.struct("lang").alias("doc"), "text")
+    seen = tables.write(_summed(rows, model, tables, measure, "lang int, own double, loss array<double>"))
     losses = seen.agg(*[F.avg(F.get("loss", F.lit(i))).alias(f"l{i}") for i in range(len(SHARPNESS))]).first()
     if losses[0] is not None:
         model.sharpness = SHARPNESS[int(np.argmin(losses))]
@@ -246,15 +380,14 @@ def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "la
     known = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull())
     aside = F.pmod(F.xxhash64(F.col(id)), F.lit(CALIBRATION)) == 0
     pick = [F.col(text).alias("text"), F.col(lang).alias("lang")]
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != text]).alias("doc"), F.col(text).alias("text"))
+    kind = rows.schema["doc"].dataType.simpleString()
     with Scratch(docs.sparkSession) as tables:
         model = train(known.where(~aside).select(*pick), tables)
         if model.languages:
             _calibrate(model, known.where(aside).select(*pick), tables)
-    rows = docs.select(F.struct(*[c for c in docs.columns if c != text]).alias("doc"), F.col(text).alias("text"))
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(
-        _score(model), f"doc {kind}, lang_pred string, score double, entropy double, rejected boolean"
-    )
+        return _summed(rows, model, tables, _score(model),
+                       f"doc {kind}, lang_pred string, score double, entropy double, rejected boolean")
 
 
 def fold(id: Column, folds: int) -> Column:
