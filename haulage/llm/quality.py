@@ -182,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPL
     """``docs`` has id, text, meta; ``labels`` id and label. The features of at most ``sample`` rows come to the driver."""
     chosen = labels.where(learn & F.col("label").isNotNull() & F.col("id").isNotNull()) \
         .groupBy("id").agg(F.min("label").alias("label")) \
-        .orderBy(F.xxhash64("id"), "id").limit(sample)
+        .join(docs.select("id").distinct(), "id", "leftsemi").orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = docs.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("id", "label", "text", "meta")
     got = rows.mapInArrow(
         _extract, "id bigint, label double, dimension array<bigint>, value array<double>, stats array<double>"
