@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import sys
 import tempfile
-from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -14,20 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from haulage import Endpoint  # noqa: E402
 from haulage.operators.publish import create_table, insert  # noqa: E402
 from haulage.scratch import fresh_schema  # noqa: E402
-
-# The three-row source table and its two later rows.
-PEOPLE = T.StructType([
-    T.StructField("id_col", T.LongType()),
-    T.StructField("name_col", T.VarcharType(64)),
-    T.StructField("datetime_col", T.TimestampNTZType()),
-])
-ROWS = [
-    (1, "First", datetime(2019, 10, 1, 11)),
-    (2, "Second", datetime(2019, 10, 2, 12)),
-    (3, "Third", datetime(2019, 10, 3, 13)),
-    (4, "Forth", datetime(2019, 10, 4, 12)),
-    (5, "Fifth", datetime(2019, 10, 5, 13)),
-]
+from tables import PEOPLE  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -38,11 +24,10 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="haulage-tests-"))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="haulage-tests-"))
     yield session
     session.stop()
 
@@ -74,8 +59,3 @@ def make(spark, lake, schema):
         return spark.table(name)
 
     return build
-
-
-def values(df, *columns) -> list:
-    """Sorted rows as tuples."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Observation, types as T
 
-from conftest import PEOPLE, ROWS, values
+from tables import PEOPLE, ROWS, values
 from haulage.operators.publish import create_table, import_delimited
 from haulage.scratch import fresh_schema
 from haulage.sources.delimited import export_delimited, read_delimited, rejected_lines

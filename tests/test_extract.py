@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import ROWS, values
+from tables import ROWS, values
 from haulage.operators import extract as extraction
 from haulage.operators.extract import (
     HighWater,

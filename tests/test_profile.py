@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import ROWS, values
+from tables import ROWS, values
 from haulage.operators.profile import (
     batch_row_counts,
     counted_ranges,

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import ROWS, values
+from tables import ROWS, values
 from haulage import Endpoint, LoadSpec, Project, RunLog, run_load, run_project
 from haulage.__main__ import main
 from haulage.plans.runlog import GroupedLog

@@ -3,7 +3,7 @@ import dataclasses
 import pytest
 from pyspark.sql import types as T
 
-from conftest import PEOPLE, ROWS, values
+from tables import PEOPLE, ROWS, values
 from haulage import Endpoint, ReadOnlyEndpoint, RunLog, load_full_query
 from haulage.functions.types import ColumnInfo
 from haulage.operators import publish

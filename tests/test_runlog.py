@@ -1,7 +1,7 @@
 import threading
 from datetime import datetime
 
-from conftest import values
+from tables import values
 from haulage import RunLog
 from haulage.plans import runlog
 

@@ -4,7 +4,7 @@ from functools import reduce
 import pytest
 from pyspark.sql import DataFrame, functions as F
 
-from conftest import ROWS, values
+from tables import ROWS, values
 from haulage import Endpoint, load_delimited, load_full_query, load_full_table, load_incremental
 from haulage.functions.names import qualified
 from haulage.functions.types import database_table_ddl

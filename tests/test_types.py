@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from conftest import values
+from tables import values
 from haulage.functions.types import (
     ColumnInfo,
     UnsupportedType,
