@@ -1,7 +1,7 @@
 import numpy as np
 
 import brute
-from conftest import edited, prose
+from samples import edited, prose
 from haulage.llm import hyperminhash as hm
 from haulage.llm.hyperminhash import keep_first, near_duplicates
 from haulage.llm.links import components

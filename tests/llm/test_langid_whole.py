@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import EDGE
+from samples import EDGE
 from haulage.llm import langid
 from test_models import speak
 

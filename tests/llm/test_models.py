@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import EDGE
+from samples import EDGE
 from haulage.llm import langid, quality
 from haulage.llm.langid import fold, identify
 from haulage.llm.quality import Machine, features, score_quality

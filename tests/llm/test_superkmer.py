@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 import brute
-from conftest import prose
+from samples import prose
 from haulage.llm import superkmer
 from haulage.llm.superkmer import remove_repeats, repeats
 

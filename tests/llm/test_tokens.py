@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from conftest import EDGE
+from samples import EDGE
 from haulage.llm.tokencounts import Counter, token_counts, vocabulary
 from haulage.llm.tokens import Encoder, documents, tokenizer_file
 

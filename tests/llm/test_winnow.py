@@ -1,5 +1,5 @@
 import brute
-from conftest import prose
+from samples import prose
 from haulage.llm.winnow import blocks, contamination, uncontaminated
 
 ITEM = "item_id bigint, text string"
