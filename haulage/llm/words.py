@@ -57,14 +57,24 @@ class Words:
     """
 
     def __init__(self, texts: list[bytes | None]):
-        self.data = b"\n".join([b" ".join(t.split()) if t else b"" for t in texts] + [b""])
+        self._place(b"\n".join([b" ".join(t.split()) if t else b"" for t in texts] + [b""]), len(texts))
+
+    @classmethod
+    def of_lines(cls, data: bytes) -> Words:
+        """From what another one has as ``data``, or whole lines of it."""
+        words = cls.__new__(cls)
+        words._place(data, data.count(b"\n"))
+        return words
+
+    def _place(self, data: bytes, texts: int) -> None:
+        self.data = data
         self.bytes = np.frombuffer(self.data, dtype=np.uint8)
         ends = np.flatnonzero((self.bytes == SPACE) | (self.bytes == END))
         starts = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
         text_of = np.cumsum(self.bytes[ends] == END) - (self.bytes[ends] == END)
         full = ends > starts
         self.start, self.end, self.row = starts[full], ends[full], text_of[full]
-        self.first = np.searchsorted(self.row, np.arange(len(texts) + 1))
+        self.first = np.searchsorted(self.row, np.arange(texts + 1))
 
     def __len__(self) -> int:
         return len(self.start)
