@@ -18,7 +18,8 @@ are added up in the tasks first; the driver gets one number per token of the voc
 part. Texts are encoded once, into a table of plain ids that is deleted afterwards.
 
 Defined results: a missing or empty text is its end id alone; rows with equal or missing ids are kept
-each; an empty table gives empty files, which read as an empty table; other columns are not read.
+each; an empty table gives empty files, which read as an empty table; other columns are not read. Ids that are
+no whole numbers end the query, and so do more than 2^``LONGEST`` different tokens: the vocabulary must be smaller.
 """
 
 from __future__ import annotations

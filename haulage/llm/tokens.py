@@ -9,7 +9,8 @@ that follows another character:
   white space is one piece, since its runs may go on to either side.
 - word level: this tokenizer drops white space, and normalisation does not reach across it.
 
-Special tokens' strings in a text are ordinary text.
+A special token's string in a text gives that token, as in the plain call; such strings hold none of the characters
+at which texts are cut, so each lies in one piece.
 """
 
 from __future__ import annotations
@@ -39,7 +40,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
         self.spaces_kept = spaces_kept
         self.known: dict[bytes, bytes] = {}
         self.once: dict[bytes, bytes] = {}

@@ -20,3 +20,7 @@ def edited(text: str, seed: int, share: float) -> str:
 # Missing and blank texts, one word, odd white space, other scripts, a very long text.
 EDGE = [None, "", "  \n\t ", "word", "Word", "two words", "  a\x0bb \x0c c\r\nd\n\na ", "é ß 日本語 テスト 😀 a b",
         "x" * 5000, "na " * 3000, "#*$%&|<> ##\n##\n##\n a", prose(9, 20000, 50)]
+
+# Strings that the tokenizers take for special tokens, and near misses.
+SPECIAL = ["a <|endoftext|> b", "<|startoftext|>a.<|endoftext|>, b", "x<|endoftext|>y  <|endoftext|>", "<|ENDOFTEXT|> a",
+           "a  <|endoftext|>\n\n<|startoftext|>  z", "<|end of text|> <|endoftext", "!<|endoftext|>!! é<|endoftext|>é"]

@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 from haulage.llm.huffman import Codebook, code_lengths, pack_block, read_tokens, unpack_block, write_tokens
 from haulage.llm.shared import Scratch
+from samples import SPECIAL
 from haulage.llm.tokens import tokenizer_file
 
 
@@ -68,7 +69,7 @@ def test_too_many_tokens_for_the_limit():
 
 def test_files_give_back_every_id(spark, clashing, rows):
     tk = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
-    tk.encode_special_tokens = True
+    rows = rows + [(900 + i, t, "", "", 0) for i, t in enumerate(SPECIAL)]
     rows = rows + [(None, "no id", "", "", 0), (3, "again", "", "", 0), (3, "again", "", "", 0)]
     with Scratch(spark) as tables:
         write_tokens(clashing(rows).repartition(3), tables.folder, block=2000)

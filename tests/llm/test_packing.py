@@ -5,6 +5,7 @@ from tokenizers import Tokenizer
 
 from haulage.llm.packing import first_fit_decreasing, pack, sequences
 from haulage.llm.tokens import tokenizer_file
+from samples import SPECIAL
 
 
 def naive(lengths, size):
@@ -31,8 +32,8 @@ def test_tournament_tree_gives_first_fit():
 
 
 def test_every_id_lies_in_one_piece(clashing, frame, rows):
+    rows = rows + [(900 + i, t, "", "", 0) for i, t in enumerate(SPECIAL)]
     tk = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
-    tk.encode_special_tokens = True
     ids = {r[0]: tk.encode(r[1] or "", add_special_tokens=False).ids + [0] for r in rows}
     placed = pack(clashing(rows)).select("doc.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     out = placed.collect()

@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from samples import EDGE
+from samples import EDGE, SPECIAL
 from haulage.llm.tokencounts import Counter, token_counts, vocabulary
 from haulage.llm.tokens import Encoder, documents, tokenizer_file
 
@@ -15,7 +15,9 @@ TEXTS = EDGE + ["it's  \n", " \n a b c", "a　 b\x1c c", "tab\there", "<|endofte
 def test_pieces_give_the_ids_of_whole_texts(name, spaces):
     encoder = Encoder(tokenizer_file(name), spaces)
     pick = random.Random(4)
-    texts = TEXTS + ["".join(pick.choice("ab.' \n\t1\xa0é") for _ in range(30)) for _ in range(300)]
+    texts = TEXTS + SPECIAL + ["".join(pick.choice("ab.' \n\t1\xa0é") for _ in range(30)) for _ in range(300)]
+    texts += ["".join(pick.choice(["<|endoftext|>", "<|startoftext|>", " ", "a", ".", "\n", "é", "\t", "<|", "S", ","])
+                      for _ in range(12)) for _ in range(3000)]
     column = pa.array(texts)
     whole = encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
     for part, at in ((column, 0), (column.slice(7, 100), 7), (column.slice(0, 0), 0)):
