@@ -64,9 +64,8 @@ def _bound(value: Column, then) -> Column:
 def base_rules(docs: DataFrame, text: str, host: str) -> DataFrame:
     """``doc`` (the given row), ``host``, the counts and ``base_failed``.
 
-    A filter on these must also name ``once``, which is never negative: the optimizer moves no filter
-    below a random column. It would put the counts' definitions into each other, and a text would be split into
-    words again for every window.
+    To be written before it is filtered: the optimizer would put the counts' definitions into the filter and
+    each other, and a text would be split into words again for every window.
     """
     rows = docs.select(
         F.struct("*").alias("doc"), F.col(host).cast("string").alias("host"),
@@ -86,7 +85,7 @@ def base_rules(docs: DataFrame, text: str, host: str) -> DataFrame:
         (F.char_length("solid") - F.char_length(F.translate("solid", SYMBOLS, "")))
         .cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("windows")).alias("n_repeat_words"), F.rand(0).alias("once"),
+        repeated_words(F.col("windows")).alias("n_repeat_words"),
     )
     return counted.withColumn("base_failed", (
         (F.col("n_words") < MIN_WORDS)
@@ -142,11 +141,12 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source",
               host_limit: float = HOST_LIMIT) -> DataFrame:
     """The documents that pass, with their own columns.
 
-    The rules are worked out twice, for the hosts and for the documents, so that no text is written.
+    The rules are worked out once: hosts and flags of all rows, and the rows that pass themselves, are written.
     """
     base = base_rules(docs, text, host)
-    verdicts = written(host_verdicts(written(base.select("host", "base_failed")), host_limit))
-    good = _with_verdict(base.where(~F.col("base_failed") & (F.col("once") >= 0)), verdicts)
+    judged = written(base.select(F.when(~F.col("base_failed"), F.col("doc")).alias("doc"), "host", "base_failed"))
+    verdicts = written(host_verdicts(judged, host_limit))
+    good = _with_verdict(judged.where(~F.col("base_failed")), verdicts)
     return good.where(~F.col("host_rejected")).select("doc.*")
 
 

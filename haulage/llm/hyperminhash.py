@@ -1,6 +1,6 @@
 """Operator 5: near-duplicate documents by HyperMinHash.
 
-A document is the set of its runs of two words, lower-cased in ASCII. Linked are documents whose sets have a
+A document is the set of its runs of ``SHINGLE`` words (a parameter), lower-cased in ASCII. Linked are documents whose sets have a
 Jaccard similarity of 0.8 or more; groups are the connected components of links.
 
 1. *Sketch.* Every shingle falls into one of ``REGISTERS`` buckets, which keeps its smallest hash as a
@@ -21,9 +21,10 @@ Jaccard similarity of 0.8 or more; groups are the connected components of links.
    sets of words confirm it.
 
 Texts are only shuffled for candidate pairs. Defined results: a missing or blank text has an empty set and is
-linked with nothing; one word is a shingle by itself; rows that share an id count as one document with
-the links of each (their ``n_shingles`` are their own); a missing id has no component and is kept; an
-empty table gives an empty one.
+linked with nothing; fewer words than a shingle's are one by themselves; rows that share an id count as one document
+with the links of each (their ``n_shingles`` are their own); a missing id has no component and is kept; ids that are no
+whole numbers end the query; an empty table gives an empty one. ``keep_first`` numbers the rows, so that ids may
+be anything.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ from pyspark.sql import functions as F
 
 from .links import components
 from .shared import Scratch, small, written
-from .words import Words, as_bytes, gram_hashes, lower_ascii, mix, pieces
+from .words import Words, as_bytes, gram_hashes, lower_ascii, mix, pieces, whole_runs
 
+SHINGLE = 2
 BANDS, ROWS = 56, 7
 REGISTERS = 397  # a prime over BANDS * ROWS, so that every walk visits all registers
 MANTISSA = 10
@@ -50,13 +52,16 @@ LEFT_SHINGLES, RIGHT_SHINGLES = 32_000, 128_000  # of a share in one block
 _SALT = [np.uint64(s * 0x9E3779B97F4A7C15 % 2**64) for s in range(1, 6)]
 
 
-def shingle_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Text and hash of every different shingle, ordered by text and hash."""
     h, n = words.hashes(), np.diff(words.first)
-    pair = np.flatnonzero(words.row[:-1] == words.row[1:]) if len(words) > 1 else np.zeros(0, dtype=np.int64)
-    alone = words.first[:-1][n == 1]
-    row = np.concatenate((words.row[pair], words.row[alone]))
-    sh = np.concatenate((gram_hashes(h, 2)[pair] if len(pair) else h[:0], mix(h[alone] ^ _SALT[4])))
+    whole = whole_runs(words, size)
+    row, sh = [words.row[whole]], [gram_hashes(h, size)[whole] if len(whole) else h[:0]]
+    for few in range(1, size):
+        at = words.first[:-1][n == few]
+        row.append(words.row[at])
+        sh.append(mix(gram_hashes(h, few)[at] ^ _SALT[4]) if len(at) else h[:0])
+    row, sh = np.concatenate(row), np.concatenate(sh)
     order = np.lexsort((sh, row))
     row, sh = row[order], sh[order]
     new = np.ones(len(sh), dtype=bool)
@@ -105,24 +110,31 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return (equal - chance) / (1 - chance)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in pieces(batches, "text", 1 << 20):
-        rows = part.num_rows
-        row, sh = shingle_hashes(Words([lower_ascii(t) if t else None for t in as_bytes(part.column("text"))]))
-        n = np.bincount(row, minlength=rows)
-        sums = []
-        for salt in _SALT[2:4]:
-            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(sh ^ salt))))
-            last = np.cumsum(n)
-            sums.append((total[last] - total[last - n]).view(np.int64))
-        sketch = registers(row, sh, rows)
-        bands = band_hashes(sketch)
-        yield pa.RecordBatch.from_arrays(
-            [part.column("id"), pa.array(n, pa.int64()), *map(pa.array, sums),
-             pa.array([s.tobytes() for s in sketch[:, :ESTIMATED]], pa.binary()),
-             pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))],
-            ["id", "n", "k1", "k2", "sketch", "bands"],
-        )
+def _words(part: pa.RecordBatch) -> Words:
+    return Words([lower_ascii(t) if t else None for t in as_bytes(part.column("text"))])
+
+
+def _sketch(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, "text", 1 << 20):
+            rows = part.num_rows
+            row, sh = shingle_hashes(_words(part), size)
+            n = np.bincount(row, minlength=rows)
+            sums = []
+            for salt in _SALT[2:4]:
+                total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(sh ^ salt))))
+                last = np.cumsum(n)
+                sums.append((total[last] - total[last - n]).view(np.int64))
+            sketch = registers(row, sh, rows)
+            bands = band_hashes(sketch)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(n, pa.int64()), *map(pa.array, sums),
+                 pa.array([s.tobytes() for s in sketch[:, :ESTIMATED]], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))],
+                ["id", "n", "k1", "k2", "sketch", "bands"],
+            )
+
+    return run
 
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +148,11 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["u", "v"]).filter(ok)
 
 
-def shingles(text: str | None) -> frozenset:
+def shingles(text: str | None, size: int = SHINGLE) -> frozenset:
     words = lower_ascii(text.encode()).split() if text else []
-    return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset((w,) for w in words)
+    if len(words) < size:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(zip(*(words[i:] for i in range(size))))
 
 
 def similar(a: frozenset, b: frozenset) -> bool:
@@ -146,15 +160,18 @@ def similar(a: frozenset, b: frozenset) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both) and both > 0
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        u, a = None, frozenset()
-        keep = []
-        for id, x, y in zip(*(batch.column(c).to_pylist() for c in ("u", "text_u", "text_v"))):
-            if (id, x) != u:
-                u, a = (id, x), shingles(x)
-            keep.append(similar(a, shingles(y)))
-        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+def _similar(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, a = None, frozenset()
+            keep = []
+            for id, x, y in zip(*(batch.column(c).to_pylist() for c in ("u", "text_u", "text_v"))):
+                if (id, x) != u:
+                    u, a = (id, x), shingles(x, size)
+                keep.append(similar(a, shingles(y, size)))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
 def _side(table: DataFrame, c: str) -> DataFrame:
@@ -166,28 +183,31 @@ def _texts(docs: DataFrame, ids: DataFrame, tables: Scratch) -> DataFrame:
     return tables.write(docs.join(small(tables.write(ids.distinct())), "id", "leftsemi"))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, tables: Scratch) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, tables: Scratch) -> DataFrame:
     """Those of the pairs (u, v) whose sets of words are similar."""
     texts = _texts(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")), tables)
     both = pairs.join(_side(texts, "u"), "u").join(_side(texts, "v"), "v")
-    return tables.write(both.select("u", "v", "text_u", "text_v").mapInArrow(_similar, "u bigint, v bigint"))
+    return tables.write(both.select("u", "v", "text_u", "text_v").mapInArrow(_similar(size), "u bigint, v bigint"))
 
 
-def _star_links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, tables: Scratch) -> DataFrame:
+def _star_links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, tables: Scratch) -> DataFrame:
     sketches = reps.select("id", "n", "sketch")
     alike = pairs.join(_side(sketches, "u"), "u").join(_side(sketches, "v"), "v") \
         .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * PERCENT)
     alike = tables.write(alike.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v")
                          .mapInArrow(_plausible, "u bigint, v bigint"))
-    return _confirmed(alike, docs, tables)
+    return _confirmed(alike, docs, size, tables)
+
 
+def _sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, "text", 1 << 20):
+            row, sh = shingle_hashes(_words(part), size)
+            ends = np.append(0, np.cumsum(np.bincount(row, minlength=part.num_rows))).astype(np.int32)
+            sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(sh.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column("id"), sets], ["id", "shingles"])
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in pieces(batches, "text", 1 << 20):
-        row, sh = shingle_hashes(Words([lower_ascii(t) if t else None for t in as_bytes(part.column("text"))]))
-        ends = np.append(0, np.cumsum(np.bincount(row, minlength=part.num_rows))).astype(np.int32)
-        sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(sh.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([part.column("id"), sets], ["id", "shingles"])
+    return run
 
 
 def _keyed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,7 +243,7 @@ def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
-def _hidden_links(members: DataFrame, groups: DataFrame, docs: DataFrame, tables: Scratch) -> DataFrame:
+def _hidden_links(members: DataFrame, groups: DataFrame, docs: DataFrame, size: int, tables: Scratch) -> DataFrame:
     """Links between different components that share a bucket but were not compared yet."""
     of = groups.withColumnRenamed("node", "id").withColumnRenamed("component", "c")
     own = tables.write(members.join(of, "id", "left").withColumn("c", F.coalesce("c", "id")))
@@ -241,7 +261,7 @@ def _hidden_links(members: DataFrame, groups: DataFrame, docs: DataFrame, tables
     ).where("lefts IS NOT NULL"))
     blocks = (sizes.where("lefts = 1 AND rights = 1").agg(F.sum("n")).first()[0] or 0) // RIGHT_SHINGLES + 1
     sets = tables.write(_texts(docs, right.join(sizes, "g", "leftsemi").select("id"), tables)
-                        .mapInArrow(_sets, "id bigint, shingles array<bigint>"))
+                        .mapInArrow(_sets(size), "id bigint, shingles array<bigint>"))
 
     def dealt(side: DataFrame, mine: str, other: str) -> DataFrame:
         share = F.pmod(F.xxhash64("id"), F.col(mine))
@@ -257,7 +277,7 @@ def _hidden_links(members: DataFrame, groups: DataFrame, docs: DataFrame, tables
     found = dealt(left, "lefts", "rights").groupBy("block").cogroup(dealt(right, "rights", "lefts").groupBy("block")) \
         .applyInArrow(_block_links, "u bigint, v bigint")
     pairs = found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    return _confirmed(tables.write(pairs), docs, tables)
+    return _confirmed(tables.write(pairs), docs, size, tables)
 
 
 def _shared_ids(whole: DataFrame, classes: DataFrame) -> DataFrame:
@@ -268,12 +288,12 @@ def _shared_ids(whole: DataFrame, classes: DataFrame) -> DataFrame:
         .select(F.col("rep").alias("u"), F.col("id").alias("v")).where("u <> v")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per document: ``id``, ``n_shingles``, ``component_id``, ``kept``. Written to the shared folder."""
     docs = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     with Scratch(docs.sparkSession) as tables:
         sets = tables.write(docs.mapInArrow(
-            _sketch, "id bigint, n bigint, k1 bigint, k2 bigint, sketch binary, bands array<bigint>"
+            _sketch(size), "id bigint, n bigint, k1 bigint, k2 bigint, sketch binary, bands array<bigint>"
         ))
         whole = sets.where("n > 0 AND id IS NOT NULL")
         classes = tables.write(whole.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")))
@@ -284,9 +304,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
                                .where("pivot < top").select("band", "pivot"))
         members = tables.write(banded.join(buckets, "band"))
         stars = members.where("id <> pivot").select(F.col("pivot").alias("u"), F.col("id").alias("v")).distinct()
-        links = tables.write(_star_links(stars, reps, docs, tables).union(_shared_ids(whole, classes)))
+        links = tables.write(_star_links(stars, reps, docs, size, tables).union(_shared_ids(whole, classes)))
         groups = tables.write(components(links, tables))
-        more = _hidden_links(members, groups, docs, tables)
+        more = _hidden_links(members, groups, docs, size, tables)
         if not more.isEmpty():
             groups = tables.write(components(links.union(more), tables))
         of_class = tables.write(classes.join(groups, F.col("rep") == F.col("node"), "left")
@@ -298,13 +318,21 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         ).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))))
 
 
-def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the smallest of their group, with their own columns.
+def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """One row of every group of near copies, with its own columns: the one with the smallest id.
 
-    Rows that share an id stay or go together; rows without an id stay.
+    Rows are numbered and written first, so that rows which share an id, or have none, are documents of their own
+    and exactly one stays. Missing ids come last; of equal ids any row stays, the same one in every task.
     """
-    gone = near_duplicates(docs, id, text).where("NOT kept").select(F.col("id").alias("gone")).distinct()
-    return docs.join(small(written(gone)), F.col(id) == F.col("gone"), "leftanti")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
+    groups = near_duplicates(rows.select("row", F.col("doc")[text].alias("text")), "row", "text", size)
+    own = rows.select("row", F.col("doc")[id].alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))["row"]
+    several = groups.groupBy("component_id").count().where("count > 1").select("component_id")
+    many = written(groups.join(several, "component_id", "leftsemi").select(F.col("id").alias("row"), "component_id"))
+    kept = own.join(many, "row").groupBy("component_id").agg(first.alias("row")).select("row")
+    gone = many.join(kept, "row", "leftanti").select("row")
+    return rows.join(small(written(gone)), "row", "leftanti").select("doc.*")
 
 
 def op5_hyperminhash(spark, sf_dir):

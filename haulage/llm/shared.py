@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only a local session, such as a test's, may leave it unset."""
+    """``spark.checkpoint.dir``. It can only be set when the session is made."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("make the session with spark.checkpoint.dir set to a folder that all executors share")
     return folder.rstrip("/")
 
 
@@ -40,13 +38,36 @@ class Scratch:
         return self
 
     def __exit__(self, *_) -> None:
+        self.delete()
+
+    def delete(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_owners: list[list[Scratch]] = []
+
+
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table of its own, which stays: for results that are read after the work."""
-    return Scratch(df.sparkSession).write(df)
+    """``df`` as a table of its own, which stays: for results that are read after the work.
+
+    Inside ``with temporary():`` it goes at the end of the block, when the result is written elsewhere.
+    """
+    tables = Scratch(df.sparkSession)
+    if _owners:
+        _owners[-1].append(tables)
+    return tables.write(df)
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Deletes the tables that ``written`` makes inside."""
+    _owners.append([])
+    try:
+        yield
+    finally:
+        for tables in _owners.pop():
+            tables.delete()
 
 
 # Rows of one or two numbers that may be broadcast: at most some 50 MB on every executor.

@@ -55,12 +55,12 @@ def contamination(docs, items, window=10):
     return out
 
 
-def shingles(text):
+def shingles(text, size=2):
     w = words((text or "").translate(LOWER))
-    return set(zip(w, w[1:])) if len(w) > 1 else {tuple(w)} if w else set()
+    return {tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def groups(docs):
+def groups(docs, size=2):
     """Smallest id of each id's group of near copies."""
     up = {id: id for id, _ in docs}
 
@@ -69,7 +69,7 @@ def groups(docs):
             x = up[x]
         return x
 
-    sets = [(id, shingles(text)) for id, text in docs]
+    sets = [(id, shingles(text, size)) for id, text in docs]
     for i, (a, s) in enumerate(sets):
         for b, t in sets[:i]:
             if s and t and 100 * len(s & t) >= 80 * len(s | t):

@@ -45,7 +45,27 @@ def test_repeated_and_missing_ids(frame):
     rows = [(3, a, "", "", 0), (9, a, "", "", 0), (9, b, "", "", 0), (7, b, "", "", 0), (None, a, "", "", 0)]
     out = near_duplicates(frame(rows)).collect()
     assert {(r.id, r.component_id, r.kept) for r in out} == {(3, 3, True), (9, 3, False), (7, 3, False), (None, None, True)}
-    assert {r.doc_id for r in keep_first(frame(rows)).collect()} == {3, None}
+    assert sorted(r.doc_id for r in keep_first(frame(rows)).collect()) == [3, 7]
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(frame):
+    a, b, c = prose(1, 50), prose(2, 50), prose(3, 50)
+    rows = [(7, a, "", "", 0), (7, a, "", "", 0), (None, a + " x", "", "", 0), (None, a + " x", "", "", 0),
+            (None, b, "", "", 0), (None, b, "", "", 0), (5, c, "", "", 0), (5, "other", "", "", 0),
+            (None, None, "", "", 0), (None, "", "", "", 0), (2, None, "", "", 0)]
+    out = keep_first(frame(rows).repartition(3)).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=repr) == sorted(
+        [(7, a), (None, b), (5, c), (5, "other"), (None, None), (None, ""), (2, None)], key=repr)
+
+
+def test_longer_shingles(frame):
+    base = prose(1, 200)
+    rows = [(i, edited(base, i, 0.015 * i), "", "", 0) for i in range(6)] + [
+        (10, "a b c", "", "", 0), (11, "A b c", "", "", 0), (12, "a b c d", "", "", 0), (13, "a b c d e", "", "", 0)]
+    out = {r.id: (r.n_shingles, r.component_id) for r in near_duplicates(frame(rows), size=5).collect()}
+    of = brute.groups([(r[0], r[1]) for r in rows], 5)
+    assert out == {i: (len(brute.shingles(t, 5)), of[i]) for i, t, *_ in rows}
+    assert len(set(of.values())) > 3
 
 
 def test_empty_table_and_columns(frame, clashing, rows):
