@@ -1,4 +1,9 @@
-"""A corpus through the training-data operators, stage by stage."""
+"""A corpus through the training-data operators, stage by stage.
+
+Defined results of all stages: a missing text has no words, which the rules reject; a later stage given one keeps
+it. Missing hosts are a host of their own. Ids may repeat or be missing: rows count one by one, a missing id is larger
+than any other. An empty table gives an empty one. Columns beside those of documents stay, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.llm import hostrules, hyperminhash, packing, superkmer, winnow
-from haulage.llm.shared import written
+from haulage.llm.shared import Scratch, temporary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +20,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group of near copies."""
+    """One document of every group of near copies, the one with the smallest id.
+
+    Shingles are of two words, as in operator 5, whose groups these are: runs of five would miss copies in which one
+    word in twenty differs, the very ones that a corpus should lose.
+    """
     return hyperminhash.keep_first(docs)
 
 
@@ -49,8 +58,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the folder's documents, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the folder's documents, each written to the shared folder and read again.
+
+    What a stage wrote goes when the next one has ended; the result reads the last copy, which stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        stored = Scratch(spark)
+        with temporary():
+            docs = stored.write(stage(spark, docs, sf_dir))
+        if before is not None:
+            before.delete()
+        before = stored
     return STAGES[-1][1](spark, docs, sf_dir)
