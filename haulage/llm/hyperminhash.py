@@ -321,9 +321,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row of every group of near copies, with its own columns: the one with the smallest id.
 
-    Rows are numbered and written first, so that rows which share an id, or have none, are documents of their own
-    and exactly one stays. Missing ids come last; of equal ids any row stays, the same one in every task.
+    Where ids repeat or are missing, rows are numbered and written first: they are documents of their own, and
+    exactly one stays. Missing ids come last; of equal ids any row stays, the same one in every task.
     """
+    number = F.col(id).cast("bigint")
+    if docs.groupBy(number.alias("id")).count().where("id IS NULL OR count > 1").isEmpty():
+        gone = near_duplicates(docs, id, text, size).where("NOT kept").select(F.col("id").alias("gone"))
+        return docs.join(small(written(gone)), number == F.col("gone"), "leftanti")
     rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
     groups = near_duplicates(rows.select("row", F.col("doc")[text].alias("text")), "row", "text", size)
     own = rows.select("row", F.col("doc")[id].alias("id"))

@@ -27,7 +27,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
+        self.name = uuid.uuid4().hex
+        self.folder = f"{shared_folder(spark)}/llm/{self.name}"
 
     def write(self, df: DataFrame, *partitioned: str) -> DataFrame:
         path = f"{self.folder}/{uuid.uuid4().hex}"
@@ -38,11 +39,11 @@ class Scratch:
         return self
 
     def __exit__(self, *_) -> None:
-        self.delete()
+        self.delete(self.spark)
 
-    def delete(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def delete(self, spark: SparkSession) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _owners: list[list[Scratch]] = []
@@ -51,7 +52,7 @@ _owners: list[list[Scratch]] = []
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table of its own, which stays: for results that are read after the work.
 
-    Inside ``with temporary():`` it goes at the end of the block, when the result is written elsewhere.
+    Inside ``with owned() as tables:`` the list gets it, so that it can be deleted once the result is elsewhere.
     """
     tables = Scratch(df.sparkSession)
     if _owners:
@@ -60,14 +61,22 @@ def written(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def temporary() -> Iterator[None]:
-    """Deletes the tables that ``written`` makes inside."""
+def owned() -> Iterator[list[Scratch]]:
+    """Collects the tables that ``written`` makes inside."""
     _owners.append([])
     try:
-        yield
+        yield _owners[-1]
     finally:
-        for tables in _owners.pop():
-            tables.delete()
+        _owners.pop()
+
+
+def delete_unread(tables: list[Scratch], df: DataFrame) -> None:
+    """Deletes those of the tables that ``df`` does not read, and takes them off the list."""
+    files = df.inputFiles()
+    for table in list(tables):
+        if not any(table.name in file for file in files):
+            table.delete(df.sparkSession)
+            tables.remove(table)
 
 
 # Rows of one or two numbers that may be broadcast: at most some 50 MB on every executor.

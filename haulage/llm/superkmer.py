@@ -43,7 +43,7 @@ from .words import Words, as_bytes, gram_hashes, mix, pieces, sliding_min, whole
 
 WINDOW = 13
 MINIMISER = 2
-BUCKETS = 1024  # at least; a power of two
+BUCKETS = 512  # at least; a power of two
 SLOTS = 1 << 16  # in which super-k-mers are counted; a power of two
 HOT = 4
 LEVEL = 6  # of compression

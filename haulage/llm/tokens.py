@@ -26,7 +26,7 @@ import public_tokenizers
 import pyarrow as pa
 
 # Pieces remembered: those met again, and those met once. A full memory starts anew.
-AGAIN, ONCE = 700_000, 500_000
+AGAIN, ONCE = 350_000, 250_000
 AT_ONCE = 20_000
 
 _OTHER_SPACE = re.compile("[" + "".join(
