@@ -7,18 +7,41 @@ than any other. An empty table gives an empty one. Columns beside those of docum
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulage.llm import hostrules, hyperminhash, packing, superkmer, winnow
-from haulage.llm.shared import Scratch, temporary
+from haulage.llm.shared import Scratch, delete_unread, owned
+
+# What the stages have written on the way and their results read.
+_left: list[Scratch] = []
+
+
+def _work(stage):
+    """The stage, whose own tables go when a later stage starts: its result is written by then.
+
+    Should that be put off, and the next documents still read a table, it stays.
+    """
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete_unread(_left, docs)
+        with owned() as tables:
+            result = stage(spark, docs, sf_dir)
+        _left.extend(tables)
+        return result
+
+    return run
 
 
+@_work
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules themselves and whose host passes."""
     return hostrules.keep_good(docs)
 
 
+@_work
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies, the one with the smallest id.
 
@@ -28,16 +51,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return hyperminhash.keep_first(docs)
 
 
+@_work
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that an earlier one has."""
     return superkmer.remove_repeats(docs)
 
 
+@_work
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     return winnow.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_work
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
     return packing.pack(docs).select(
@@ -65,9 +91,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         stored = Scratch(spark)
-        with temporary():
-            docs = stored.write(stage(spark, docs, sf_dir))
+        docs = stored.write(stage(spark, docs, sf_dir))
         if before is not None:
-            before.delete()
+            before.delete(spark)
         before = stored
     return STAGES[-1][1](spark, docs, sf_dir)
