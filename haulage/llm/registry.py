@@ -1,6 +1,7 @@
 """Queries of the operators and their SQL counterparts."""
 
-from . import hostrules, huffman, hyperminhash, langid, packing, quality, sharding, superkmer, tokencounts, winnow
+from . import hostrules, huffman, hyperminhash, langid, packing, periodic, pii, quality, sharding, superkmer, \
+    tokencounts, whitening, winnow
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -13,6 +14,9 @@ QUERIES = {
     "op8_huffman": huffman.op8_huffman,
     "op9_tokencounts": tokencounts.op9_tokencounts,
     "op10_hostrules": hostrules.op10_hostrules,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_pii": pii.op12_pii,
+    "op13_periodic": periodic.op13_periodic,
 }
 ORACLE_SQL = {
     "op1_sharding": sharding.ORACLE_SQL,
