@@ -28,6 +28,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,8 +160,17 @@ def _looks() -> tuple[dict[str, str], re.Pattern]:
 _WORD = re.compile(r"\S+")
 
 
+def _latin(text: str) -> bool:
+    """Whether the text has only Latin-1 characters, none of them a look-alike."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "\xa0" not in text and "\xad" not in text
+
+
 def look_alikes(text: Aligned) -> None:
-    if text.text.isascii():
+    if _latin(text.text):
         return
     to, some = _looks()
     edits = []
@@ -268,6 +278,16 @@ def letters_among_digits(text: Aligned) -> None:
 
 TRANSDUCERS = (look_alikes, at_and_dot, spelled_digits, letters_among_digits)
 
+# What a text must hold for the transducers after the first one to rewrite any of it, for a search in linear time. Any
+# white space of theirs that is not ASCII makes the first one rewrite something already.
+_ANY = rf"[(\[{{<]\s*(?:@|\.|{_AT}|{_DOT})\s*[)\]}}>]|\s@\s|\s(?:{_DOT})\s|[0-9][OoIl]|[0-9][ .-][OoIl][0-9]" \
+       rf"|{_NAME}(?:[\s,;-]{{1,3}}|\s{{1,3}}(?:{_DOT})\s{{1,3}})(?:(?:double|triple)\s{{1,3}})?(?:{_NAME}|[0-9])"
+
+
+def may_hide(texts: pa.Array) -> list[bool | None]:
+    """Which texts one of the later transducers may rewrite as they are."""
+    return pc.match_substring_regex(texts, _ANY, ignore_case=True).to_pylist()
+
 
 def hidden(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Finds of the plain form that hold something rewritten and are not covered by one of the base."""
@@ -295,12 +315,18 @@ def hidden(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int,
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("added", pa.bool_())])
 
 
+def _finds(texts: pa.Array) -> Iterator[tuple[str | None, list, list]]:
+    """Every text, its base finds and those that are hidden."""
+    for text, may in zip(texts.to_pylist(), may_hide(texts)):
+        base = finds(text) if text else []
+        yield text, base, hidden(text, base) if text and (may or not _latin(text)) else []
+
+
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in pieces(batches, "text"):
         rows = []
-        for text in part.column("text").to_pylist():
-            base = finds(text) if text else []
-            spans = [(*s, False) for s in base] + ([(*s, True) for s in hidden(text, base)] if text else [])
+        for text, base, more in _finds(part.column("text")):
+            spans = [(*s, False) for s in base] + [(*s, True) for s in more]
             rows.append([dict(kind=KINDS[k], start=a, end=b, added=x) for k, a, b, x in sorted(spans)])
         yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(rows, pa.list_(SPAN))], ["doc", "spans"])
 
@@ -321,10 +347,9 @@ def masked(docs: DataFrame, text: str = "text") -> DataFrame:
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "text"):
             out = []
-            for value in part.column("text").to_pylist():
-                base = finds(value) if value else []
+            for value, base, more in _finds(part.column("text")):
                 new, at = [], 0
-                for a, b, kind in sorted((a, b, k) for k, a, b in base + (hidden(value, base) if value else [])):
+                for a, b, kind in sorted((a, b, k) for k, a, b in base + more):
                     if a >= at:
                         new += [value[at:a], f"<{KINDS[kind]}>"]
                     at = max(at, b)
