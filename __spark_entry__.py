@@ -32,6 +32,7 @@ from haulage.operators.profile import (
 )
 from haulage.operators.publish import (
     append_and_drop,
+    create_staging,
     create_table,
     create_table_from_columns,
     import_delimited,
@@ -191,8 +192,9 @@ def q_normalise_text_rows(spark, sf_dir):
 
 def q_swap_table(spark, sf_dir):
     orders, schema = _table(spark, sf_dir, "orders"), _target(spark)
+    create_table(spark, LAKE, schema, "orders", orders.schema)
+    create_staging(spark, LAKE, schema, "orders_tmp", orders.schema)
     for table, rows in (("orders", orders.where("o_orderstatus = 'F'")), ("orders_tmp", orders)):
-        create_table(spark, LAKE, schema, table, orders.schema)
         insert(rows, LAKE.table_name(schema, table))
     swap_table(spark, LAKE, schema, "orders", "orders_tmp")
     return LAKE.read_table(spark, schema, "orders")

@@ -136,16 +136,26 @@ def stage_escapes(delimiter: str) -> list[tuple[str, str]]:
     return [*ESCAPES, (delimiter, f"\\x{ord(delimiter):02X}")]
 
 
+def _needs_no_escapes(dtype: T.DataType, delimiter: str) -> bool:
+    """Whether no text of the type can hold the delimiter, a backslash, a line end or NUL."""
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return delimiter not in "+-."
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return delimiter not in "+-.: "
+    return False
+
+
 def stage_encode(value: Column, dtype: T.DataType, delimiter: str) -> Column:
-    """A value as one field of a staged line. Every type's text is escaped: numbers and times hold
-    characters that may be the delimiter."""
+    """A value as one field of a staged line. Text is escaped unless its type rules out all that needs it: numbers
+    and times hold characters that may be the delimiter."""
     if isinstance(dtype, T.TimestampType):
         text = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
     elif isinstance(dtype, T.BinaryType):
         text = F.concat(F.lit("\\x"), F.hex(value))
     else:
         text = value.cast("string")
-    for raw, escaped in stage_escapes(delimiter):
+    escapes = stage_escapes(delimiter)
+    for raw, escaped in [] if _needs_no_escapes(dtype, delimiter) else escapes:
         text = F.replace(text, F.lit(raw), F.lit(escaped))
     return F.coalesce(text, F.lit(NULL_MARK))
 

@@ -1,4 +1,4 @@
-"""Creating, filling, swapping and emptying tables.
+"""Creating, filling, publishing and emptying tables.
 
 Names are qualified, quoted table names as ``Endpoint.table_name`` gives them. The
 statements are plain Spark SQL, so they act on a Spark catalog or on a database alike.
@@ -6,6 +6,7 @@ statements are plain Spark SQL, so they act on a Spark catalog or on a database
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
@@ -16,10 +17,16 @@ from ..functions.types import ColumnInfo, declared_type, spark_schema
 from ..functions.text import NULL_MARK
 from ..sources.delimited import DELIMITER, read_delimited, rejected_lines
 from ..sources.endpoint import Endpoint
+from ..sources.files import delete_folder
 
 # Name endings of a table being loaded and of one being retired.
 STAGING = "_tmp"
 RETIRED = "_delete"
+# Table property of a staging table in a folder of its own: whether the folder may still be dropped with it.
+GENERATION = "haulage.generation"
+UNPUBLISHED, PUBLISHING = "unpublished", "publishing"
+# Formats whose tables are a folder of files and nothing else.
+FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro"}
 # Name ending of the table that keeps the lines an import left out.
 REJECTED = "_rejected"
 
@@ -39,6 +46,46 @@ def create_table(
         spark.sql(f"CREATE TABLE {name} ({_ddl(columns)}) USING {target.table_format}")
 
 
+def create_staging(
+    spark: SparkSession, target: Endpoint, schema: str, staging: str, columns: T.StructType
+) -> None:
+    """Create an empty staging table, to be published by ``swap_table`` or dropped by ``drop_staging``.
+
+    In Spark's own catalog it gets a new folder beside the schema's tables, which the published table takes over: no file
+    is moved. Databases and table formats have their own ways to rename.
+    """
+    if not target.in_session_catalog or target.table_format not in FILE_FORMATS:
+        create_table(spark, target, schema, staging, columns)
+        return
+    target.require_writable()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target.schema_name(schema)}")
+    drop_staging(spark, target, schema, staging)
+    base = spark.catalog.getDatabase(target.schema_name(schema)).locationUri.rstrip("/")
+    folder = f"{base}/{staging.removesuffix(STAGING)}-{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {target.table_name(schema, staging)} ({_ddl(columns)}) USING {target.table_format}"
+              f" LOCATION {text_literal(folder)} TBLPROPERTIES ('{GENERATION}' = '{UNPUBLISHED}')")
+
+
+def drop_staging(spark: SparkSession, target: Endpoint, schema: str, staging: str) -> None:
+    """Drop a staging table, if it is there, with its files, unless they are being published."""
+    name, folder = target.table_name(schema, staging), None
+    if target.in_session_catalog and spark.catalog.tableExists(name):
+        if _properties(spark, name).get(GENERATION) == UNPUBLISHED:
+            folder = _facts(spark, name)["Location"]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if folder is not None:
+        delete_folder(spark, folder)
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def _facts(spark: SparkSession, name: str) -> dict[str, str]:
+    """Type, provider, location and the like of a table."""
+    return {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
 def create_table_from_columns(
     spark: SparkSession, target: Endpoint, schema: str, table: str, columns: list[ColumnInfo]
 ) -> None:
@@ -84,7 +131,7 @@ def append_and_drop(
     columns = target.read_table(spark, schema, table).columns
     staged = aligned(target.read_table(spark, schema, staging), columns)
     rows = insert(staged, target.table_name(schema, table)).rows
-    spark.sql(f"DROP TABLE {target.table_name(schema, staging)}")
+    drop_staging(spark, target, schema, staging)
     return rows
 
 
@@ -93,11 +140,15 @@ def swap_table(
 ) -> None:
     """Publish a staging table under the target's name and drop what was there.
 
-    Renames only, whatever the size. A swap that was cut short is completed by the next
-    one; a failing second rename puts the old table back.
+    A staging table with a folder of its own is published by pointing the target there, in one change of the
+    catalog; no file moves. Others are renamed, and a failing second rename puts the old table back. Either way, a
+    swap that was cut short is completed by the next one.
     """
     target.require_writable()
     target.use(spark)
+    if target.in_session_catalog and GENERATION in _properties(spark, target.table_name(schema, staging)):
+        _switch(spark, target, schema, table, staging)
+        return
     name, new = target.table_name(schema, table), target.table_name(schema, staging)
     old = target.table_name(schema, table + RETIRED)
     if not spark.catalog.tableExists(name):
@@ -114,6 +165,41 @@ def swap_table(
     spark.sql(f"DROP TABLE {old}")
 
 
+def _switch(spark: SparkSession, target: Endpoint, schema: str, table: str, staging: str) -> None:
+    """Point the target at the folder of a staging table.
+
+    The mark on the staging table comes first: whenever the driver is lost, files that the target may read are
+    not dropped with it. A target with other columns, or of another layout, is made anew.
+    """
+    name, new = target.table_name(schema, table), target.table_name(schema, staging)
+    staged = _facts(spark, new)
+    folder, outdated = staged["Location"], None
+    spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ('{GENERATION}' = '{PUBLISHING}')")
+    if spark.catalog.tableExists(name) and not _same_layout(spark, name, new):
+        spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} ({_ddl(spark.table(new).schema)}) USING {staged['Provider']}")
+    there = _facts(spark, name)
+    if there["Location"] != folder:
+        outdated = there["Location"] if there["Type"] == "MANAGED" else None
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {text_literal(folder)}")
+    stale = [text_literal(key) for key in _properties(spark, name) if key.startswith("haulage.")]
+    if stale:
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ({', '.join(stale)})")
+    spark.sql(f"DROP TABLE {new}")
+    spark.sql(f"DROP TABLE IF EXISTS {target.table_name(schema, table + RETIRED)}")
+    if outdated is not None:
+        delete_folder(spark, outdated)
+
+
+def _same_layout(spark: SparkSession, name: str, new: str) -> bool:
+    """Whether one table's files can be read as the other's: format and columns, no partitions or buckets."""
+    a, b = _facts(spark, name), _facts(spark, new)
+    plain = "# Partition Information" not in a and "Num Buckets" not in a
+    return plain and a.get("Provider") == b.get("Provider") and (
+        _ddl(spark.table(name).schema) == _ddl(spark.table(new).schema))
+
+
 def truncate_table(spark: SparkSession, target: Endpoint, schema: str, table: str) -> None:
     """Empty a table and keep its columns."""
     target.require_writable()
@@ -180,7 +266,7 @@ def get_markers(spark: SparkSession, target: Endpoint, schema: str, table: str,
     if target.is_jdbc:
         return Markers()
     name = target.table_name(schema, table)
-    found = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    found = _properties(spark, name)
     return Markers(*(found.get(f"haulage.{f.name}.{key}") or None for f in fields(Markers)))
 
 

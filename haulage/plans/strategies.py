@@ -1,7 +1,7 @@
 """Load strategies: full table, full query, and append by high-water mark.
 
 A load is one lazy frame from the source to the write. Nothing is staged on the way;
-the only intermediate is the new table itself, published by a rename when complete.
+the only intermediate is the new table itself, published when complete.
 Any failure fails the load and leaves the target as it was.
 """
 
@@ -31,7 +31,7 @@ from ..operators.publish import (
     Written,
     aligned,
     append_and_drop,
-    create_table,
+    create_staging,
     get_markers,
     import_delimited,
     insert,
@@ -126,7 +126,7 @@ def _stage(
     key: str | None = None,
 ) -> tuple[Written, tuple[int, ...]]:
     """Fill a new staging table and make sure that it holds the rows read, no more, no less."""
-    create_table(spark, target, schema, table + STAGING, df.schema)
+    create_staging(spark, target, schema, table + STAGING, df.schema)
     name = target.table_name(schema, table + STAGING)
     written = insert(df, name, _largest(df, target, key))
     staged = target.read_table(spark, schema, table + STAGING)
@@ -148,7 +148,7 @@ def _full(
     ranges: RowRanges | None = None,
     key: str | None = None,
 ) -> LoadResult:
-    """Stage, publish by rename, and remember the largest key for later increments."""
+    """Stage, publish, and remember the largest key for later increments."""
     written, batches = _stage(spark, df, target, schema, table, ranges, key)
     swap_table(spark, target, schema, table, table + STAGING)
     if written.largest is not None:
@@ -232,7 +232,7 @@ def load_delimited(
     """Replace the target with staged text. Lines that were left out make it a ``WARN``."""
     target.require_writable()
     staging = target_table + STAGING
-    create_table(spark, target, target_schema, staging, columns)
+    create_staging(spark, target, target_schema, staging, columns)
     imported = import_delimited(
         spark, path, target, target_schema, staging, delimiter, skip_bad_rows
     )

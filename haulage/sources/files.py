@@ -23,3 +23,9 @@ def register_parquet(
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {qualified(schema, table)} USING parquet LOCATION {path}"
         )
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and all in it, wherever Spark's file systems keep it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

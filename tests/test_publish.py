@@ -1,4 +1,6 @@
 import dataclasses
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import types as T
@@ -11,10 +13,13 @@ from haulage.operators.publish import (
     Markers,
     aligned,
     append_and_drop,
+    create_staging,
     create_table,
     create_table_from_columns,
+    drop_staging,
     get_markers,
     import_delimited,
+    insert,
     set_markers,
     swap_table,
     truncate_table,
@@ -78,6 +83,94 @@ def test_a_failed_swap_puts_the_old_table_back(spark, lake, schema, make):
     assert values(spark.table(f"{schema}.t")) == ROWS[:1] and not exists(spark, schema, "t_delete")
 
 
+def located(spark, name):
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def folders(spark, schema):
+    base = Path(unquote(urlparse(spark.catalog.getDatabase(schema).locationUri).path))
+    return sorted(p.name for p in base.iterdir()) if base.exists() else []
+
+
+def stage(spark, lake, schema, rows, columns=PEOPLE):
+    create_staging(spark, lake, schema, "t_tmp", columns)
+    insert(spark.createDataFrame(rows, spark.table(f"{schema}.t_tmp").schema), f"{schema}.t_tmp")
+    return located(spark, f"{schema}.t_tmp")["Location"]
+
+
+def test_the_target_takes_over_the_folder_of_its_staging_table(spark, lake, schema, make):
+    for rows in (ROWS[:3], ROWS, ROWS[:1]):
+        folder = stage(spark, lake, schema, rows)
+        written = {r.file for r in spark.table(f"{schema}.t_tmp").selectExpr("_metadata.file_path AS file").collect()}
+        swap_table(spark, lake, schema, "t", "t_tmp")
+        there = located(spark, f"{schema}.t")
+        assert there["Location"] == folder and there["Type"] == "MANAGED"
+        assert {r.file for r in spark.table(f"{schema}.t").selectExpr("_metadata.file_path AS file").collect()} == written
+        assert values(spark.table(f"{schema}.t")) == rows and not exists(spark, schema, "t_tmp")
+        assert folders(spark, schema) == [folder.rsplit("/", 1)[1]]  # nothing else is left behind
+    spark.sql(f"DROP TABLE {schema}.t")
+    assert folders(spark, schema) == []
+
+
+def test_other_columns_and_layouts_are_made_anew(spark, lake, schema, make):
+    make("t", ROWS)
+    other = T.StructType([T.StructField("id_col", T.LongType()), T.StructField("x", T.StringType())])
+    stage(spark, lake, schema, [(1, "a")], other)
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == [(1, "a")] and spark.table(f"{schema}.t").columns == ["id_col", "x"]
+    spark.sql(f"DROP TABLE {schema}.t")
+    spark.sql(f"CREATE TABLE {schema}.t (id_col bigint, x string) USING parquet PARTITIONED BY (x)")
+    stage(spark, lake, schema, [(2, "b")], other)
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == [(2, "b")] and len(folders(spark, schema)) == 1
+
+
+def test_files_of_a_foreign_table_stay(spark, lake, schema, folder):
+    spark.range(3).write.parquet(folder)
+    spark.sql(f"CREATE TABLE {schema}.t (id bigint) USING parquet LOCATION '{folder}'")
+    stage(spark, lake, schema, [(7,)], T.StructType([T.StructField("id", T.LongType())]))
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == [(7,)] and spark.read.parquet(folder).count() == 3
+
+
+@pytest.mark.parametrize("lost_after", ["mark", "create", "switch", "unset"])
+def test_a_switch_that_was_cut_short(spark, lake, schema, make, monkeypatch, lost_after):
+    if lost_after != "create":
+        stage(spark, lake, schema, ROWS[:2])
+        swap_table(spark, lake, schema, "t", "t_tmp")
+        set_markers(spark, lake, schema, "t", "id_col", Markers("2", pending="1"))
+    before = values(spark.table(f"{schema}.t")) if lost_after != "create" else []
+    stage(spark, lake, schema, ROWS)
+    ends = {"mark": "publishing", "create": "CREATE TABLE", "switch": "SET LOCATION", "unset": "UNSET"}[lost_after]
+    plain = type(spark).sql
+
+    def lose(self, statement, *args, **kwargs):
+        done = plain(self, statement, *args, **kwargs)
+        if ends in statement:
+            raise ConnectionError("driver lost")
+        return done
+
+    with monkeypatch.context() as lost, pytest.raises(ConnectionError):
+        lost.setattr(type(spark), "sql", lose)
+        swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == (before if lost_after in ("mark", "create") else ROWS)
+    # A new load starts over and reads what is published; its own staging table does not take files along.
+    create_staging(spark, lake, schema, "other_tmp", PEOPLE)
+    swap_table(spark, lake, schema, "t", "t_tmp")
+    assert values(spark.table(f"{schema}.t")) == ROWS and not exists(spark, schema, "t_tmp")
+    assert get_markers(spark, lake, schema, "t", "id_col") == Markers()
+
+
+def test_a_new_load_does_not_drop_files_that_were_just_published(spark, lake, schema):
+    folder = stage(spark, lake, schema, ROWS)
+    spark.sql(f"ALTER TABLE {schema}.t_tmp SET TBLPROPERTIES ('haulage.generation' = 'publishing')")
+    spark.sql(f"CREATE TABLE {schema}.t LIKE {schema}.t_tmp USING parquet LOCATION '{folder}'")
+    stage(spark, lake, schema, ROWS[:1])  # the driver was lost before the staging table went
+    assert values(spark.table(f"{schema}.t")) == ROWS
+    drop_staging(spark, lake, schema, "t_tmp")
+    assert not exists(spark, schema, "t_tmp") and folders(spark, schema) == [folder.rsplit("/", 1)[1]]
+
+
 def test_append(spark, lake, schema, make):
     make("t", ROWS[:3])
     make("t_tmp", ROWS[3:])
