@@ -171,6 +171,8 @@ def stage_split(line: Column, delimiter: str) -> Column:
 def stage_decode(field: Column, dtype: T.DataType, delimiter: str, null_mark: str = NULL_MARK) -> Column:
     """The value of a staged field; text that does not fit the type gives NULL."""
     given = F.nullif(field, F.lit(null_mark))
+    if _needs_no_escapes(dtype, delimiter):
+        return given.try_cast(dtype)
     decoded = given
     for raw, escaped in [*FOREIGN_ESCAPES, *reversed(stage_escapes(delimiter))]:
         decoded = F.replace(decoded, F.lit(escaped), F.lit(raw))

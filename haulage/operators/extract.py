@@ -163,26 +163,22 @@ class RowRanges:
     def count(self) -> int:
         return len(self.starts)
 
-    def _literal(self, start) -> str:
-        return f"CAST('{start}' AS {self.dtype.simpleString()})"
-
     @property
     def batch_id(self) -> Column:
-        """Number of the range a row is in, from 0: two short searches, among every so many starts
-        and then within that stretch."""
+        """Number of the range a row is in, from 0: a binary search among the starts, which are one constant of
+        the plan, however many there are."""
         if not self.starts:
             return F.lit(0).cast("bigint")
-        step = max(1, int(len(self.starts) ** 0.5))
-        starts = F.expr("array(%s)" % ", ".join(map(self._literal, self.starts)))
-        coarse = F.expr("array(%s)" % ", ".join(map(self._literal, self.starts[::step])))
-        key = F.col(quoted(self.key))
+        key, n = F.col(quoted(self.key)), len(self.starts)
+        starts = F.split(F.lit(",".join(map(str, self.starts))), ",").cast(T.ArrayType(self.dtype))
+        steps = F.split(F.lit(",".join(str(1 << k) for k in reversed(range(n.bit_length())))), ",").cast("array<int>")
 
-        def below(some: Column) -> Column:
-            return F.size(F.filter(some, lambda start: start <= key))
+        def halved(below: Column, step: Column) -> Column:
+            # ``below`` starts are known not to exceed the key; beyond the last start there is none.
+            return F.when(F.get(starts, below + step - 1) <= key, below + step).otherwise(below)
 
-        stretch = F.greatest(below(coarse) - 1, F.lit(0)) * step
-        number = stretch + below(F.slice(starts, stretch + 1, step)) - 1
-        return F.greatest(F.coalesce(number, F.lit(0)), F.lit(0)).cast("bigint")
+        below = F.aggregate(steps, F.lit(0), halved)
+        return F.greatest(below - 1, F.lit(0)).cast("bigint")
 
     def predicates(self, column: str | None = None) -> list[str]:
         """One SQL predicate per range, for partitioned reads from a database."""

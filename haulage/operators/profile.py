@@ -13,6 +13,8 @@ from ..functions.types import describe
 from .extract import HighWater, KeyRanges, RowRanges, marker_text
 
 
+# Accuracy of quantiles at most: what a task keeps of a key grows with it.
+FINEST = 1_000_000
 # The largest width a range can have.
 WIDEST = 2**63 - 1
 
@@ -76,7 +78,8 @@ def _after(start, dtype: T.DataType):
 def row_ranges(df: DataFrame, key: str, batch_rows: int) -> RowRanges:
     """Ranges of about ``batch_rows`` rows each, whatever the spread of the keys.
 
-    The starts are approximate quantiles, off by at most a tenth of a batch, from one aggregation of the key.
+    The starts are approximate quantiles, off by at most a tenth of a batch (or a ``FINEST``-th of all rows, if that
+    is more), from one aggregation of the key.
     A key that fills several ranges gets one of its own: keys after it begin another.
     """
     dtype = _key_type(df, key)
@@ -92,7 +95,7 @@ def row_ranges(df: DataFrame, key: str, batch_rows: int) -> RowRanges:
     starts = [least]
     if parts > 1:
         shares = [i / parts for i in range(1, parts)]
-        cuts = df.agg(F.percentile_approx(value, shares, max(10_000, 10 * parts))).first()[0]
+        cuts = df.agg(F.percentile_approx(value, shares, min(max(10_000, 10 * parts), FINEST))).first()[0]
         for at, cut in enumerate(cuts):
             if cut > starts[-1]:
                 starts.append(cut)

@@ -1,9 +1,13 @@
+import math
+import time
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F, types as T
 
 from tables import ROWS, values
+from haulage.operators.extract import RowRanges
 from haulage.operators.profile import (
     batch_row_counts,
     counted_ranges,
@@ -121,3 +125,29 @@ def test_ranges_without_keys(spark):
     assert sum(dict(batch_row_counts(some, row_ranges(some, "k", 1)).collect()).values()) == 4
     with pytest.raises(TypeError):
         row_ranges(spark.sql("SELECT 'a' AS k"), "k", 1)
+
+
+def test_many_starts_are_one_constant(spark):
+    starts = tuple(range(0, 1_000_000, 10))
+    ranges = RowRanges("id", starts, T.LongType())
+    df = spark.range(-5, 1_000_005, 1, 8).withColumn("id", F.when(F.col("id") != 77, F.col("id")))
+    started = time.perf_counter()
+    numbered = df.withColumn("batch_id", ranges.batch_id)
+    numbered._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - started < 5
+    wrong = numbered.where("batch_id <> greatest(0, least(99999, floor(coalesce(id, 0) / 10)))")
+    assert wrong.isEmpty()
+
+
+@pytest.mark.parametrize("dtype, starts", [("double", (-1.5, 0.1, 1e300)), ("decimal(12,2)", ("-1.50", "0.10", "7.00")),
+                                           ("int", (-2, 0, 5)), ("bigint", (7,))])
+def test_ranges_of_every_key_type(spark, dtype, starts):
+    kind = spark.sql(f"SELECT CAST(NULL AS {dtype}) AS k").schema[0].dataType
+    starts = tuple(map(Decimal, starts)) if dtype.startswith("decimal") else starts
+    ranges = RowRanges("k", starts, kind)
+    keys = [None, *(float(s) + d for s in starts for d in (-0.5, 0, 0.5))] + ([float("nan")] if dtype == "double" else [])
+    df = spark.createDataFrame([(k,) for k in keys], "k double").withColumn("k", F.col("k").cast(dtype))
+    for row in df.withColumn("batch_id", ranges.batch_id).collect():
+        nan = isinstance(row.k, float) and math.isnan(row.k)
+        expected = 0 if row.k is None else len(starts) - 1 if nan else max(0, sum(s <= row.k for s in starts) - 1)
+        assert row.batch_id == expected
