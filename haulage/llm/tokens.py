@@ -25,8 +25,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-# Pieces remembered: those met again, and those met once. A full memory starts anew.
-AGAIN, ONCE = 350_000, 250_000
+# Pieces remembered: those met again, and those met once. A full memory starts anew. Byte level gains nothing from
+# more; word level has more different pieces, which take longer.
+AGAIN, ONCE = {True: 350_000, False: 700_000}, {True: 250_000, False: 500_000}
 AT_ONCE = 20_000
 
 _OTHER_SPACE = re.compile("[" + "".join(
@@ -79,9 +80,9 @@ class Encoder:
                 else:
                     known[piece] = ids
             out.append(ids)
-        if len(known) > AGAIN:
+        if len(known) > AGAIN[self.spaces_kept]:
             known.clear()
-        if len(once) > ONCE:
+        if len(once) > ONCE[self.spaces_kept]:
             once.clear()
         for at in range(0, len(new), AT_ONCE):
             some = [pieces[i] for i in new[at:at + AT_ONCE]]
