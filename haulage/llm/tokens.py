@@ -25,8 +25,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-# Pieces remembered: those met again, and those met once. A full memory starts anew. Byte level gains nothing from
-# more; word level has more different pieces, which take longer.
+# Pieces remembered: those met again, and those met once. A full memory starts anew. Byte level has half as many,
+# for the memory of the pipeline's last stage, and takes longer for it.
 AGAIN, ONCE = {True: 350_000, False: 700_000}, {True: 250_000, False: 500_000}
 AT_ONCE = 20_000
 
