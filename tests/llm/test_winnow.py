@@ -1,6 +1,9 @@
+import pytest
+
 import brute
 from samples import prose
-from haulage.llm.winnow import blocks, contamination, uncontaminated
+from haulage.llm import winnow
+from haulage.llm.winnow import contamination, uncontaminated
 
 ITEM = "item_id bigint, text string"
 
@@ -18,13 +21,35 @@ def sample(rows):
     return rows + [(100 + i, t, "en", "s", 0) for i, t in enumerate(extra)], items
 
 
-def test_against_brute_force_in_one_block_and_in_many(spark, frame, rows):
+@pytest.mark.parametrize("light", [True, False])
+@pytest.mark.parametrize("bits", [1, 6, 26])
+def test_against_brute_force(spark, frame, rows, monkeypatch, light, bits):
+    """Whether tables are broadcast or shuffled in salted parts, and whatever the filter lets through."""
+    monkeypatch.setattr(winnow, "FILTER_BITS", bits)
+    monkeypatch.setattr(winnow, "BROADCAST_BYTES", 32 << 20 if light else 0)
     rows, items = sample(rows)
-    bench = spark.createDataFrame(items, ITEM)
     expected = dict(zip([r[0] for r in rows], brute.contamination([(r[0], r[1]) for r in rows], items)))
-    assert found(frame(rows), bench) == expected
-    assert len(list(blocks(bench, "item_id", "text", 150))) > 3
-    assert found(frame(rows), bench, block_bytes=150) == expected
+    assert found(frame(rows).repartition(3), spark.createDataFrame(items, ITEM)) == expected
+
+
+def test_a_window_in_all_items_and_in_a_third_of_the_rows(spark, frame, monkeypatch):
+    monkeypatch.setattr(winnow, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(winnow, "HOT_PART", 4)
+    shared = prose(1, 12)
+    items = [(i, f"{shared} {prose(50 + i, 14)}") for i in range(40)] + [(90, "rare"), (91, "rare"), (92, "x" * 5000)]
+    rows = [(i, shared if i % 3 == 0 else prose(2000 + i, 30), "en", "s", 0) for i in range(300)]
+    rows += [(400, f"{shared} {shared} rare, {items[7][1]}", "en", "s", 0), (401, "x" * 5000, "en", "s", 0)]
+    expected = dict(zip([r[0] for r in rows], brute.contamination([(r[0], r[1]) for r in rows], items)))
+    assert found(frame(rows).repartition(3), spark.createDataFrame(items, ITEM)) == expected
+
+
+def test_spans_and_names_that_clash(spark):
+    docs = spark.createDataFrame([("a b c d", 1, 2, None), (None, 3, 4, 5)],
+                                 "text string, row int, `prints.x` int, doc int")
+    out = contamination(docs, spark.createDataFrame([(1, "B c")], ITEM))
+    got = sorted(((tuple(r.doc), [tuple(s) for s in r.spans]) for r in out.collect()), key=repr)
+    assert got == [(("a b c d", 1, 2, None), [(1, 2)]), ((None, 3, 4, 5), [])]
+    assert out.selectExpr("doc.*").columns == docs.columns
 
 
 def test_empty_tables(spark, frame, rows):
