@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from ..config import FULL_TABLE, INCREMENTAL, LoadSpec, Project
 from ..sources.endpoint import Endpoint
 from ..status import END, ERROR, START, WARN, WITH_ERRORS, WITH_WARNINGS, WITHOUT_FAULT
-from .runlog import GroupedLog, RunLog
+from .runlog import ProjectLog, RunLog
 from .strategies import LoadResult, load_full_query, load_full_table, load_incremental
 
 logger = logging.getLogger(__name__)
@@ -40,7 +40,7 @@ def _load(spark: SparkSession, load: LoadSpec, source: Endpoint, target: Endpoin
     return load_incremental(spark, *ends, replication_key=load.replication_key, **options)
 
 
-def _logged(log: RunLog | GroupedLog, result: LoadResult, **record) -> LoadResult:
+def _logged(log: RunLog | ProjectLog, result: LoadResult, **record) -> LoadResult:
     """Append a record. A log that fails never takes a result with it; the result says so."""
     try:
         log.log(**record)
@@ -56,7 +56,7 @@ def run_load(
     load: LoadSpec,
     source: Endpoint,
     target: Endpoint,
-    log: RunLog | GroupedLog | None = None,
+    log: RunLog | ProjectLog | None = None,
     project: str | None = None,
     project_started_at: datetime | None = None,
 ) -> LoadResult:
@@ -110,19 +110,20 @@ class ProjectResult:
         return WITH_WARNINGS if self.count(WARN) else WITHOUT_FAULT
 
 
-def _started_log(spark: SparkSession, project: Project, started_at: datetime) -> RunLog | None:
+def _started_log(spark: SparkSession, project: Project, started_at: datetime) -> ProjectLog | None:
     """The project's log with its START record; a log that cannot be written is done without."""
     if project.log_endpoint is None:
         return None
     log = RunLog(spark, project.log_endpoint, project.log_schema, project.log_table)
     try:
         log.create()
-        log.log(project=project.name, project_started_at=started_at, started_at=started_at,
-                status=START)
+        records = ProjectLog(log)
+        records.target.log(project=project.name, project_started_at=started_at, started_at=started_at,
+                           status=START)
     except Exception:
         logger.exception("project %s runs without its log", project.name)
         return None
-    return log
+    return records
 
 
 def run_project(spark: SparkSession, project: Project) -> ProjectResult:
@@ -132,25 +133,22 @@ def run_project(spark: SparkSession, project: Project) -> ProjectResult:
     """
     started_at = datetime.now()
     log = _started_log(spark, project, started_at)
-    grouped = None if log is None else GroupedLog(log)
 
     @inheritable_thread_target(spark)
     def run(load: LoadSpec) -> LoadResult:
-        return run_load(spark, load, project.source, project.target, grouped, project.name, started_at)
+        return run_load(spark, load, project.source, project.target, log, project.name, started_at)
 
     workers = max(1, min(project.parallel_loads, len(project.loads)))
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(run, project.loads))
-    if grouped is not None:
-        grouped.flush()
-        lost = {record["target_table"] for record in grouped.records}
+    if log is not None:
+        log.log(project=project.name, project_started_at=started_at, ended_at=datetime.now(), status=END)
+        log.finish()
+        lost = {record.get("target_table") for record in log.records}
         results = [
             replace(r, message="; ".join(filter(None, (r.message, "not logged")))) if l.logged_target in lost else r
             for r, l in zip(results, project.loads)
         ]
     result = ProjectResult(results)
-    if log is not None:
-        _logged(log, LoadResult(END), project=project.name, project_started_at=started_at,
-                ended_at=datetime.now(), status=END)
     logger.info("%s: %s", project.name, result.outcome)
     return result

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 import threading
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timing import duration_text, second_boundaries, throughput
 from ..sources.endpoint import Endpoint
+from ..sources.files import delete_folder, folder_exists, listed, rename_folder
 from ..status import DONE, ERROR, WARN, WITH_ERRORS, WITH_WARNINGS, WITHOUT_FAULT
 
 logger = logging.getLogger(__name__)
@@ -103,18 +105,31 @@ def load_throughput(log: DataFrame) -> DataFrame:
     )
 
 
-# Two appends to one table of files must not commit at the same time.
+# Two inserts into one table of files must not commit at the same time.
 _appending: dict[str, threading.Lock] = {}
+# Formats whose logs have a folder for every append, and what makes Spark read those.
+FOLDERED = {"parquet", "orc"}
+RECURSIVE = "recursiveFileLookup"
+# Names of a run's records as one file, and of those it replaces. Readers pass over names with an underscore.
+MERGED, REPLACED = "_merged-", "_replaced-"
+# Appends of a run beyond which its records are put together at its end.
+FEW = 8
 
 
 @dataclass(frozen=True)
 class RunLog:
-    """The log table of an endpoint."""
+    """The log table of an endpoint.
+
+    In Spark's own catalog every append writes a folder of its own below that of its ``run``, so writers of any number
+    of drivers commit without each other, and what a lost one had appended stays. Databases and table formats have
+    commits of their own. A log that was made without such folders takes one append at a time.
+    """
 
     spark: SparkSession
     endpoint: Endpoint
     schema: str = "haulage"
     table: str = "run_log"
+    run: str | None = None
 
     @property
     def name(self) -> str:
@@ -127,7 +142,10 @@ class RunLog:
         using = "" if self.endpoint.is_jdbc else f" USING {self.endpoint.table_format}"
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.endpoint.schema_name(self.schema)}")
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}){using}")
+        foldered = self.endpoint.in_session_catalog and self.endpoint.table_format in FOLDERED
+        options = f" OPTIONS ({RECURSIVE} 'true')" if foldered else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}){using}{options}")
+        self._complete_merges()
         if self.endpoint.in_session_catalog:
             try:
                 self._create_views()
@@ -155,8 +173,56 @@ class RunLog:
             (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in LOG_SCHEMA
         ))
-        with _appending.setdefault(self.name, threading.Lock()):
-            ordered.write.insertInto(self.name)
+        folder, written_as = self._folder()
+        if folder is None:
+            with _appending.setdefault(self.name, threading.Lock()):
+                ordered.write.insertInto(self.name)
+            return
+        run = self.run or f"run-{uuid.uuid4().hex}"
+        ordered.write.format(written_as).save(f"{folder}/{run}/{uuid.uuid4().hex}")
+        self.spark.catalog.refreshTable(self.name)
+
+    def _folder(self) -> tuple[str | None, str]:
+        """Folder of a table that is read with all the folders in it, and its format."""
+        if not self.endpoint.in_session_catalog:
+            return None, ""
+        facts = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()}
+        foldered = f"{RECURSIVE}=true" in facts.get("Storage Properties", "")
+        return facts["Location"] if foldered else None, facts.get("Provider", "")
+
+    def merge(self) -> None:
+        """Put the records of the run into one file, if it has more than a few.
+
+        The file is written under a name that readers pass over; then two folders are renamed. A driver lost
+        in between leaves the rest to the next ``create``.
+        """
+        folder, written_as = self._folder()
+        if folder is None or self.run is None:
+            return
+        if len(listed(self.spark, f"{folder}/{self.run}")) <= FEW:
+            return
+        records = self.spark.read.schema(LOG_SCHEMA).format(written_as).option(RECURSIVE, "true")
+        records.load(f"{folder}/{self.run}").coalesce(1).write.format(written_as).save(f"{folder}/{MERGED}{self.run}")
+        if rename_folder(self.spark, f"{folder}/{self.run}", f"{folder}/{REPLACED}{self.run}"):
+            self._complete_merges()
+
+    def _complete_merges(self) -> None:
+        """Bring merged records to their run's name, and delete what they replace.
+
+        Whichever driver does a step, none undoes one: a name is only given to what has been written whole, and
+        records are only deleted when the merged ones have their name.
+        """
+        folder, _ = self._folder()
+        if folder is None:
+            return
+        for name in listed(self.spark, folder):
+            if name.startswith(REPLACED):
+                run = name.removeprefix(REPLACED)
+                if not folder_exists(self.spark, f"{folder}/{run}"):
+                    rename_folder(self.spark, f"{folder}/{MERGED}{run}", f"{folder}/{run}")
+                if folder_exists(self.spark, f"{folder}/{run}"):
+                    delete_folder(self.spark, f"{folder}/{name}")
+        self.spark.catalog.refreshTable(self.name)
 
     def log(self, **fields) -> None:
         """Append one record, stamped with the current time."""
@@ -173,36 +239,35 @@ class RunLog:
 
     def read(self) -> DataFrame:
         self.endpoint.use(self.spark)
+        if self.endpoint.in_session_catalog:
+            self.spark.catalog.refreshTable(self.name)  # other drivers append too
         return self.spark.table(self.name)
 
 
-class GroupedLog:
-    """Records of a project's loads, appended in groups: many loads leave few files.
+class ProjectLog:
+    """Records of one run, each appended as it comes.
 
-    A group that cannot be written is kept and tried again with the next one.
+    One that cannot be written is kept and tried again at the end of the run.
     """
 
-    def __init__(self, log: RunLog, size: int = 50):
-        self.target, self.size = log, size
+    def __init__(self, log: RunLog):
+        self.target = replace(log, run=f"run-{uuid.uuid4().hex}")
         self.records: list[dict] = []
-        self._lock = threading.Lock()
 
     def log(self, **fields) -> None:
-        with self._lock:
-            self.records.append({"log_time": datetime.now(), **fields})
-            if len(self.records) >= self.size:
-                self._flush()
-
-    def flush(self) -> None:
-        with self._lock:
-            self._flush()
+        record = {"log_time": datetime.now(), **fields}
+        try:
+            self.target.log_all([record])
+        except Exception:
+            logger.exception("a record could not be logged")
+            self.records.append(record)
 
-    def _flush(self) -> None:
-        if not self.records:
-            return
+    def finish(self) -> None:
+        """Try again what could not be written, and put the run's records together."""
         try:
-            self.target.log_all(self.records)
+            if self.records:
+                self.target.log_all(self.records)
+                self.records = []
+            self.target.merge()
         except Exception:
             logger.exception("%d records could not be logged", len(self.records))
-        else:
-            self.records = []

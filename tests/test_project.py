@@ -4,7 +4,7 @@ import pytest
 from tables import ROWS, values
 from haulage import Endpoint, LoadSpec, Project, RunLog, run_load, run_project
 from haulage.__main__ import main
-from haulage.plans.runlog import GroupedLog
+from haulage.plans.runlog import ProjectLog
 
 
 def project(schema, **overrides):
@@ -136,12 +136,25 @@ def test_many_loads_leave_few_log_files(spark, lake, schema, make):
     make("src", ROWS)
     log = RunLog(spark, lake, schema)
     log.create()
-    grouped = GroupedLog(log, size=20)
+    records = ProjectLog(log)
     load = LoadSpec(schema, "copy", schema, "src", replication_method="NONE")
-    for _ in range(50):
-        run_load(spark, load, lake, lake, grouped, "p")
-    grouped.flush()
-    assert log.read().count() == 50 and len(log.read().inputFiles()) == 3
+    for n in range(1, 13):
+        run_load(spark, load, lake, lake, records, "p")
+        assert log.read().count() == n  # nothing waits in the driver
+    before = values(log.read())
+    records.finish()
+    assert values(log.read()) == before and len(log.read().inputFiles()) == 1
+
+
+def test_a_record_that_fails_once_is_logged_in_the_end(spark, lake, schema, monkeypatch):
+    log = RunLog(spark, lake, schema)
+    log.create()
+    records, write = ProjectLog(log), RunLog.log_all
+    monkeypatch.setattr(RunLog, "log_all", lambda *_: 1 / 0)
+    records.log(project="p", status="DONE")
+    monkeypatch.setattr(RunLog, "log_all", write)
+    records.finish()
+    assert values(log.read(), "project", "status") == [("p", "DONE")] and not records.records
 
 
 def test_options_without_effect_are_refused():

@@ -1,5 +1,10 @@
 import threading
+from dataclasses import replace
 from datetime import datetime
+from pathlib import Path
+from urllib.parse import urlparse
+
+import pytest
 
 from tables import values
 from haulage import RunLog
@@ -44,6 +49,86 @@ def test_concurrent_records_are_all_kept(spark, lake, schema):
     assert log.read().select("project").distinct().count() == 8
 
 
+def place(spark, log) -> Path:
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {log.name}").collect()}
+    return Path(urlparse(facts["Location"]).path)
+
+
+def test_a_run_that_is_killed_leaves_its_records_and_stops_no_other(spark, lake, schema):
+    killed, other = (RunLog(spark, lake, schema, run=f"run-{i}") for i in "ab")
+    killed.create()
+    for i in range(3):
+        killed.log(project="a", status=f"S{i}")
+    half = place(spark, killed) / "run-a" / "half" / "_temporary" / "0"  # an append that never commits
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"half a file")
+    other.log(project="b", status="DONE")
+    other.create()
+    assert values(other.read(), "project", "status") == [("a", "S0"), ("a", "S1"), ("a", "S2"), ("b", "DONE")]
+    assert half.exists()
+
+
+def test_two_runs_write_and_merge_side_by_side(spark, lake, schema):
+    RunLog(spark, lake, schema).create()
+    logs = [RunLog(spark, lake, schema, run=f"run-{i}") for i in range(2)]
+
+    def work(log):
+        for i in range(10):
+            log.log(project=log.run, status=str(i))
+        log.merge()
+
+    failed = []
+
+    def watched(log):
+        try:
+            work(log)
+        except Exception as error:
+            failed.append(error)
+
+    threads = [threading.Thread(target=watched, args=(log,)) for log in logs]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert not failed
+    expected = sorted((log.run, str(i)) for log in logs for i in range(10))
+    assert values(logs[0].read(), "project", "status") == expected
+    assert len(logs[0].read().inputFiles()) == 2
+
+
+@pytest.mark.parametrize("step", ["before", "between", "after"])
+def test_a_merge_cut_short_is_completed(spark, lake, schema, monkeypatch, step):
+    """The driver is lost before, between or after the two renames."""
+    log = RunLog(spark, lake, schema, run="run-a")
+    log.create()
+    for i in range(10):
+        log.log(project="a", status=str(i))
+    before, folder = values(log.read()), place(spark, log)
+    with monkeypatch.context() as lost:
+        if step == "before":
+            lost.setattr(runlog, "rename_folder", lambda *_: False)
+        elif step == "between":
+            lost.setattr(RunLog, "_complete_merges", lambda _: None)
+        else:
+            lost.setattr(runlog, "delete_folder", lambda *_: None)
+        log.merge()
+    if step == "between":
+        assert not (folder / "run-a").exists()
+    replace(log, run="run-b").create()
+    assert values(log.read()) == before
+    assert not (folder / "_replaced-run-a").exists()
+
+
+def test_a_log_without_folders_goes_on(spark, lake, schema):
+    log = RunLog(spark, lake, schema, run="run-a")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runlog.LOG_SCHEMA)
+    spark.sql(f"CREATE TABLE {log.name} ({columns}) USING parquet")
+    log.create()
+    log.log(project="a", status="DONE")
+    log.merge()
+    assert values(log.read(), "project", "status") == [("a", "DONE")]
+
+
 def test_summary(spark):
     log = frame(
         spark,
