@@ -1,19 +1,19 @@
 """Operator 4: language by interpolated Kneser-Ney models of characters.
 
 Texts are lower-cased letters with one space for anything between them. Every training text is counted
-whole, in runs of ``ORDER`` characters; lower orders are continuation counts of those. A run is one number, its characters'
-codes side by side (15 bits each; letters above that are folded), so contexts and suffixes are bit
-operations. The model keeps, for each order, the sorted numbers of the runs of any language with their
+whole, in runs of ``ORDER`` characters; lower orders are continuation counts of those. A character is a unit of UTF-16, so
+letters beyond the first 65,536 are two, and no two letters look alike. A run is one number, its characters side by
+side, so contexts and suffixes are bit operations. The model keeps, for each order, the sorted numbers of the runs of any language with their
 interpolated log probabilities in all of them, and the back-off weights of contexts; one binary search per
 character finds both, or goes down an order.
 
-A text's language is the one with the lowest cross-entropy per character. Texts of one part in
-``CALIBRATION`` of the training rows are left out of the counts: on them, the sharpness that turns entropies
+A text's language is the one with the lowest cross-entropy per character, in a model of all training rows. A first model
+leaves out one part in ``CALIBRATION`` of them: on these, the sharpness that turns entropies
 into a score is chosen by log loss, and for each language the entropy that one in a thousand of
-its texts exceeds; texts above are marked as ``rejected``. Counting, smoothing sums and calibration are
+its texts exceeds; texts above are marked as ``rejected`` (none, for a language without such texts). Counting, smoothing sums and calibration are
 Spark aggregations over all rows. The model is tables of every run and context of each order, and grows with the
 corpus. The driver and the tasks get the languages, single statistics and of each table at most ``MODEL_RUNS``
-rows, the most frequent ones. If that is not all, runs of a text that these do not settle are joined with the tables, so that
+rows, the most frequent ones. Runs of a text that these do not settle are joined with the tables, so that
 the results do not depend on what was held.
 
 Defined results: a missing text or one without letters is ``und`` with score 0; rows with a missing language
@@ -35,7 +35,7 @@ from .shared import BROADCAST_ROWS, Scratch, small, written
 from .words import pieces
 
 ORDER = 4
-BITS = 15
+BITS = 16
 MODEL_RUNS, MODEL_CELLS = 1_000_000, 8_000_000  # of an order in each task's part of the model: runs, and runs times languages
 CALIBRATION = 64
 REJECTED = 0.001
@@ -46,15 +46,19 @@ SLICE_BYTES = 2 << 20
 
 @functools.cache
 def _letters() -> np.ndarray:
-    """Code of every character: 0 for no letter, else that of its lower case in 15 bits."""
+    """Lower case of every letter, 0 for other characters."""
     out = np.zeros(0x110000, dtype=np.int64)
     for c in range(0x110000):
         if chr(c).isalpha():
-            low = ord(chr(c).lower()[0])
-            out[c] = low if low < 1 << BITS else 1 + low % ((1 << BITS) - 1)
+            out[c] = ord(chr(c).lower()[0])
     return out
 
 
+def _shorter(key: np.ndarray) -> np.ndarray:
+    """Runs without their last character. A run of four may fill all 64 bits."""
+    return (key.view(np.uint64) >> np.uint64(BITS)).view(np.int64)
+
+
 def runs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of ``ORDER`` characters ending at each letter or space, their texts, and letters per text.
 
@@ -71,10 +75,17 @@ def runs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep = first | (codes > 0)
     keep[1:] |= codes[:-1] > 0  # a space after a letter stands for all up to the next
     codes, row, first = codes[keep], row[keep], first[keep]
+    letters = np.bincount(row[codes > 0], minlength=len(texts))
+    wide = codes > 0xFFFF
+    if wide.any():
+        units = 1 + wide
+        second = np.cumsum(units)[wide] - 1
+        codes, row, first = (np.repeat(x, units) for x in (codes, row, first))
+        over = codes[second] - 0x10000
+        codes[second - 1], codes[second] = 0xD800 | over >> 10, 0xDC00 | over & 0x3FF
     key = codes.copy()
     for k in range(1, ORDER):
         key[k:] |= codes[:-k] << (BITS * k)
-    letters = np.bincount(row[codes > 0], minlength=len(texts))
     return key[~first], row[~first], letters
 
 
@@ -82,11 +93,13 @@ def _count(languages: list[str]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "text", 4 * SLICE_BYTES):
             key, row, _ = runs(part.column("text").to_pylist())
-            lang = np.array([languages.index(x) for x in part.column("lang").to_pylist()], dtype=np.int32)[row]
-            for i in np.unique(lang).tolist():
-                keys, n = np.unique(key[lang == i], return_counts=True)
+            kind = np.array([2 * languages.index(x) + a for x, a in zip(part.column("lang").to_pylist(), part.column("aside").to_pylist())],
+                            dtype=np.int32)[row]
+            for i in np.unique(kind).tolist():
+                keys, n = np.unique(key[kind == i], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), i, np.int32)), pa.array(keys), pa.array(n)], ["lang", "key", "n"]
+                    [pa.array(np.full(len(keys), i // 2, np.int32)), pa.array(np.full(len(keys), i % 2 > 0)), pa.array(keys), pa.array(n)],
+                    ["lang", "aside", "key", "n"],
                 )
 
     return count
@@ -106,15 +119,12 @@ class Model:
         self.all_runs: list[bool] = []
         self.all_contexts: list[bool] = []
         self.parts: list[tuple[DataFrame, DataFrame]] = []
+        self.learnt = np.zeros(len(languages), dtype=bool)
         self.sharpness, self.limit = 16.0, np.full(len(languages), np.inf)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"parts": []}
 
-    @property
-    def whole(self) -> bool:
-        return all(self.all_runs) and all(self.all_contexts)
-
     def log_probability(self, key: np.ndarray, order: int) -> np.ndarray:
         """In every language, of the last character of runs of ``order`` characters given the others."""
         if order == 0:
@@ -133,7 +143,7 @@ class Model:
     def _backed_off(self, key: np.ndarray, order: int) -> np.ndarray:
         known, weights = self.contexts[order - 1]
         lower = self.log_probability(key & ((1 << BITS * (order - 1)) - 1), order - 1)
-        context = key >> BITS
+        context = _shorter(key)
         at = np.minimum(np.searchsorted(known, context), max(0, len(known) - 1))
         found = known[at] == context if len(known) else np.zeros(len(key), dtype=bool)
         out = lower.copy()
@@ -182,23 +192,28 @@ class Model:
         return f"doc {kind}, letters bigint, size bigint, sums array<double>, missed array<bigint>, times array<bigint>"
 
     def entropies(self, batch: pa.RecordBatch) -> np.ndarray:
-        """Cross-entropy per character in every language of a batch of sums."""
+        """Cross-entropy per character in every language of a batch of sums; infinite without anything learnt."""
         sums = batch.column("sums").flatten().to_numpy().reshape(batch.num_rows, len(self.languages))
-        return -sums / np.maximum(batch.column("size").to_numpy(), 1)[:, None]
+        return np.where(self.learnt, -sums / np.maximum(batch.column("size").to_numpy(), 1)[:, None], np.inf)
 
 
 def _array(values) -> Column:
     return F.array(*values)
 
 
-def train(rows: DataFrame, tables: Scratch) -> Model:
-    """``rows`` have ``text`` and ``lang``, neither missing."""
-    languages = sorted(r.lang for r in rows.select("lang").distinct().collect())
-    model = Model(languages)
-    if not languages:
+def counts(rows: DataFrame, languages: list[str], tables: Scratch) -> DataFrame:
+    """Runs of ``rows``' texts by language. ``text`` and ``lang`` are not missing; rows ``aside`` are counted apart."""
+    found = rows.select("text", "lang", "aside").mapInArrow(_count(languages), "lang int, aside boolean, key bigint, n bigint")
+    return tables.write(found.groupBy("lang", "aside", "key").agg(F.sum("n").alias("n")))
+
+
+def train(grams: DataFrame, languages: list[str], tables: Scratch) -> Model:
+    """The model of the counted runs ``lang``, ``key``, ``n``. Languages without any are not learnt; if none is, there is no model."""
+    learnt = [r.lang for r in grams.select("lang").distinct().collect()]
+    model = Model(languages if learnt else [])
+    if not learnt:
         return model
-    grams = tables.write(rows.select("text", "lang").mapInArrow(_count(languages), "lang int, key bigint, n bigint")
-                         .groupBy("lang", "key").agg(F.sum("n").alias("n")))
+    model.learnt[learnt] = True
     orders = [grams]
     for order in range(ORDER - 1, 0, -1):
         short = F.col("key").bitwiseAND(F.lit((1 << BITS * order) - 1))
@@ -216,13 +231,13 @@ def train(rows: DataFrame, tables: Scratch) -> Model:
         def of(lang: int, what: Column) -> Column:
             return F.coalesce(F.sum(F.when(F.col("lang") == lang, what)), F.lit(0)).cast("double")
 
-        contexts = tables.write(table.groupBy(F.shiftright("key", BITS).alias("key")).agg(
+        contexts = tables.write(table.groupBy(F.shiftrightunsigned("key", BITS).alias("key")).agg(
             F.sum("n").alias("n"), _array(of(i, F.col("n")) for i in each).alias("total"),
             _array(of(i, F.lit(1)) for i in each).alias("types"),
         ).mapInArrow(_weights(discount), "key bigint, n bigint, total array<double>, values array<float>"))
         joined = table.groupBy("key").agg(F.sum("n").alias("n"), _array(of(i, F.col("n")) for i in each).alias("own")) \
             .join(_small(contexts.select(F.col("key").alias("context"), "total", F.col("values").alias("weight")), model),
-                  F.shiftright("key", BITS) == F.col("context"))
+                  F.shiftrightunsigned("key", BITS) == F.col("context"))
         if order > 1:
             below = model.parts[-1][0].select(F.col("key").alias("suffix"), F.col("values").alias("lower"))
             joined = joined.join(_small(below, model), F.col("key").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)) == F.col("suffix"))
@@ -292,7 +307,7 @@ def _looked_up(keys: DataFrame, model: Model, order: int, tables: Scratch) -> Da
     all_runs, all_contexts = model.parts[order - 1]
     keys = tables.write(keys.join(all_runs.select("key", "values"), "key", "left"))
     weights = all_contexts.select(F.col("key").alias("context"), F.col("values").alias("weight"))
-    rest = keys.where("values IS NULL").select("key", F.shiftright("key", BITS).alias("context")).join(_small(weights, model), "context", "left")
+    rest = keys.where("values IS NULL").select("key", F.shiftrightunsigned("key", BITS).alias("context")).join(_small(weights, model), "context", "left")
     if order == 1:
         rest = rest.withColumn("lower", _array(F.lit(model.floor).cast("float") for _ in model.languages))
     else:
@@ -307,6 +322,8 @@ def _by_tables(rows: DataFrame, model: Model, tables: Scratch) -> DataFrame:
     """Rows of ``doc`` and ``text`` as rows of sums, the runs that the part lacks joined with the whole model's."""
     kind = rows.schema["doc"].dataType.simpleString()
     seen = tables.write(rows.mapInArrow(model.sums, model.sums_schema(kind)).withColumn("row", F.monotonically_increasing_id()))
+    if not model.languages:
+        return seen
     missed = seen.select("row", F.explode(F.arrays_zip("missed", "times")).alias("x")).select("row", "x.missed", "x.times")
     values = tables.write(_looked_up(missed.select(F.col("missed").alias("key")).distinct(), model, ORDER, tables))
     product = [F.sum(F.get("values", F.lit(i)).cast("double") * F.col("times")) for i in range(len(model.languages))]
@@ -315,13 +332,6 @@ def _by_tables(rows: DataFrame, model: Model, tables: Scratch) -> DataFrame:
     return seen.join(more, "row", "left").select("doc", "letters", "size", both.alias("sums"))
 
 
-def _summed(rows: DataFrame, model: Model, tables: Scratch, last, schema: str) -> DataFrame:
-    """``last`` over the sums of ``rows``, in their own tasks if the part of the model is all of it."""
-    if model.whole:
-        return rows.mapInArrow(lambda batches: last(model.sums(batches)), schema)
-    return written(_by_tables(rows, model, tables).mapInArrow(last, schema))
-
-
 def _score(model: Model):
     languages = model.languages
 
@@ -346,15 +356,16 @@ def _score(model: Model):
     return score
 
 
-def _calibrate(model: Model, rows: DataFrame, tables: Scratch) -> None:
-    languages = model.languages
+def _calibrated(model: Model, rows: DataFrame, tables: Scratch) -> tuple[float, np.ndarray]:
+    """Sharpness and limits by rows that the model has not seen, of the languages that it has learnt."""
+    languages, sharpness, limit = model.languages, model.sharpness, model.limit.copy()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             entropies, letters = model.entropies(part), part.column("letters").to_numpy()
             names = part.column("doc").field("lang").to_pylist()
-            lang = np.array([languages.index(x) if x in languages else -1 for x in names], dtype=np.int64)
-            ok = np.flatnonzero((letters > 0) & (lang >= 0))
+            lang = np.array([languages.index(x) for x in names], dtype=np.int64)
+            ok = np.flatnonzero((letters > 0) & model.learnt[lang])
             own = entropies[ok, lang[ok]]
             worse = entropies[ok] - own[:, None]
             loss = np.stack([np.log(np.exp(np.minimum(-s * worse, 500)).sum(axis=1)) for s in SHARPNESS], axis=1)
@@ -364,12 +375,13 @@ def _calibrate(model: Model, rows: DataFrame, tables: Scratch) -> None:
             )
 
     rows = rows.select(F.struct("lang").alias("doc"), "text")
-    seen = tables.write(_summed(rows, model, tables, measure, "lang int, own double, loss array<double>"))
+    seen = tables.write(_by_tables(rows, model, tables).mapInArrow(measure, "lang int, own double, loss array<double>"))
     losses = seen.agg(*[F.avg(F.get("loss", F.lit(i))).alias(f"l{i}") for i in range(len(SHARPNESS))]).first()
     if losses[0] is not None:
-        model.sharpness = SHARPNESS[int(np.argmin(losses))]
+        sharpness = SHARPNESS[int(np.argmin(losses))]
     for r in seen.groupBy("lang").agg(F.percentile_approx("own", 1 - REJECTED, 10000).alias("q")).collect():
-        model.limit[r.lang] = r.q
+        limit[r.lang] = r.q
+    return sharpness, limit
 
 
 def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", id: str = "doc_id") -> DataFrame:
@@ -377,17 +389,22 @@ def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "la
 
     Learns from the rows for which ``learn`` is true.
     """
-    known = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull())
     aside = F.pmod(F.xxhash64(F.col(id)), F.lit(CALIBRATION)) == 0
-    pick = [F.col(text).alias("text"), F.col(lang).alias("lang")]
+    known = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull()) \
+        .select(F.col(text).alias("text"), F.col(lang).alias("lang"), aside.alias("aside"))
     rows = docs.select(F.struct(*[c for c in docs.columns if c != text]).alias("doc"), F.col(text).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
     with Scratch(docs.sparkSession) as tables:
-        model = train(known.where(~aside).select(*pick), tables)
+        languages = sorted(r.lang for r in known.select("lang").distinct().collect())
+        grams = counts(known, languages, tables)
+        model, calibrated = train(grams.where("NOT aside").drop("aside"), languages, tables), None
         if model.languages:
-            _calibrate(model, known.where(aside).select(*pick), tables)
-        return _summed(rows, model, tables, _score(model),
-                       f"doc {kind}, lang_pred string, score double, entropy double, rejected boolean")
+            calibrated = _calibrated(model, known.where("aside"), tables)
+        model = train(tables.write(grams.groupBy("lang", "key").agg(F.sum("n").alias("n"))), languages, tables)
+        if calibrated:
+            model.sharpness, model.limit = calibrated
+        return written(_by_tables(rows, model, tables).mapInArrow(
+            _score(model), f"doc {kind}, lang_pred string, score double, entropy double, rejected boolean"))
 
 
 def fold(id: Column, folds: int) -> Column:

@@ -39,9 +39,10 @@ def test_no_language_to_learn(frame, clashing, rows):
 
 
 def test_probabilities_add_up(spark):
-    texts = [(speak("aa", i), "aa") for i in range(20)]
+    texts = [(speak("aa", i), "aa", False) for i in range(20)]
     with Scratch(spark) as tables:
-        model = langid.train(spark.createDataFrame(texts, "text string, lang string"), tables)
+        rows = spark.createDataFrame(texts, "text string, lang string, aside boolean")
+        model = langid.train(langid.counts(rows, ["aa"], tables), ["aa"], tables)
     letters = model.runs[0][0]
     for context in np.unique(model.runs[3][0] >> langid.BITS)[::7]:
         p = np.exp(model.log_probability((context << langid.BITS) | letters, 4).astype(float)).sum()
