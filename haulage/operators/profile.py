@@ -104,15 +104,44 @@ def row_ranges(df: DataFrame, key: str, batch_rows: int) -> RowRanges:
     return RowRanges(key, tuple(starts), dtype)
 
 
-# Parts into which a range that is too full is split at a time.
-PARTS = 16
+# Parts into which a range that is too full is split at a time, ranges that one query counts,
+# and branches of one CASE, whose nesting databases limit.
+PARTS, COUNTED, BRANCHES = 64, 4096, 16
+
+
+def _place(value: Column, starts: list, first: int = 0) -> Column:
+    """Number of the range that holds a value: a tree of CASE expressions, which databases can evaluate."""
+    step = 1
+    while -(-len(starts) // step) > BRANCHES:
+        step *= BRANCHES
+    if len(starts) == 1:
+        return F.lit(first)
+    groups = [starts[at:at + step] for at in range(0, len(starts), step)]
+    places = [_place(value, group, first + i * step) for i, group in enumerate(groups)]
+    case = F.when(value < F.lit(groups[1][0]), places[0])
+    for place, after in zip(places[1:], groups[2:]):
+        case = case.when(value < F.lit(after[0]), place)
+    return case.otherwise(places[-1])
+
+
+def _histogram(df: DataFrame, value: Column, ranges: list[tuple]) -> list[int]:
+    """Rows of sorted, separate ranges, by one grouped query. The last one may have no end."""
+    edges = sorted({edge for pair in ranges for edge in pair if edge is not None})
+    within = value >= F.lit(edges[0])
+    if ranges[-1][1] is not None:
+        within &= value < F.lit(ranges[-1][1])
+    found = dict(df.where(within).groupBy(_place(value, edges).alias("place")).agg(F.count(F.lit(1)).alias("rows")).collect())
+    place = {edge: i for i, edge in enumerate(edges)}
+    return [found.get(place[low], 0) for low, _ in ranges]
 
 
 def counted_ranges(df: DataFrame, key: str, batch_rows: int) -> RowRanges:
     """The same from counts alone, which a database answers itself: no key leaves it.
 
-    Ranges of equal width are counted, one query each, and split again while one holds over twice
-    ``batch_rows`` rows and several keys fit in. Neighbours that together fit in a batch are joined.
+    All ranges that hold over twice ``batch_rows`` rows, and several keys, are split into ``PARTS`` of equal width at a
+    time, and one grouped query counts up to ``COUNTED`` of these; so the number of queries follows the
+    spread of the keys, not the number of ranges. Neighbours that together fit in a batch are joined. Behind
+    a connection's own filter, Spark reads the key column to count it.
     """
     dtype, value = _key_type(df, key), F.col(quoted(key))
     if not isinstance(dtype, (T.IntegralType, T.DecimalType, T.FloatType, T.DoubleType)):
@@ -121,31 +150,34 @@ def counted_ranges(df: DataFrame, key: str, batch_rows: int) -> RowRanges:
     if not rows:
         return RowRanges(key, (), dtype)
 
-    def cuts(low, high, n: int) -> list:
-        k = min(PARTS, -(-n // batch_rows))
+    def parts(low, high) -> list[tuple]:
+        """The range from ``low`` to before ``high`` (None: to the end) in parts, itself if it cannot be split."""
+        end = most if high is None else high
         if isinstance(low, int):
-            between = {low + (high - low) * i // k for i in range(1, k)} | {low + 1}
+            between = {low + (end - low) * i // PARTS for i in range(1, PARTS)} | {low + 1}
         elif isinstance(low, Decimal):
-            between = {(low + (high - low) * i / k).quantize(low) for i in range(1, k)} | {_after(low, dtype)}
+            between = {(low + (end - low) * i / PARTS).quantize(low) for i in range(1, PARTS)} | {_after(low, dtype)}
         else:
-            between = {low + (high - low) * i / k for i in range(1, k)}
-        return sorted(cut for cut in between if low < cut <= high)
-
-    def split(low, high, n: int) -> list[tuple]:
-        """Starts and rows of the ranges from ``low`` to before ``high`` (None: to the end)."""
-        between = cuts(low, most if high is None else high, n) if n > 2 * batch_rows else []
-        if high is not None:
-            between = [cut for cut in between if cut < high]
-        if not between:
-            return [(low, n)]
-        edges, found = [low, *between, high], []
-        for a, b in zip(edges, edges[1:]):
-            part = df.where(value >= F.lit(a)) if b is None else df.where((value >= F.lit(a)) & (value < F.lit(b)))
-            found += split(a, b, part.count())
-        return found
+            between = {low + (end - low) * i / PARTS for i in range(1, PARTS)}
+        edges = [low, *sorted(cut for cut in between if low < cut and (cut <= end if high is None else cut < end)), high]
+        return list(zip(edges, edges[1:]))
+
+    settled, open_ranges = [], [(least, None, rows)]
+    while open_ranges:
+        finer = []
+        for low, high, n in open_ranges:
+            split = parts(low, high) if n > 2 * batch_rows else []
+            if len(split) > 1:
+                finer += split
+            else:
+                settled.append((low, n))
+        open_ranges = []
+        for at in range(0, len(finer), COUNTED):
+            some = finer[at:at + COUNTED]
+            open_ranges += [(low, high, n) for (low, high), n in zip(some, _histogram(df, value, some))]
 
     starts, held = [], batch_rows
-    for start, n in split(least, None, rows):
+    for start, n in sorted(settled):
         if starts and held + n <= batch_rows:
             held += n
         else:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from tables import ROWS, values
+from haulage.operators import profile
 from haulage.operators.extract import RowRanges
 from haulage.operators.profile import (
     batch_row_counts,
@@ -151,3 +152,25 @@ def test_ranges_of_every_key_type(spark, dtype, starts):
         nan = isinstance(row.k, float) and math.isnan(row.k)
         expected = 0 if row.k is None else len(starts) - 1 if nan else max(0, sum(s <= row.k for s in starts) - 1)
         assert row.batch_id == expected
+
+
+@pytest.mark.parametrize("spread", ["even", "crowded", "gaps"])
+def test_a_thousand_ranges_are_counted_in_few_queries(spark, monkeypatch, spread):
+    key = {"even": "id", "crowded": "CAST(pow(id, 4) / 1e4 AS BIGINT)", "gaps": "id + id DIV 10000 * 1000000000000"}[spread]
+    rows = spark.range(100_000).selectExpr(f"{key} AS k").cache()
+    asked, ask = [], profile._histogram
+    monkeypatch.setattr(profile, "_histogram", lambda *a: asked.append(a) or ask(*a))
+    ranges = profile.counted_ranges(rows, "k", 100)
+    held = dict(profile.batch_row_counts(rows, ranges).collect())
+    assert len(asked) < 10 and sum(held.values()) == 100_000
+    assert 500 <= ranges.count <= 2000
+    largest = rows.groupBy("k").count().agg({"count": "max"}).first()[0]
+    assert max(held.values()) <= max(200, largest)
+    rows.unpersist()
+
+
+@pytest.mark.parametrize("n", [1, 2, 16, 17, 256, 300])
+def test_a_place_is_found_among_any_number_of_starts(spark, n):
+    starts = [3 * i for i in range(n)]
+    found = spark.range(3 * n + 5).select(F.col("id"), profile._place(F.col("id"), starts)).collect()
+    assert all(place == min(id // 3, n - 1) for id, place in found)
