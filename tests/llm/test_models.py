@@ -90,3 +90,14 @@ def test_no_labels_and_empty_table(spark, frame, clashing, rows):
 def test_features_of_nothing():
     row, dimension, value, stats = features([None, b""], np.full((2, 1), np.nan))
     assert not len(row) and not stats.any()
+
+
+def test_clashing_columns_beside_a_model(spark, clashing, frame, rows):
+    taught = [(100 + i, speak(lang, i, 8), lang, "s", 0) for i in range(12) for lang in ("aa", "bb")] + rows[:9] + [rows[3]]
+    plain, wide = (sorted((r.doc.doc_id, r.lang_pred, round(r.score, 6)) for r in identify(make(taught), F.col("lang") != "en").collect())
+                   for make in (frame, clashing))
+    assert plain == wide and len(plain) == len(taught) and {lang for _, lang, _ in plain} >= {"aa", "bb"}
+    labels = spark.createDataFrame([(100 + i, i % 2) for i in range(12)], "doc_id bigint, quality int")
+    plain, wide = (sorted((r.doc.doc_id, round(r.score, 6)) for r in score_quality(make(taught), labels, F.lit(True)).collect())
+                   for make in (frame, clashing))
+    assert [i for i, _ in plain] == [i for i, _ in wide] and all(0 <= p <= 1 for _, p in wide)
