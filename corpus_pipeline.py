@@ -3,6 +3,9 @@
 Defined results of all stages: a missing text has no words, which the rules reject; a later stage given one keeps
 it. Missing hosts are a host of their own. Ids may repeat or be missing: rows count one by one, a missing id is larger
 than any other. An empty table gives an empty one. Columns beside those of documents stay, whatever their names.
+
+The stages set the session's ``BATCH`` to ``BATCH_BYTES``, where it has no value of its own, and leave it so: what they
+return is computed later. Results do not hang on it.
 """
 
 from __future__ import annotations
@@ -15,6 +18,9 @@ from pyspark.sql import functions as F
 from haulage.llm import hostrules, hyperminhash, packing, superkmer, winnow
 from haulage.llm.shared import Scratch, delete_unread, owned
 
+# Of rows that go to a Python worker at a time. The worker and the JVM hold a batch whole, whatever the rows' texts.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
 # What the stages have written on the way and their results read.
 _left: list[Scratch] = []
 
@@ -27,6 +33,8 @@ def _work(stage):
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         delete_unread(_left, docs)
+        if spark.conf.get(BATCH, None) is None:
+            spark.conf.set(BATCH, BATCH_BYTES)
         with owned() as tables:
             result = stage(spark, docs, sf_dir)
         _left.extend(tables)

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from .links import components
 from .shared import Scratch, small, written
 from .words import Words, as_bytes, gram_hashes, lower_ascii, mix, pieces, whole_runs
+from .workers import lean
 
 SHINGLE = 2
 BANDS, ROWS = 56, 7
@@ -187,7 +188,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, tables: Scratch) ->
     """Those of the pairs (u, v) whose sets of words are similar."""
     texts = _texts(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")), tables)
     both = pairs.join(_side(texts, "u"), "u").join(_side(texts, "v"), "v")
-    return tables.write(both.select("u", "v", "text_u", "text_v").mapInArrow(_similar(size), "u bigint, v bigint"))
+    return tables.write(both.select("u", "v", "text_u", "text_v").mapInArrow(lean(_similar(size)), "u bigint, v bigint"))
 
 
 def _star_links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, tables: Scratch) -> DataFrame:
@@ -195,7 +196,7 @@ def _star_links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, t
     alike = pairs.join(_side(sketches, "u"), "u").join(_side(sketches, "v"), "v") \
         .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * PERCENT)
     alike = tables.write(alike.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v")
-                         .mapInArrow(_plausible, "u bigint, v bigint"))
+                         .mapInArrow(lean(_plausible), "u bigint, v bigint"))
     return _confirmed(alike, docs, size, tables)
 
 
@@ -261,7 +262,7 @@ def _hidden_links(members: DataFrame, groups: DataFrame, docs: DataFrame, size:
     ).where("lefts IS NOT NULL"))
     blocks = (sizes.where("lefts = 1 AND rights = 1").agg(F.sum("n")).first()[0] or 0) // RIGHT_SHINGLES + 1
     sets = tables.write(_texts(docs, right.join(sizes, "g", "leftsemi").select("id"), tables)
-                        .mapInArrow(_sets(size), "id bigint, shingles array<bigint>"))
+                        .mapInArrow(lean(_sets(size)), "id bigint, shingles array<bigint>"))
 
     def dealt(side: DataFrame, mine: str, other: str) -> DataFrame:
         share = F.pmod(F.xxhash64("id"), F.col(mine))
@@ -293,7 +294,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     docs = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     with Scratch(docs.sparkSession) as tables:
         sets = tables.write(docs.mapInArrow(
-            _sketch(size), "id bigint, n bigint, k1 bigint, k2 bigint, sketch binary, bands array<bigint>"
+            lean(_sketch(size)), "id bigint, n bigint, k1 bigint, k2 bigint, sketch binary, bands array<bigint>"
         ))
         whole = sets.where("n > 0 AND id IS NOT NULL")
         classes = tables.write(whole.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")))

@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from .tokens import documents, encoder, tokenizer_file
 from .words import pieces
+from .workers import give_back
 
 LENGTH = 1024
 END_ID = 0
 GROUP = 8192
 SEED = 7
+CHUNK_BYTES = 1 << 20  # of text at a time: what encoding takes beside the remembered pieces
 
 
 class Bins:
@@ -69,7 +71,7 @@ def _cut(file: str, length: int, end: int):
     """Pieces of every document: stretches of ``length`` ids and the rest."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(file, spaces_kept=True)
-        for part in pieces(batches, "text"):
+        for part in pieces(batches, "text", CHUNK_BYTES):
             out: dict[str, list] = {c: [] for c in ("row", "start", "length", "ids_crc32", "doc_tokens")}
             for row, ids in enumerate(documents(known, part.column("text"), end)):
                 for start in range(0, len(ids), length):
@@ -80,6 +82,8 @@ def _cut(file: str, length: int, end: int):
             yield pa.RecordBatch.from_arrays(
                 [doc] + [pa.array(v, pa.int64()) for v in out.values()], ["doc", *out]
             )
+            del out, doc
+            give_back()
 
     return cut
 

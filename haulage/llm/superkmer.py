@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from .shared import Scratch
 from .words import Words, as_bytes, gram_hashes, mix, pieces, sliding_min, whole_runs
+from .workers import lean
 
 WINDOW = 13
 MINIMISER = 2
@@ -402,7 +403,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int
     rows = docs.select(number.alias("id"), *checks, F.col(text).alias("text"))
     with Scratch(spark) as tables:
         sizes = tables.write(
-            rows.select("text").mapInArrow(_count(window), "slot bigint, size bigint")
+            rows.select("text").mapInArrow(lean(_count(window)), "slot bigint, size bigint")
             .groupBy("slot").agg(F.sum("size").alias("size")))
         total = sizes.agg(F.sum("size")).first()[0] or 0
         while buckets < max(4 * parts, total // BUCKET_BYTES):
@@ -411,9 +412,9 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int
         # At most SLOTS / HOT numbers come to the driver, whatever the input.
         hot = np.array([r.slot for r in sizes.where(F.col("size") > much).collect()], dtype=np.int64)
     parts = max(parts, total // TASK_BYTES)
-    dealt = rows.mapInArrow(_deal(buckets, hot, window), "bucket bigint, least bigint, blob binary")
+    dealt = rows.mapInArrow(lean(_deal(buckets, hot, window)), "bucket bigint, least bigint, blob binary")
     spans = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "least") \
-        .mapInArrow(_settle(window), SPAN) \
+        .mapInArrow(lean(_settle(window)), SPAN) \
         .groupBy("id", "check1", "check2").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     whole = docs.select(
         F.struct("*").alias("doc"), *(c.alias(f"of_{i}") for i, c in enumerate(checks)),
@@ -423,7 +424,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int
                         & (F.col("of_1") == F.col("check2")), "left")
     doc = joined.schema["doc"].dataType.simpleString()
     return joined.select("doc", F.col("doc")[text].alias("text"), "spans").mapInArrow(
-        _keep, f"doc {doc}, n_words bigint, n_removed bigint, kept_text string"
+        lean(_keep), f"doc {doc}, n_words bigint, n_removed bigint, kept_text string"
     )
 
 

@@ -15,7 +15,6 @@ at which texts are cut, so each lies in one piece.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 from array import array
@@ -25,6 +24,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
+from .workers import kept
+
 # Pieces remembered: those met again, and those met once. A full memory starts anew. Byte level has half as many,
 # for the memory of the pipeline's last stage, and takes longer for it.
 AGAIN, ONCE = {True: 350_000, False: 700_000}, {True: 250_000, False: 500_000}
@@ -106,10 +107,9 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     return cut
 
 
-@functools.cache
 def encoder(file: str, spaces_kept: bool) -> Encoder:
     """One for each Python worker, so that tasks find the pieces of those before them."""
-    return Encoder(file, spaces_kept)
+    return kept(Encoder, file, spaces_kept)
 
 
 def _odd(data: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .shared import Scratch, written
 from .words import Words, as_bytes, gram_hashes, lower_alnum, mix, pieces, sliding_min, spans_covered, whole_runs
+from .workers import lean
 
 WINDOW = 10
 GRAM = 4
@@ -227,9 +228,9 @@ def _hits(seen: DataFrame, prints: DataFrame, items: DataFrame, tables: Scratch)
                           .groupBy("row").agg(F.collect_list(F.struct("at", "size")).alias("places")))
     beside = F.broadcast(places) if _light(places, 8 * F.size("places") + 16) else places
     near = seen.select("row", "text").join(beside, "row")
-    around = tables.write(near.mapInArrow(_extended, "row bigint, at int, size int, digest binary"))
+    around = tables.write(near.mapInArrow(lean(_extended), "row bigint, at int, size int, digest binary"))
 
-    named = items.mapInArrow(_item_windows, "digest binary, id string") \
+    named = items.mapInArrow(lean(_item_windows), "digest binary, id string") \
         .groupBy("digest").agg(F.sort_array(F.collect_set("id")).alias("items"))
     named = tables.write(named.withColumn("set", _identity("items")))
     sets = tables.write(named.groupBy("set").agg(F.first("items").alias("items")))
@@ -241,7 +242,7 @@ def _hits(seen: DataFrame, prints: DataFrame, items: DataFrame, tables: Scratch)
     listed = keys.join(sets, "set").select("key", F.explode("items").alias("item")) \
         .groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
     spans = tables.write(found.select("row", "places", "key").mapInArrow(
-        _spans, "row bigint, n_hit bigint, spans array<struct<first:int,last:int>>, key string"))
+        lean(_spans), "row bigint, n_hit bigint, spans array<struct<first:int,last:int>>, key string"))
     return _joined(spans, tables.write(listed), "key", _listed()).drop("key")
 
 
@@ -253,13 +254,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         items = tables.write(benchmark.select(
             F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"), F.col(item_text).alias("text"),
         ).where(F.octet_length("text") > 0).distinct())
-        prints = tables.write(items.mapInArrow(_item_prints, "size int, print bigint").distinct())
+        prints = tables.write(items.mapInArrow(lean(_item_prints), "size int, print bigint").distinct())
         sizes = sorted(r[0] for r in prints.select("size").distinct().collect())
         rows = docs.select(F.struct(F.lit(0).alias("c"), *(docs[f"`{c.replace('`', '``')}`"].alias(n) for c, n in rest.items()))
                            .alias("doc"), F.col(text).alias("text"))
         more = T.StructType.fromDDL("n_words bigint, prints array<struct<at:int,size:int,print:bigint>>")
         schema = T.StructType(rows.schema.fields + more.fields)
-        seen = written(rows.mapInArrow(_document_prints(sizes, _filter(prints), FILTER_BITS), schema)
+        seen = written(rows.mapInArrow(lean(_document_prints(sizes, _filter(prints), FILTER_BITS)), schema)
                        .withColumn("row", F.monotonically_increasing_id()))
         hits = written(_hits(seen, prints, items, tables))
     beside = F.broadcast(hits) if _light(hits, 8 * F.size("spans") + _listed()) else hits
