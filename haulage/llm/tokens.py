@@ -61,8 +61,8 @@ class Encoder:
         begin = np.append(np.flatnonzero(cut), len(data)).astype(np.int32)
         pieces = pa.Array.from_buffers(pa.binary(), len(begin) - 1, [None, pa.py_buffer(begin), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist())
-        size = np.array([len(i) for i in ids], dtype=np.int64) // 4
+        ids = self._ids(_values(coded.dictionary))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         table, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
         which = coded.indices.to_numpy()
         own = size[which]
@@ -71,16 +71,14 @@ class Encoder:
         return tokens, np.append(0, upto)[np.searchsorted(begin, ends)]
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
-        known, once, out, new = self.known, self.once, [], []
-        for i, piece in enumerate(pieces):
-            ids = known.get(piece)
+        known, once, new = self.known, self.once, []
+        out = list(map(known.get, pieces))
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            ids = once.pop(pieces[i], None)
             if ids is None:
-                ids = once.pop(piece, None)
-                if ids is None:
-                    new.append(i)
-                else:
-                    known[piece] = ids
-            out.append(ids)
+                new.append(i)
+            else:
+                out[i] = known[pieces[i]] = ids
         if len(known) > AGAIN[self.spaces_kept]:
             known.clear()
         if len(once) > ONCE[self.spaces_kept]:
@@ -93,6 +91,13 @@ class Encoder:
         return out
 
 
+def _values(array: pa.BinaryArray) -> list[bytes]:
+    """Its values, of which none is missing."""
+    ends = np.frombuffer(array.buffers()[1], np.int32)[array.offset:array.offset + len(array) + 1].tolist()
+    data = (array.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 _LETTER, _POINT = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _POINT[list(b",.;:!?")] = True
